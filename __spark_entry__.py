@@ -349,9 +349,14 @@ def stream_ingest_available_now(spark, sf_dir):
 
 
 def compact_partition(spark, sf_dir):
-    """All events landed as one partition of many small files, rewritten as few."""
+    """All events landed as one partition, in a directory per event type, and rewritten as fewer files."""
     run = _new_place(spark, "compact")
-    landed = {"type": "path", "path": "raw/events/impression/ymd={ymd}", "options": {"maxRecordsPerFile": 1000}}
+    landed = {
+        "type": "path",
+        "path": "raw/events/impression/ymd={ymd}",
+        "partition_by": ["event_type"],
+        "rebalance": False,
+    }
     write, _ = _stored(spark, run, landed)
     write(_given(spark, sf_dir, "events"))
     return compact(spark, run.location("raw/events/impression/ymd={ymd}"), run.location("compacted/ymd={ymd}"))

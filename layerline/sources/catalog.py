@@ -6,7 +6,9 @@ Columns are matched by name, never by position.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,7 @@ def check_same_columns(spark: SparkSession, dataset: Dataset, df: DataFrame) ->
     def names(columns: list[str]) -> Counter:
         return Counter(columns if same_case else [column.lower() for column in columns])
 
+    # The write resolves the table as well, and Spark keeps what it found.
     wanted, given = names(spark.table(dataset.location).columns), names(df.columns)
     if wanted != given:
         raise ValueError(
@@ -66,4 +69,9 @@ def partition_columns(spark: SparkSession, dataset: Dataset) -> tuple[str, ...]:
     """Partition columns of a file table; tables of other catalogs arrange their writes themselves."""
     if not on_session_catalog(spark, dataset.location):
         return ()
-    return tuple(column.name for column in spark.catalog.listColumns(dataset.location) if column.isPartition)
+    return tuple(describe_file_table(spark, dataset.location).get("partition_columns", ()))
+
+
+def describe_file_table(spark: SparkSession, table: str) -> dict[str, Any]:
+    """What the session catalog holds about a table; no file is listed for it."""
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])

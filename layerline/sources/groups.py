@@ -98,16 +98,17 @@ class DatasetGroup:
 
 def open_datasets(
     spark: SparkSession,
-    specs: Mapping[str, Mapping[str, Mapping[str, Any]]],
+    specs: Mapping[str, Any],
     run: RunContext,
     environments: Mapping[str, Mapping[str, Any]] | None = None,
 ) -> tuple[DatasetGroup, DatasetGroup]:
     """Resolve ``{"input": {...}, "output": {...}}`` for one run. Bad specs fail here.
 
-    ``environments`` maps the name of another environment to its ``warehouse``
-    and ``catalog``.
+    This is the ``datasets`` section of a job config; its ``warehouse`` is for
+    ``RunContext``. ``environments`` maps the name of another environment to its
+    ``warehouse`` and ``catalog``.
     """
-    unknown = sorted(specs.keys() - {"input", "output"})
+    unknown = sorted(specs.keys() - {"input", "output", "warehouse"})
     if unknown:
         raise ValueError(f"dataset groups are 'input' and 'output', got {unknown}")
     inputs, outputs = (

@@ -8,7 +8,7 @@ from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerline.sources.catalog import on_session_catalog
+from layerline.sources.catalog import describe_file_table, on_session_catalog
 from layerline.sources.folders import folder_exists
 from layerline.sources.run import RunContext
 
@@ -101,18 +101,14 @@ def _create(spark: SparkSession, definition: TableDefinition, run: RunContext) -
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
     absent = not spark.catalog.tableExists(name)
     spark.sql(definition.statement(run))
-    if absent and file_table and any(column.isPartition for column in spark.catalog.listColumns(name)):
-        # A file table made over existing directories shows no rows until they are registered.
-        if folder_exists(spark, _location(spark, name)):
+    if absent and file_table:
+        described = describe_file_table(spark, name)
+        if described.get("partition_columns") and folder_exists(spark, described["location"]):
+            # A file table made over existing directories shows no rows until they are registered.
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return name
 
 
-def _location(spark: SparkSession, name: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
-    return described.where("col_name = 'Location'").first()["data_type"]
-
-
 def _namespaces(run: RunContext, definition: TableDefinition, file_table: bool) -> list[str]:
     inner = _namespace(run, definition.layer, definition.domain)
     if not file_table:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from typing import Any
 
 SESSION_CATALOG = "spark_catalog"
 
@@ -34,6 +36,20 @@ class RunContext:
             except ValueError:
                 raise ValueError(f"{wanted}, got {value!r}") from None
 
+    @classmethod
+    def from_config(
+        cls, config: Mapping[str, Any], env: str, ymd: str | None = None, hms: str | None = None
+    ) -> RunContext:
+        """From a loaded job config: ``datasets.warehouse`` and ``catalog.name`` (or ``catalog.default``)."""
+        catalog = config.get("catalog") or {}
+        return cls(
+            warehouse=(config.get("datasets") or {}).get("warehouse"),
+            catalog=catalog.get("name") or catalog.get("default"),
+            env=env,
+            ymd=ymd,
+            hms=hms,
+        )
+
     def require_batch(self) -> None:
         """Batch jobs are tied to one day and time."""
         if self.ymd is None or self.hms is None:

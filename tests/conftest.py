@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from layerline import RunContext, open_datasets  # noqa: E402
+from layerline.sources.run import SESSION_CATALOG  # noqa: E402
+
+YMD, HMS = "2026-07-01", "121212"
+TESTDATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("layerline-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def run(tmp_path):
+    return RunContext(warehouse=f"file://{tmp_path}", env="local", ymd=YMD, hms=HMS)
+
+
+@pytest.fixture
+def table_run(tmp_path):
+    return RunContext(warehouse=f"file://{tmp_path}", catalog=SESSION_CATALOG, env="local", ymd=YMD, hms=HMS)
+
+
+@pytest.fixture
+def store(spark, run):
+    """Write and read one dataset: ``write, read = store({...})``."""
+
+    def _store(write_spec, read_spec=None, at=run):
+        inputs, outputs = open_datasets(
+            spark, {"input": {"it": read_spec or write_spec}, "output": {"it": write_spec}}, at
+        )
+        return (lambda df, **more: outputs.write("it", df, **more)), (lambda: inputs.read("it"))
+
+    return _store
+
+
+@pytest.fixture
+def set_conf(spark):
+    """Session settings for one test, put back afterwards."""
+    before = {}
+
+    def _set(key, value):
+        before.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+    yield _set
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def rows(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)

@@ -1,0 +1,155 @@
+from __future__ import annotations
+
+from dataclasses import replace
+from uuid import uuid4
+
+import pytest
+from pyspark.sql import Observation
+
+from layerline import RunContext, open_datasets
+from layerline.plans import catalog, events, orders
+from tests.conftest import TESTDATA, rows
+
+ORDERS = [(1, 10, "F", 1.25, "2024-01-01"), (2, 20, "O", 2.0, "2024-01-02"), (3, 30, None, None, None), (4, 10, "F", 1.0, "2024-01-01")]
+
+
+@pytest.fixture
+def seed(spark, run):
+    """The seed file where the sample specs look for it."""
+    df = spark.createDataFrame(ORDERS, orders.ORDER_SCHEMA)
+    df.write.parquet(run.location("raw/sample/orders/orders.parquet"))
+    return df
+
+
+def executions(spark):
+    return spark._jsparkSession.sharedState().statusStore().executionsCount()
+
+
+def test_summary(spark, run, seed):
+    summary = orders.orders_summary(spark, *open_datasets(spark, orders.SUMMARY_SPECS, run), run)
+    assert [tuple(row) for row in summary.collect()] == [(None, 1, None), ("F", 2, 2.25), ("O", 1, 2.0)]
+    assert summary.dtypes == [("status", "string"), ("order_count", "bigint"), ("total_amount", "double")]
+
+
+def test_summary_metrics_come_with_the_one_action(spark, run, seed):
+    metrics = Observation()
+    summary = orders.orders_summary(spark, *open_datasets(spark, orders.SUMMARY_SPECS, run), run, metrics=metrics)
+    before = executions(spark)
+    assert len(summary.collect()) == 3
+    assert metrics.get == {"source_rows": 4, "groups": 3}
+    assert executions(spark) == before + 1
+
+
+def test_summary_of_nothing(spark, run):
+    spark.createDataFrame([], orders.ORDER_SCHEMA).write.parquet(run.location("raw/sample/orders/orders.parquet"))
+    metrics = Observation()
+    summary = orders.orders_summary(spark, *open_datasets(spark, orders.SUMMARY_SPECS, run), run, metrics=metrics)
+    assert summary.collect() == []
+    assert metrics.get == {"source_rows": 0, "groups": 0}
+
+
+def test_summary_reads_two_columns(spark):
+    given = {"input": {"orders": {"type": "path", "path": "orders.parquet"}}}
+    run = RunContext(warehouse=TESTDATA, ymd="2024-01-02", hms="000101")
+    summary = orders.orders_summary(spark, *open_datasets(spark, given, run), run, conform=orders.from_order_lines)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<o_orderstatus:string,o_totalprice:double>" in plan
+
+
+def test_batch_jobs_need_run_coordinates(spark, run, seed):
+    bare = replace(run, ymd=None, hms=None)
+    with pytest.raises(ValueError, match="both ymd and hms"):
+        orders.orders_summary(spark, *open_datasets(spark, orders.SUMMARY_SPECS, bare), bare)
+
+
+def ingest(spark, run, table_run, specs, definition):
+    domain = f"d{uuid4().hex}"
+    own = replace(definition, domain=domain)
+    catalog.create_tables(spark, [own], table_run)
+    target = {**specs["output"]["orders"], "table": own.dotted}
+    datasets = open_datasets(spark, {"input": specs["input"], "output": {"orders": target}}, table_run)
+
+    def job(at=table_run):
+        return orders.orders_ingest(spark, *datasets, at)
+
+    return job
+
+
+def test_ingest_appends(spark, run, table_run, seed):
+    job = ingest(spark, run, table_run, orders.INGEST_SPECS, catalog.TABLES[0])
+    assert rows(job()) == rows(seed)
+    assert job().count() == 8
+
+
+def test_ingest_that_may_be_repeated(spark, run, table_run, seed):
+    job = ingest(spark, run, table_run, orders.RERUN_SPECS, catalog.TABLES[1])
+    job()
+    assert rows(job()) == sorted(((*one, run.ymd) for one in ORDERS), key=repr)
+    assert job(replace(table_run, ymd="2026-07-02")).count() == 8
+    assert job(replace(table_run, hms="235959")).count() == 8
+
+
+def test_ingest_counts_and_writes_in_one_pass(spark, run, table_run, seed, caplog):
+    job = ingest(spark, run, table_run, orders.INGEST_SPECS, catalog.TABLES[0])
+    with caplog.at_level("INFO"):
+        job()
+    assert "orders ingest: 4 rows" in caplog.text
+
+
+@pytest.fixture
+def landed(spark, run):
+    df = spark.sql("""
+        SELECT CAST(id AS BIGINT) AS event_id, TIMESTAMP_NTZ '2026-07-01 10:00:00' AS ts, 1L AS user_id,
+               IF(id % 2 = 0, 'click', 'view') AS event_type, CAST(id AS DOUBLE) AS value, '{}' AS props,
+               IF(id < 4, '2026-07-01', '2026-07-02') AS ymd
+        FROM range(6)""")
+    df.write.partitionBy("ymd").parquet(run.location("raw/events/impression"))
+
+
+EXPECTED = [
+    ("click", 1, 4.0, "2026-07-02"),
+    ("click", 2, 2.0, "2026-07-01"),
+    ("view", 1, 5.0, "2026-07-02"),
+    ("view", 2, 4.0, "2026-07-01"),
+]
+
+
+def mart(spark, run):
+    return rows(spark.read.schema(events.SUMMARY_SCHEMA).parquet(run.location("mart/events/summary")))
+
+
+def test_daily_events_one_day_at_a_time(spark, run, landed):
+    for ymd in ("2026-07-01", "2026-07-02", "2026-07-01"):
+        day = replace(run, ymd=ymd)
+        events.events_daily(spark, *open_datasets(spark, events.DAILY_SPECS, day), day)
+    assert mart(spark, run) == EXPECTED
+
+
+def test_all_days_at_once_and_again(spark, run, landed):
+    for _ in range(2):
+        summary = events.events_backfill(spark, *open_datasets(spark, events.BACKFILL_SPECS, run), run)
+    assert rows(summary) == EXPECTED
+    assert mart(spark, run) == EXPECTED
+
+
+def test_backfill_leaves_days_it_does_not_see(spark, run, landed):
+    older = replace(run, ymd="2026-06-30")
+    _, outputs = open_datasets(spark, events.DAILY_SPECS, older)
+    kept = spark.createDataFrame([("click", 9, 9.0)], "event_type STRING, event_count BIGINT, total_value DOUBLE")
+    outputs.write("main", kept)
+    events.events_backfill(spark, *open_datasets(spark, events.BACKFILL_SPECS, run), run)
+    assert mart(spark, run) == sorted([*EXPECTED, ("click", 9, 9.0, "2026-06-30")], key=repr)
+
+
+def test_catalog_job(spark, table_run):
+    created = catalog.apply_catalog(spark, table_run, "refined", "sample")
+    try:
+        assert created == [
+            "spark_catalog.refined__sample.orders",
+            "spark_catalog.refined__sample.orders_by_day",
+        ]
+        assert spark.table(created[0]).columns == ["order_id", "customer_id", "status", "amount", "order_date"]
+    finally:
+        for table in ("orders", "orders_by_day"):
+            catalog.drop_from_catalog(spark, table_run, "refined", "sample", table)
+    assert not spark.catalog.tableExists(created[0])

@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from layerline.functions import conform, day_of
+from layerline.operators import compact, group_counts, group_totals, preview, sort_rows
+from tests.conftest import rows
+
+SCHEMA = "order_id BIGINT, status STRING, amount DOUBLE"
+
+
+def totals(df):
+    return group_totals(df, "status", total_of="amount", count_as="order_count", total_as="total_amount")
+
+
+def test_totals_with_nulls(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 1.25), (2, "b", 2.0), (3, None, None), (4, "a", None), (5, "c", 1.005)], SCHEMA
+    )
+    assert rows(totals(df)) == [("a", 2, 1.25), ("b", 1, 2.0), ("c", 1, 1.01), (None, 1, None)]
+    assert totals(df).dtypes == [("status", "string"), ("order_count", "bigint"), ("total_amount", "double")]
+
+
+def test_totals_of_nothing(spark):
+    assert rows(totals(spark.createDataFrame([], SCHEMA))) == []
+
+
+def test_counts_include_nulls(spark):
+    df = spark.createDataFrame([(1, None, None), (2, None, 1.0)], SCHEMA)
+    assert rows(group_counts(df, "status", count_as="n")) == [(None, 2)]
+
+
+def test_aggregates_reduce_before_the_shuffle(spark):
+    df = spark.range(10).select(F.lit("a").alias("status"), F.lit(1.0).alias("amount"))
+    plan = totals(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert plan.index("Exchange") < plan.index("partial_sum")
+
+
+def test_order_and_nulls_first(spark):
+    df = spark.createDataFrame([(3, "c", 1.0), (None, "n", 1.0), (1, "a", 1.0)], SCHEMA)
+    assert [row.order_id for row in sort_rows(df, "order_id").collect()] == [None, 1, 3]
+    assert sort_rows(df, "order_id").columns == df.columns
+    assert [row.order_id for row in preview(df, "order_id", rows=2).collect()] == [None, 1]
+
+
+def test_preview_does_not_sort_everything(spark):
+    plan = preview(spark.range(100), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_a_hot_key_is_sorted_by_several_tasks(spark, set_conf, tmp_path):
+    set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # Two thirds of the rows are copies of one row.
+    copies = spark.range(0, 24000, 1, 12).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("k"))
+    sort_rows(copies, "k").write.parquet(f"file://{tmp_path}/sorted")
+    # Output file numbers follow the order.
+    files = (
+        spark.read.parquet(f"file://{tmp_path}/sorted")
+        .groupBy(F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("part"))
+        .agg(F.count("*").alias("n"), F.min("k").alias("low"), F.max("k").alias("high"))
+        .orderBy("part")
+        .collect()
+    )
+    assert sum(one.n for one in files) == 24000
+    assert max(one.n for one in files) < 24000 * 0.3
+    assert all(left.high <= right.low for left, right in zip(files, files[1:]))
+
+
+def test_day_text(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-02 23:59:59.9' AS ts UNION ALL SELECT NULL")
+    assert rows(df.select(day_of("ts"))) == [("2024-01-02",), (None,)]
+
+
+def test_conform_gives_the_named_columns_only(spark):
+    df = conform(spark.range(1).withColumn("x", F.lit("x")), {"b": F.lit(2), "a": F.col("id")})
+    assert df.columns == ["b", "a"]
+
+
+def many_files(spark, folder, files=12):
+    spark.range(0, 3000, 1, files).withColumn("v", F.col("id") * 2).write.parquet(folder)
+
+
+def data_files(folder):
+    return [one for one in os.listdir(folder) if one.endswith(".parquet")]
+
+
+def test_compaction_keeps_rows_and_lowers_the_file_count(spark, tmp_path):
+    source, target = f"{tmp_path}/many", f"{tmp_path}/few"
+    many_files(spark, source)
+    compacted = compact(spark, f"file://{source}", f"file://{target}")
+    assert rows(compacted) == rows(spark.read.parquet(source))
+    assert (len(data_files(source)), len(data_files(target))) == (12, 1)
+
+
+def test_compaction_aims_at_a_file_size(spark, tmp_path):
+    source, target = f"{tmp_path}/many", f"{tmp_path}/few"
+    many_files(spark, source)
+    size = sum(os.path.getsize(f"{source}/{one}") for one in data_files(source))
+    compact(spark, source, target, target_file_bytes=size // 3 + 1)
+    assert len(data_files(target)) == 3
+
+
+def test_compaction_does_not_shuffle_the_rows(spark, tmp_path):
+    many_files(spark, f"{tmp_path}/many")
+    plan = spark.read.parquet(f"{tmp_path}/many").coalesce(2)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_compaction_of_nothing(spark, tmp_path):
+    spark.range(0).write.parquet(f"{tmp_path}/none")
+    assert compact(spark, f"{tmp_path}/none", f"{tmp_path}/few").count() == 0
+
+
+def test_compaction_refuses_its_own_source_and_a_used_target(spark, tmp_path):
+    many_files(spark, f"{tmp_path}/many")
+    with pytest.raises(ValueError, match="another location"):
+        compact(spark, f"{tmp_path}/many", f"{tmp_path}/many/")
+    many_files(spark, f"{tmp_path}/used")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        compact(spark, f"{tmp_path}/many", f"{tmp_path}/used")

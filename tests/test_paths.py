@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+
+TWO_DAYS = [(1, "a", "2026-07-01"), (2, "b", "2026-07-01"), (3, "c", "2026-07-02")]
+
+
+@pytest.fixture
+def two_days(spark):
+    return spark.createDataFrame(TWO_DAYS, "id BIGINT, v STRING, ymd STRING")
+
+
+def test_overwrite_replaces_everything_also_twice(store, two_days):
+    write, read = store({"type": "path", "path": "t"})
+    write(two_days)
+    write(two_days.where("id = 3"))
+    write(two_days.where("id = 3"))
+    assert rows(read()) == TWO_DAYS[2:]
+
+
+def test_append_twice_is_double(store, two_days):
+    write, read = store({"type": "path", "path": "t", "mode": "append"})
+    write(two_days)
+    write(two_days)
+    assert rows(read()) == sorted(TWO_DAYS * 2)
+
+
+def test_ignore_keeps_what_is_there(store, two_days):
+    write, read = store({"type": "path", "path": "t", "mode": "ignore"})
+    write(two_days)
+    write(two_days.where("id = 3"))
+    assert rows(read()) == TWO_DAYS
+
+
+@pytest.mark.parametrize("mode", ["error", "errorifexists"])
+def test_error_if_there(store, two_days, mode):
+    write, read = store({"type": "path", "path": "t", "mode": mode})
+    write(two_days)
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        write(two_days)
+    assert rows(read()) == TWO_DAYS
+
+
+@pytest.mark.parametrize(
+    ("file_format", "options"),
+    [
+        ("parquet", {}),
+        ("orc", {}),
+        ("json", {}),
+        ("csv", {"header": True, "sep": "|"}),
+        ("xml", {"rowTag": "row"}),
+    ],
+)
+def test_formats_round_trip(spark, store, file_format, options):
+    df = spark.createDataFrame([(1, "x|y", 0.1), (2, None, None)], "id BIGINT, v STRING, amount DOUBLE")
+    schema = "id BIGINT, v STRING, amount DOUBLE"
+    write, read = store(
+        {"type": "path", "path": "t", "format": file_format, "options": options, "schema": schema}
+    )
+    write(df)
+    assert rows(read()) == rows(df)
+    assert [field.dataType for field in read().schema] == [field.dataType for field in df.schema]
+
+
+def test_text(spark, store):
+    write, read = store({"type": "path", "path": "t", "format": "text"})
+    write(spark.createDataFrame([("one",), ("two",)], "value STRING"))
+    assert rows(read()) == [("one",), ("two",)]
+
+
+def test_partitioned_overwrite_is_static_whatever_the_session_says(store, two_days, set_conf):
+    set_conf("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    write, read = store({"type": "path", "path": "t", "partition_by": ["ymd"]})
+    write(two_days)
+    write(two_days.where("id = 3"))
+    assert [row.id for row in read().collect()] == [3]
+
+
+@pytest.mark.parametrize("option", ["partitionOverwriteMode", "PARTITIONOVERWRITEMODE"])
+def test_dynamic_overwrite_leaves_other_partitions(store, two_days, option):
+    schema = "id BIGINT, v STRING, ymd STRING"
+    write, read = store(
+        {"type": "path", "path": "t", "partition_by": "ymd", "options": {option: "dynamic"}, "schema": schema}
+    )
+    write(two_days)
+    again = two_days.where("ymd = '2026-07-01'").withColumn("v", F.lit("again"))
+    write(again)
+    write(again)
+    assert rows(read()) == [(1, "again", "2026-07-01"), (2, "again", "2026-07-01"), TWO_DAYS[2]]
+    write(two_days.where("id = 0"))
+    assert read().count() == 3
+
+
+def test_a_run_reads_and_replaces_its_own_directory(store, two_days):
+    schema = "id BIGINT, v STRING, ymd STRING"
+    write, read_all = store({"type": "path", "path": "t", "partition_by": ["ymd"], "schema": schema})
+    write(two_days)
+    write_day, read_day = store({"type": "path", "path": "t/ymd={ymd}"})
+    assert rows(read_day()) == [(1, "a"), (2, "b")]
+    write_day(two_days.where("id = 3").drop("ymd"))
+    assert rows(read_all()) == [(3, "c", "2026-07-01"), (3, "c", "2026-07-02")]
+
+
+def test_declared_partition_columns_keep_their_text(spark, store, run):
+    df = spark.createDataFrame([(1, "000101")], "id BIGINT, hms STRING")
+    write, read = store({"type": "path", "path": "t", "partition_by": ["hms"], "schema": "id BIGINT, hms STRING"})
+    write(df)
+    assert rows(read()) == [(1, "000101")]
+    leaf = {
+        "type": "path",
+        "path": "t/hms=000101",
+        "schema": "id BIGINT, hms STRING",
+        "options": {"basePath": run.location("t")},
+    }
+    _, read_leaf = store(leaf)
+    assert rows(read_leaf()) == [(1, "000101")]
+
+
+def test_a_day_of_the_root_is_pruned(store, two_days):
+    write, read = store(
+        {"type": "path", "path": "t", "partition_by": ["ymd"], "schema": "id BIGINT, v STRING, ymd STRING"}
+    )
+    write(two_days)
+    plan = read().where("ymd = '2026-07-01'").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ymd" in plan
+    assert "ReadSchema: struct<id:bigint>" in plan
+
+
+def test_rows_are_counted_by_the_write(store, two_days):
+    write, _ = store({"type": "path", "path": "t", "partition_by": ["ymd"]})
+    assert write(two_days, count_rows=True) == 3
+    assert write(two_days.where("id = 0"), count_rows=True) == 0
+    assert write(two_days) is None
