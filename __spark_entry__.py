@@ -253,7 +253,8 @@ def sort_orders(spark, sf_dir):
 
 
 def topn_preview(spark, sf_dir):
-    return preview(_orders(spark, sf_dir), "order_id")
+    rows = _orders(spark, sf_dir)
+    return preview(rows, *rows.columns)  # All columns, so that equal ids are not left to chance.
 
 
 def metric_row_count(spark, sf_dir):
@@ -369,8 +370,10 @@ _ORDERS_SQL = """
            o_totalprice AS amount, strftime(o_orderdate, '%Y-%m-%d') AS order_date
     FROM orders"""
 _COUNT_SQL = "SELECT o_orderstatus AS status, count(*) AS order_count FROM orders GROUP BY 1"
+# Summed as decimals: a sum of doubles depends on the order of the rows.
 _SUMMARY_SQL = """
-    SELECT o_orderstatus AS status, count(*) AS order_count, round(sum(o_totalprice), 2) AS total_amount
+    SELECT o_orderstatus AS status, count(*) AS order_count,
+           CAST(round(sum(CAST(o_totalprice AS DECIMAL(28, 6))), 2) AS DOUBLE) AS total_amount
     FROM orders GROUP BY 1 ORDER BY 1 NULLS FIRST"""
 _DAY_SQL = "strftime(ts, '%Y-%m-%d')"
 
@@ -410,14 +413,20 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "agg_group_count": (agg_group_count, _COUNT_SQL),
     "agg_group_sum_rounded": (agg_group_sum_rounded, _SUMMARY_SQL),
     "sort_orders": (sort_orders, _ORDERS_SQL + " ORDER BY order_id NULLS FIRST"),
-    "topn_preview": (topn_preview, _ORDERS_SQL + " ORDER BY order_id NULLS FIRST LIMIT 20"),
+    "topn_preview": (
+        topn_preview,
+        _ORDERS_SQL
+        + """ ORDER BY order_id NULLS FIRST, customer_id NULLS FIRST, status NULLS FIRST,
+                       amount NULLS FIRST, order_date NULLS FIRST LIMIT 20""",
+    ),
     "metric_row_count": (metric_row_count, "SELECT count(*) AS row_count FROM orders"),
     "job_orders_summary": (job_orders_summary, _SUMMARY_SQL),
     "job_orders_ingest": (job_orders_ingest, _ORDERS_SQL),
     "job_orders_ingest_rerun": (job_orders_ingest_rerun, f"SELECT *, '{YMD}' AS ymd FROM ({_ORDERS_SQL})"),
     "job_events_daily": (
         job_events_daily,
-        f"""SELECT event_type, count(*) AS event_count, round(sum(value), 2) AS total_value, {_DAY_SQL} AS ymd
+        f"""SELECT event_type, count(*) AS event_count,
+                   CAST(round(sum(CAST(value AS DECIMAL(28, 6))), 2) AS DOUBLE) AS total_value, {_DAY_SQL} AS ymd
             FROM events GROUP BY event_type, ymd""",
     ),
     "ddl_apply": (ddl_apply, "SELECT true AS table_exists, count(*) AS row_count FROM orders"),

@@ -1,5 +1,5 @@
 """Column helpers."""
 
-from layerline.functions.columns import conform, day_of
+from layerline.functions.columns import conform, day_of, total
 
-__all__ = ["conform", "day_of"]
+__all__ = ["conform", "day_of", "total"]

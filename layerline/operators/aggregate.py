@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layerline.functions import total
+
 
 def group_counts(df: DataFrame, *keys: str, count_as: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(count_as))
 
 
 def group_totals(df: DataFrame, *keys: str, total_of: str, count_as: str, total_as: str) -> DataFrame:
-    """Row count and total, rounded half up to two decimals. NULL amounts do not add; all NULL gives NULL."""
-    total = F.round(F.sum(total_of), 2)
-    return df.groupBy(*keys).agg(F.count("*").alias(count_as), total.alias(total_as))
+    """Row count and rounded total. NULL amounts do not add; a group of only NULLs has a NULL total."""
+    return df.groupBy(*keys).agg(F.count("*").alias(count_as), total(total_of).alias(total_as))

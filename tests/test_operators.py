@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from layerline.functions import conform, day_of
+from layerline.functions import conform, day_of, total
 from layerline.operators import compact, group_counts, group_totals, preview, sort_rows
 from tests.conftest import rows
 
@@ -24,6 +24,44 @@ def test_totals_with_nulls(spark):
     assert totals(df).dtypes == [("status", "string"), ("order_count", "bigint"), ("total_amount", "double")]
 
 
+NAN, INF = float("nan"), float("inf")
+
+
+@pytest.mark.parametrize(
+    ("amounts", "wanted"),
+    [
+        ([0.125, 0.0], 0.13),
+        ([1.005], 1.01),
+        ([-1.25, -0.5], -1.75),
+        ([-1.255], -1.26),
+        ([0.1] * 10, 1.0),
+        ([2.0**60, 1.0], 2.0**60),
+        ([9e18, 9e18], 1.8e19),
+        ([1e300, -1e300, 1.0], 1.0),
+        ([1.0, INF], INF),
+        ([9e15, -9e15, 0.01], 0.01),
+        ([None, 1.5], 1.5),
+        ([None], None),
+    ],
+)
+def test_total(spark, amounts, wanted):
+    df = spark.createDataFrame([(one,) for one in amounts], "amount DOUBLE").coalesce(1)
+    assert df.agg(total("amount")).first()[0] == wanted
+
+
+def test_total_with_not_a_number(spark):
+    df = spark.createDataFrame([(NAN,), (1.0,)], "amount DOUBLE")
+    assert str(df.agg(total("amount")).first()[0]) == "nan"
+
+
+def test_total_is_to_the_cent_in_any_order(spark):
+    """A plain sum of these doubles is some cents off and differs from order to order."""
+    amounts = spark.range(0, 2_000_000, 1, 8).select((F.col("id") * 700_001 % 99_999_999 / 100).alias("amount"))
+    cents = spark.range(2_000_000).agg(F.sum(F.col("id") * 700_001 % 99_999_999)).first()[0]
+    for df in (amounts, amounts.repartition(5), amounts.orderBy("amount")):
+        assert df.agg(total("amount")).first()[0] == cents / 100
+
+
 def test_totals_of_nothing(spark):
     assert rows(totals(spark.createDataFrame([], SCHEMA))) == []
 
