@@ -18,13 +18,16 @@ TESTDATA = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4,4]")
         .appName("layerline-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        # For test_lost_data.py, which takes shuffle files away.
+        .config("spark.local.dir", str(tmp_path_factory.mktemp("local")))
+        .config("spark.stage.maxConsecutiveAttempts", "100")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

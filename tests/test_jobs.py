@@ -91,9 +91,13 @@ def test_ingest_that_may_be_repeated(spark, run, table_run, seed):
 
 def test_ingest_counts_and_writes_in_one_pass(spark, run, table_run, seed, caplog):
     job = ingest(spark, run, table_run, orders.INGEST_SPECS, catalog.TABLES[0])
+    store, before = spark._jsparkSession.sharedState().statusStore(), executions(spark)
     with caplog.at_level("INFO"):
         job()
     assert "orders ingest: 4 rows" in caplog.text
+    ran = store.executionsList(before, 1000)
+    plans = [ran.apply(i).physicalPlanDescription() for i in range(ran.size())]
+    assert sum("raw/sample/orders/orders.parquet" in plan for plan in plans) == 1
 
 
 @pytest.fixture

@@ -1,0 +1,71 @@
+"""Shuffle files vanish half way through a write, as when an executor is lost."""
+
+from __future__ import annotations
+
+import threading
+import time
+from pathlib import Path
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from layerline.operators import sort_rows
+
+ROWS = 1_000_000
+
+
+@pytest.fixture
+def lose_shuffle_files(spark, tmp_path, set_conf):
+    """Delete all shuffle files once the first output file is there; return how many were deleted."""
+    set_conf("spark.sql.shuffle.partitions", "48")
+    set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    local = Path(spark.conf.get("spark.local.dir"))
+    done, deleted = threading.Event(), []
+
+    def watch():
+        while not done.is_set():
+            if any(tmp_path.rglob("part-*")):
+                for file in local.rglob("shuffle_*"):
+                    file.unlink(missing_ok=True)
+                    deleted.append(file)
+                return
+            time.sleep(0.002)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    yield deleted
+    done.set()
+    watcher.join()
+
+
+@pytest.fixture
+def rows(spark):
+    return spark.range(0, ROWS, 1, 3).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("s"), F.concat(F.lit("d"), F.col("id") % 24).alias("ymd")
+    )
+
+
+def is_whole(df):
+    return tuple(df.agg(F.count("*"), F.countDistinct("id")).first()) == (ROWS, ROWS)
+
+
+def test_a_partitioned_write_is_whole_and_counted_once(store, rows, lose_shuffle_files):
+    write, read = store(
+        {"type": "path", "path": "t", "partition_by": ["ymd"], "schema": "id BIGINT, s STRING, ymd STRING"}
+    )
+    below_the_shuffle = Observation()
+    watched = rows.observe(below_the_shuffle, F.count(F.lit(1)).alias("rows"))
+    assert write(watched, count_rows=True) == ROWS
+    assert lose_shuffle_files
+    # This is why the write counts above it.
+    assert below_the_shuffle.get["rows"] > ROWS
+    assert is_whole(read())
+
+
+def test_a_sort_is_whole(spark, store, rows, lose_shuffle_files):
+    """Sorted from a shuffle, whose rows come in another order when it is repeated."""
+    write, read = store({"type": "path", "path": "t"})
+    write(sort_rows(rows.repartition(7, "id").withColumn("k", F.lit(1)), "k"))
+    assert lose_shuffle_files
+    assert is_whole(read())
