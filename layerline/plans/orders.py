@@ -14,6 +14,7 @@ from layerline.sources import DatasetGroup, RunContext
 
 logger = logging.getLogger(__name__)
 
+# The columns, places and table names the order jobs share.
 ORDER_SCHEMA = "order_id BIGINT, customer_id BIGINT, status STRING, amount DOUBLE, order_date STRING"
 
 SUMMARY_SPECS = {

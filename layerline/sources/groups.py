@@ -51,7 +51,7 @@ class DatasetGroup:
         try:
             return self.resolved[name]
         except KeyError:
-            raise KeyError(f"{self._kind} dataset '{name}' not found (available: {sorted(self.resolved)})") from None
+            raise KeyError(f"no {self._kind} dataset '{name}', only {sorted(self.resolved)}") from None
 
     def __call__(self, env: str) -> DatasetGroup:
         """The same dataset names in another environment, resolved on first use.
@@ -63,21 +63,23 @@ class DatasetGroup:
             return self
         if env not in self._others:
             if env not in self._environments:
-                raise KeyError(f"environment '{env}' not found (available: {sorted(self._environments)})")
+                raise KeyError(f"no environment '{env}', only {sorted(self._environments)}")
             run = replace(self._run, env=env, **self._environments[env])
-            self._others[env] = DatasetGroup(self._spark, self._specs, run, self._kind)
+            here = {self._run.env: {"warehouse": self._run.warehouse, "catalog": self._run.catalog}}
+            others = {**self._environments, **here}
+            self._others[env] = DatasetGroup(self._spark, self._specs, run, self._kind, others)
         return self._others[env]
 
     def read(self, name: str) -> DataFrame:
         if self._kind != "input":
-            raise TypeError("read() is only for input datasets")
+            raise TypeError("output datasets are written, not read")
         dataset = self[name]
         return _type_of(dataset).read(self._spark, dataset)
 
     def write(self, name: str, df: DataFrame, count_rows: bool = False) -> int | None:
         """Write ``df``; with ``count_rows``, return the rows written, counted by the write itself."""
         if self._kind != "output":
-            raise TypeError("write() is only for output datasets")
+            raise TypeError("input datasets are read, not written")
         dataset = self[name]
         kind = _type_of(dataset)
         columns = kind.layout(self._spark, dataset) if dataset.rebalance else ()
@@ -119,11 +121,11 @@ def open_datasets(
 
 def _resolve(name: str, spec: Any, run: RunContext, kind: str) -> Dataset:
     if not isinstance(spec, Mapping):
-        raise ValueError(f"dataset '{name}': spec must be a mapping, got {type(spec).__name__}")
+        raise ValueError(f"dataset '{name}': a spec is a mapping, not a {type(spec).__name__}")
     if not spec.get("type"):
-        raise ValueError(f"dataset '{name}': spec requires 'type'")
+        raise ValueError(f"dataset '{name}': no 'type' in the spec")
     if spec["type"] not in DATASET_TYPES:
-        raise ValueError(f"dataset '{name}': unknown type {spec['type']!r} (known: {sorted(DATASET_TYPES)})")
+        raise ValueError(f"dataset '{name}': type {spec['type']!r} is none of {sorted(DATASET_TYPES)}")
     return DATASET_TYPES[spec["type"]].resolve(name, spec, run, kind)
 
 

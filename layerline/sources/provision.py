@@ -126,4 +126,4 @@ def _namespace(run: RunContext, *levels: str) -> str:
 
 def _check_layer(layer: str) -> None:
     if layer not in LAYERS:
-        raise ValueError(f"layer must be one of {LAYERS}, got {layer!r}")
+        raise ValueError(f"{layer!r} is not a layer; these are {LAYERS}")

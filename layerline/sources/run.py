@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
@@ -22,19 +21,8 @@ class RunContext:
     hms: str | None = None
 
     def __post_init__(self) -> None:
-        for value, shape, layout, wanted in (
-            (self.ymd, r"\d{4}-\d\d-\d\d", "%Y-%m-%d", "ymd must be YYYY-MM-DD"),
-            (self.hms, r"\d{6}", "%H%M%S", "hms must be HHMMSS"),
-        ):
-            if value is None:
-                continue
-            # strptime alone would also take 2024-1-2, which names another partition.
-            if not re.fullmatch(shape, value):
-                raise ValueError(f"{wanted}, got {value!r}")
-            try:
-                datetime.strptime(value, layout)
-            except ValueError:
-                raise ValueError(f"{wanted}, got {value!r}") from None
+        _check_written_as(self.ymd, "%Y-%m-%d", "a day written as YYYY-MM-DD")
+        _check_written_as(self.hms, "%H%M%S", "a time written as HHMMSS")
 
     @classmethod
     def from_config(
@@ -70,7 +58,7 @@ class RunContext:
 
     def location(self, path: str, owner: str = "") -> str:
         if not self.warehouse:
-            raise ValueError(f"dataset '{owner}': a warehouse is required to resolve a path")
+            raise ValueError(f"dataset '{owner}': the run has no warehouse for its path")
         return f"{self.warehouse.rstrip('/')}/{self.fill(path, owner).lstrip('/')}"
 
     def table_name(self, table: str) -> str:
@@ -94,3 +82,15 @@ class RunContext:
     def table_format(self) -> str:
         """What provisioned tables are made of: files on the session catalog, Iceberg elsewhere."""
         return "parquet" if self.catalog == SESSION_CATALOG else "iceberg"
+
+
+def _check_written_as(value: str | None, layout: str, wanted: str) -> None:
+    if value is None:
+        return
+    try:
+        # Written back, so that 2024-1-2 fails: it would name another partition.
+        if datetime.strptime(value, layout).strftime(layout) == value:
+            return
+    except ValueError:
+        pass
+    raise ValueError(f"{value!r} is not {wanted}")

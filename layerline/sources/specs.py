@@ -31,12 +31,13 @@ class Dataset:
     schema: str | None = None
     # Gather the rows of a partition value before a partitioned write (see groups.py).
     rebalance: bool = True
-    metadata: Mapping[str, Any] = field(default_factory=dict)
+    # The spec as it was given.
+    spec: Mapping[str, Any] = field(default_factory=dict)
 
 
 def resolve_path(name: str, spec: Mapping[str, Any], run: RunContext, kind: str) -> Dataset:
     if not spec.get("path"):
-        raise ValueError(f"dataset '{name}': a path spec requires 'path'")
+        raise ValueError(f"dataset '{name}': no 'path' in the spec")
     return _stored_at(name, spec, run, kind, default_format="parquet")
 
 
@@ -44,7 +45,7 @@ def resolve_table(name: str, spec: Mapping[str, Any], run: RunContext, kind: str
     """``table`` names a catalog table; ``path`` alone is a table stored at a location."""
     if not spec.get("table"):
         if not spec.get("path"):
-            raise ValueError(f"dataset '{name}': a table spec requires 'table' or 'path'")
+            raise ValueError(f"dataset '{name}': neither 'table' nor 'path' in the spec")
         return _stored_at(name, spec, run, kind, default_format="iceberg")
 
     # The table's own definition settles these. Taking them here and not using them would mislead.
@@ -61,7 +62,7 @@ def resolve_table(name: str, spec: Mapping[str, Any], run: RunContext, kind: str
         by_path=False,
         mode=mode,
         rebalance=bool(spec.get("rebalance", True)),
-        metadata=_metadata(spec),
+        spec=spec,
     )
 
 
@@ -71,7 +72,7 @@ def _stored_at(name: str, spec: Mapping[str, Any], run: RunContext, kind: str, d
         raise ValueError(f"dataset '{name}': path write mode must be one of {PATH_MODES}, got {mode!r}")
     options = spec.get("options") or {}
     if not isinstance(options, Mapping):
-        raise ValueError(f"dataset '{name}': options must be a mapping, got {type(options).__name__}")
+        raise ValueError(f"dataset '{name}': options are a mapping, not a {type(options).__name__}")
     partition_by = spec.get("partition_by") or ()
     if isinstance(partition_by, str):
         partition_by = (partition_by,)
@@ -85,13 +86,9 @@ def _stored_at(name: str, spec: Mapping[str, Any], run: RunContext, kind: str, d
         partition_by=tuple(partition_by),
         schema=spec.get("schema"),
         rebalance=bool(spec.get("rebalance", True)),
-        metadata=_metadata(spec),
+        spec=spec,
     )
 
 
 def _option_text(value: Any) -> str:
     return str(value).lower() if isinstance(value, bool) else str(value)
-
-
-def _metadata(spec: Mapping[str, Any]) -> dict[str, Any]:
-    return {key: value for key, value in spec.items() if key not in ("type", "table", "path")}

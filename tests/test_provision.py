@@ -45,7 +45,7 @@ def test_bad_scopes(scope, error):
 
 
 def test_definitions_name_a_layer():
-    with pytest.raises(ValueError, match="layer must be one of"):
+    with pytest.raises(ValueError, match="is not a layer"):
         TableDefinition("bronze", "sample", "orders", DDL)
 
 
