@@ -269,7 +269,7 @@ def metric_row_count(spark, sf_dir):
 def job_orders_summary(spark, sf_dir):
     specs = {"input": {"orders": {"type": "path", "path": "orders.parquet"}}}
     run = _run(sf_dir)
-    return orders.orders_summary(spark, *open_datasets(spark, specs, run), run, conform=orders.from_order_lines)
+    return orders.orders_summary(spark, *open_datasets(spark, specs, run), run, prepare=orders.from_order_lines)
 
 
 def _orders_ingest(spark, sf_dir, label: str, specs: dict, definition: TableDefinition, runs: int) -> DataFrame:
@@ -279,7 +279,7 @@ def _orders_ingest(spark, sf_dir, label: str, specs: dict, definition: TableDefi
     inputs, _ = open_datasets(spark, {"input": seed}, _run(sf_dir))
     _, outputs = open_datasets(spark, {"output": target}, run)
     for _ in range(runs):
-        table = orders.orders_ingest(spark, inputs, outputs, run, conform=orders.from_order_lines)
+        table = orders.orders_ingest(spark, inputs, outputs, run, prepare=orders.from_order_lines)
     return table
 
 
@@ -360,7 +360,12 @@ def compact_partition(spark, sf_dir):
     }
     write, _ = _stored(spark, run, landed)
     write(_given(spark, sf_dir, "events"))
-    return compact(spark, run.location("raw/events/impression/ymd={ymd}"), run.location("compacted/ymd={ymd}"))
+    specs = {
+        "input": {"events": {"type": "path", "path": "raw/events/impression/ymd={ymd}"}},
+        "output": {"events": {"type": "path", "path": "compacted/events/impression/ymd={ymd}"}},
+    }
+    inputs, outputs = open_datasets(spark, specs, run)
+    return compact(spark, inputs["events"], outputs["events"])
 
 
 # The same results in SQL

@@ -7,37 +7,32 @@ from math import ceil
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from layerline.sources import Dataset
+from layerline.sources.paths import read_path, write_path
+
 
 def compact(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    file_format: str = "parquet",
-    target_file_bytes: int = 256 * 1024 * 1024,
+    spark: SparkSession, source: Dataset, target: Dataset, target_file_bytes: int = 256 * 1024 * 1024
 ) -> DataFrame:
-    """Rewrite the files at ``source`` to ``target`` and return what is there.
+    """Rewrite the files of ``source`` as those of ``target`` and return what is there.
 
     The source stays as it is; point readers at the target once this returns. It
     raises if the target does not hold as many rows as were read. Files are joined
     without a shuffle: each output file is written from about ``target_file_bytes``
     of input.
     """
-    if source.rstrip("/") == target.rstrip("/"):
-        raise ValueError("compact to another location; overwriting the one being read would lose it")
-    rows = spark.read.format(file_format).load(source)
+    if source.location.rstrip("/") == target.location.rstrip("/"):
+        raise ValueError(f"{source.location} cannot be compacted onto itself; name another location")
+    rows = read_path(spark, source)
     files = rows.select("_metadata.file_path", "_metadata.file_size").distinct()
     size = files.agg(F.sum("file_size").alias("bytes")).first()["bytes"] or 0
 
     read = Observation()
-    (
-        rows.observe(read, F.count(F.lit(1)).alias("rows"))
-        .coalesce(max(1, ceil(size / target_file_bytes)))
-        .write.format(file_format)
-        .mode("errorifexists")
-        .save(target)
-    )
-    compacted = spark.read.format(file_format).schema(rows.schema).load(target)
+    counted = rows.observe(read, F.count(F.lit(1)).alias("rows"))
+    write_path(spark, target, counted.coalesce(max(1, ceil(size / target_file_bytes))))
+
+    compacted = spark.read.format(target.format).options(**target.options).schema(rows.schema).load(target.location)
     kept = compacted.count()
     if kept != read.get["rows"]:
-        raise RuntimeError(f"compacting {source}: read {read.get['rows']} rows, found {kept} at {target}")
+        raise RuntimeError(f"{source.location}: read {read.get['rows']} rows, found {kept} at {target.location}")
     return compacted

@@ -59,11 +59,12 @@ def orders_summary(
     inputs: DatasetGroup,
     outputs: DatasetGroup,
     run: RunContext,
-    conform: Callable[[DataFrame], DataFrame] | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
     metrics: Observation | None = None,
 ) -> DataFrame:
     """Count and total amount by status, in status order.
 
+    ``prepare`` gives the orders the columns of ``ORDER_SCHEMA`` where they differ.
     With ``metrics``, whatever action runs the summary also fills in
     ``source_rows`` and ``groups``. The source rows are the sum of the group
     counts, so they cost no second pass. They are observed above the sort, which
@@ -71,8 +72,8 @@ def orders_summary(
     """
     run.require_batch()
     orders = inputs.read("orders")
-    if conform:
-        orders = conform(orders)
+    if prepare:
+        orders = prepare(orders)
     summary = group_totals(
         orders, "status", total_of="amount", count_as="order_count", total_as="total_amount"
     ).orderBy("status")
@@ -90,7 +91,7 @@ def orders_ingest(
     inputs: DatasetGroup,
     outputs: DatasetGroup,
     run: RunContext,
-    conform: Callable[[DataFrame], DataFrame] | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Move the seed orders to the refined table and return that table.
 
@@ -100,8 +101,8 @@ def orders_ingest(
     """
     run.require_batch()
     orders = inputs.read("orders_seed")
-    if conform:
-        orders = conform(orders)
+    if prepare:
+        orders = prepare(orders)
     target = outputs["orders"]
     if target.mode == "overwrite_partitions":
         orders = orders.withColumn("ymd", F.lit(run.ymd))

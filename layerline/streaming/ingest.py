@@ -19,7 +19,7 @@ def ingest_available(
     source: Dataset,
     target: Dataset,
     checkpoint: str,
-    conform: Callable[[DataFrame], DataFrame] | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Append new input to ``target`` and stop.
 
@@ -34,7 +34,7 @@ def ingest_available(
             reader = reader.option("maxBytesPerTrigger", MAX_BYTES_PER_BATCH)
     arriving = reader.load(source.location)
     writer = (
-        (conform(arriving) if conform else arriving)
+        (prepare(arriving) if prepare else arriving)
         .writeStream.format(target.format)
         .outputMode("append")
         .options(**target.options)

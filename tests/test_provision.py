@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from unittest.mock import MagicMock
 from uuid import uuid4
 
 import pytest
@@ -58,6 +59,24 @@ def test_statement_is_filled_in_and_unknown_names_stay():
     )
 
 
+def test_statements_for_another_catalog():
+    """There is none here to run them on, so this checks the statements only."""
+    spark = MagicMock()
+    spark.conf.get = lambda key, default=None: {"spark.sql.catalog.iceberg": "org.example.Catalog"}.get(key, default)
+    run = RunContext(warehouse="s3a://local", catalog="iceberg")
+    assert create_tables(spark, DEFINITIONS, run, "refined", "sample", "orders") == ["iceberg.refined.sample.orders"]
+    drop_table(spark, run, "refined", "sample", "orders")
+    list_tables(spark, run, "refined", "sample")
+    assert [call.args[0] for call in spark.sql.call_args_list] == [
+        "CREATE NAMESPACE IF NOT EXISTS iceberg.refined",
+        "CREATE NAMESPACE IF NOT EXISTS iceberg.refined.sample",
+        "CREATE TABLE IF NOT EXISTS iceberg.refined.sample.orders (id BIGINT) USING iceberg "
+        "LOCATION 's3a://local/refined/sample/orders'",
+        "DROP TABLE IF EXISTS iceberg.refined.sample.orders",
+        "SHOW TABLES IN iceberg.refined.sample",
+    ]
+
+
 def test_create_list_drop(spark, table_run):
     domain = f"d{uuid4().hex}"
     definition = TableDefinition("refined", domain, "orders", DDL)
