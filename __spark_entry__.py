@@ -24,7 +24,6 @@ from layerline.plans import catalog, events, orders  # noqa: E402
 from layerline.sources.folders import staging_folder  # noqa: E402
 from layerline.sources.provision import TableDefinition, create_tables, list_tables  # noqa: E402
 from layerline.sources.run import SESSION_CATALOG  # noqa: E402
-from layerline.streaming import ingest_available  # noqa: E402
 
 YMD, HMS = "2024-01-02", "000101"
 RAW_ORDER_SCHEMA = (
@@ -337,16 +336,14 @@ def ddl_drop(spark, sf_dir):
 def stream_ingest_available_now(spark, sf_dir):
     """Two runs over the same files; the second finds nothing new."""
     # A stream takes its path for a directory; the pattern also fits a table that is one file.
-    arriving = {"type": "path", "path": "orders.parquet*", "schema": RAW_ORDER_SCHEMA}
-    source, _ = open_datasets(spark, {"input": {"orders": arriving}}, _run(sf_dir))
+    arriving = {"type": "stream", "path": "orders.parquet*", "schema": RAW_ORDER_SCHEMA}
+    taken = {**_order_files("append"), "type": "stream", "checkpoint": "checkpoints/orders"}
+    inputs, _ = open_datasets(spark, {"input": {"orders": arriving}}, _run(sf_dir))
     run = _new_place(spark, "stream")
-    specs = {kind: {"orders": _order_files()} for kind in ("input", "output")}
-    inputs, outputs = open_datasets(spark, specs, run)
+    _, outputs = open_datasets(spark, {"output": {"orders": taken}}, run)
     for _ in range(2):
-        ingest_available(
-            spark, source["orders"], outputs["orders"], run.location("checkpoints/orders"), orders.from_order_lines
-        )
-    return inputs.read("orders")
+        outputs.write("orders", orders.from_order_lines(inputs.read("orders")))
+    return open_datasets(spark, {"input": {"orders": _order_files()}}, run)[0].read("orders")
 
 
 def compact_partition(spark, sf_dir):

@@ -91,6 +91,8 @@ class DatasetGroup:
         if not count_rows:
             kind.write(self._spark, dataset, df)
             return None
+        if df.isStreaming:
+            raise ValueError(f"'{name}': the rows of a stream are not counted")
         # After the shuffle: a lost executor makes Spark repeat tasks before a shuffle,
         # and their rows would be counted twice.
         written = Observation()

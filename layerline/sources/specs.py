@@ -38,7 +38,7 @@ class Dataset:
 def resolve_path(name: str, spec: Mapping[str, Any], run: RunContext, kind: str) -> Dataset:
     if not spec.get("path"):
         raise ValueError(f"dataset '{name}': no 'path' in the spec")
-    return _stored_at(name, spec, run, kind, default_format="parquet")
+    return resolve_files(name, spec, run, kind, default_format="parquet")
 
 
 def resolve_table(name: str, spec: Mapping[str, Any], run: RunContext, kind: str) -> Dataset:
@@ -46,7 +46,7 @@ def resolve_table(name: str, spec: Mapping[str, Any], run: RunContext, kind: str
     if not spec.get("table"):
         if not spec.get("path"):
             raise ValueError(f"dataset '{name}': neither 'table' nor 'path' in the spec")
-        return _stored_at(name, spec, run, kind, default_format="iceberg")
+        return resolve_files(name, spec, run, kind, default_format="iceberg")
 
     # The table's own definition settles these. Taking them here and not using them would mislead.
     fixed = sorted({"format", "options", "partition_by", "schema"} & spec.keys())
@@ -66,7 +66,8 @@ def resolve_table(name: str, spec: Mapping[str, Any], run: RunContext, kind: str
     )
 
 
-def _stored_at(name: str, spec: Mapping[str, Any], run: RunContext, kind: str, default_format: str) -> Dataset:
+def resolve_files(name: str, spec: Mapping[str, Any], run: RunContext, kind: str, default_format: str) -> Dataset:
+    """A dataset that is read and written by format, options and, where it has one, location."""
     mode = str(spec.get("mode", "overwrite"))
     if kind == "output" and mode not in PATH_MODES:
         raise ValueError(f"dataset '{name}': path write mode must be one of {PATH_MODES}, got {mode!r}")
@@ -79,7 +80,7 @@ def _stored_at(name: str, spec: Mapping[str, Any], run: RunContext, kind: str, d
     return Dataset(
         name=name,
         type=str(spec["type"]),
-        location=run.location(str(spec["path"]), name),
+        location=run.location(str(spec["path"]), name) if spec.get("path") else "",
         format=str(spec.get("format", default_format)),
         mode=mode,
         options={str(key): _option_text(value) for key, value in options.items()},

@@ -1,5 +1,5 @@
-"""Incremental ingest."""
+"""Incremental ingest: the ``stream`` dataset type."""
 
-from layerline.streaming.ingest import ingest_available
+from layerline.streaming.ingest import read_stream, resolve_stream, write_stream
 
-__all__ = ["ingest_available"]
+__all__ = ["read_stream", "resolve_stream", "write_stream"]

@@ -1,46 +1,58 @@
-"""Ingest of what arrived since the last run, and nothing twice."""
+"""Datasets that are read as streams: each run takes what arrived since the last, and nothing twice."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Mapping
+from dataclasses import replace
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerline.sources import Dataset
+from layerline.sources.groups import DATASET_TYPES, DatasetType
+from layerline.sources.run import RunContext
+from layerline.sources.specs import Dataset, resolve_files
 
 # File input per micro-batch, so that a long backlog is committed in steps and a failed
-# run goes on from the last one. A limit in the source's options takes precedence.
+# run goes on from the last one. A limit in the dataset's options takes precedence.
 MAX_BYTES_PER_BATCH = 1 << 40
 _LIMITS = {"maxbytespertrigger", "maxfilespertrigger"}
 
 
-def ingest_available(
-    spark: SparkSession,
-    source: Dataset,
-    target: Dataset,
-    checkpoint: str,
-    prepare: Callable[[DataFrame], DataFrame] | None = None,
-) -> None:
-    """Append new input to ``target`` and stop.
+def resolve_stream(name: str, spec: Mapping[str, Any], run: RunContext, kind: str) -> Dataset:
+    """Inputs have a ``path`` and a ``schema``, or a ``format`` such as kafka and its options.
 
-    ``checkpoint`` records what was taken and belongs on shared storage, next to
-    the target. A file source needs a ``schema`` in its spec; other formats, such
-    as kafka where the connector is installed, bring their own.
+    Outputs have a ``path`` and a ``checkpoint`` next to it, which records what was taken.
     """
-    reader = spark.readStream.format(source.format).options(**source.options)
-    if source.schema:
-        reader = reader.schema(source.schema)
-        if not _LIMITS & {option.lower() for option in source.options}:
-            reader = reader.option("maxBytesPerTrigger", MAX_BYTES_PER_BATCH)
-    arriving = reader.load(source.location)
-    writer = (
-        (prepare(arriving) if prepare else arriving)
-        .writeStream.format(target.format)
-        .outputMode("append")
-        .options(**target.options)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-    )
-    if target.partition_by:
-        writer = writer.partitionBy(*target.partition_by)
-    writer.start(target.location).awaitTermination()
+    if kind == "input":
+        if not spec.get("format") and not (spec.get("path") and spec.get("schema")):
+            raise ValueError(f"dataset '{name}': a stream of files has a 'path' and a 'schema'")
+        return resolve_files(name, spec, run, kind, default_format="parquet")
+    if not (spec.get("path") and spec.get("checkpoint")):
+        raise ValueError(f"dataset '{name}': a stream is written to a 'path' and needs a 'checkpoint'")
+    if spec.get("mode", "append") != "append":
+        raise ValueError(f"dataset '{name}': streams append, they cannot {spec['mode']}")
+    files = resolve_files(name, {**spec, "mode": "append"}, run, kind, default_format="parquet")
+    return replace(files, options={**files.options, "checkpointLocation": run.location(spec["checkpoint"], name)})
+
+
+def read_stream(spark: SparkSession, dataset: Dataset) -> DataFrame:
+    reader = spark.readStream.format(dataset.format).options(**dataset.options)
+    if dataset.schema:
+        reader = reader.schema(dataset.schema)
+    if not dataset.location:
+        return reader.load()
+    if not _LIMITS & {option.lower() for option in dataset.options}:
+        reader = reader.option("maxBytesPerTrigger", MAX_BYTES_PER_BATCH)
+    return reader.load(dataset.location)
+
+
+def write_stream(spark: SparkSession, dataset: Dataset, df: DataFrame) -> None:
+    """Append what there is and stop."""
+    writer = df.writeStream.format(dataset.format).outputMode("append").options(**dataset.options)
+    if dataset.partition_by:
+        writer = writer.partitionBy(*dataset.partition_by)
+    writer.trigger(availableNow=True).start(dataset.location).awaitTermination()
+
+
+# Not gathered by partition: adaptive execution does not split the partitions of a stream.
+DATASET_TYPES["stream"] = DatasetType(resolve_stream, read_stream, write_stream, lambda spark, dataset: ())

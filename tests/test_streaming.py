@@ -4,39 +4,71 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerline import open_datasets
-from layerline.streaming import ingest_available
 from tests.conftest import rows
 
+FILES = {"type": "stream", "path": "raw/n", "schema": "id BIGINT"}
+TARGET = {"type": "stream", "path": "refined/n", "checkpoint": "checkpoints/n"}
+
 
 @pytest.fixture
-def arrivals(spark, run):
+def ingest(spark, run):
     spark.range(3).write.parquet(run.location("raw/n"))
 
-    def ingest(options=None, **target):
-        source = {"type": "path", "path": "raw/n", "schema": "id BIGINT", "options": options or {}}
-        specs = {"input": {"n": source}, "output": {"n": {"type": "path", "path": "refined/n", **target}}}
+    def _ingest(options=None, **target):
+        specs = {"input": {"n": {**FILES, "options": options or {}}}, "output": {"n": {**TARGET, **target}}}
         inputs, outputs = open_datasets(spark, specs, run)
-        ingest_available(
-            spark, inputs["n"], outputs["n"], run.location("checkpoints/n"),
-            lambda df: df.withColumn("odd", (F.col("id") % 2).cast("string")),
-        )
+        outputs.write("n", inputs.read("n").withColumn("odd", (F.col("id") % 2).cast("string")))
         return spark.read.schema("id BIGINT, odd STRING").parquet(outputs["n"].location)
 
-    return ingest
+    return _ingest
 
 
-def test_a_second_run_adds_only_what_is_new(spark, run, arrivals):
-    assert rows(arrivals()) == [(0, "0"), (1, "1"), (2, "0")]
-    assert arrivals().count() == 3
+def test_a_second_run_adds_only_what_is_new(spark, run, ingest):
+    assert rows(ingest()) == [(0, "0"), (1, "1"), (2, "0")]
+    assert ingest().count() == 3
     spark.range(3, 5).write.mode("append").parquet(run.location("raw/n"))
-    assert rows(arrivals()) == [(0, "0"), (1, "1"), (2, "0"), (3, "1"), (4, "0")]
+    assert rows(ingest()) == [(0, "0"), (1, "1"), (2, "0"), (3, "1"), (4, "0")]
 
 
-def test_a_backlog_is_taken_in_steps(spark, run, arrivals):
+def test_a_backlog_is_taken_in_steps(spark, run, ingest):
     spark.range(3, 30, 1, 9).write.mode("append").parquet(run.location("raw/n"))
-    assert arrivals({"maxFilesPerTrigger": 2}).count() == 30
+    assert ingest({"maxFilesPerTrigger": 2}).count() == 30
+
+
+def test_partitioned_target(ingest):
+    assert rows(ingest(partition_by=["odd"])) == [(0, "0"), (1, "1"), (2, "0")]
+
+
+def test_a_failed_run_is_taken_up_again(spark, run, ingest):
+    inputs, outputs = open_datasets(spark, {"input": {"n": FILES}, "output": {"n": TARGET}}, run)
+    broken = inputs.read("n").withColumn("odd", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        outputs.write("n", broken)
+    assert rows(ingest()) == [(0, "0"), (1, "1"), (2, "0")]
+
+
+def test_sources_without_a_path(spark, run):
+    rate = {"type": "stream", "format": "rate", "options": {"rowsPerSecond": 1}}
+    inputs, _ = open_datasets(spark, {"input": {"ticks": rate}}, run)
+    assert inputs["ticks"].location == ""
+    assert inputs.read("ticks").isStreaming
+
+
+@pytest.mark.parametrize(
+    ("group", "spec", "message"),
+    [
+        ("input", {"type": "stream", "path": "raw/n"}, "'path' and a 'schema'"),
+        ("output", {"type": "stream", "path": "refined/n"}, "needs a 'checkpoint'"),
+        ("output", {"type": "stream", "checkpoint": "c"}, "needs a 'checkpoint'"),
+        ("output", {**TARGET, "mode": "overwrite"}, "cannot overwrite"),
+    ],
+)
+def test_bad_specs(spark, run, group, spec, message):
+    with pytest.raises(ValueError, match=message):
+        open_datasets(spark, {group: {"n": spec}}, run)
 
 
-def test_partitioned_target(arrivals):
-    df = arrivals(partition_by=["odd"])
-    assert rows(df) == [(0, "0"), (1, "1"), (2, "0")]
+def test_streams_are_not_counted(spark, run, ingest):
+    inputs, outputs = open_datasets(spark, {"input": {"n": FILES}, "output": {"n": TARGET}}, run)
+    with pytest.raises(ValueError, match="not counted"):
+        outputs.write("n", inputs.read("n"), count_rows=True)
