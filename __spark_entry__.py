@@ -46,7 +46,7 @@ def _given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders.from_order_lines(_given(spark, sf_dir, "orders"))
+    return orders.from_tpch_orders(_given(spark, sf_dir, "orders"))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,15 +62,15 @@ def _new_place(spark: SparkSession, label: str, catalog_name: str | None = None)
     return _run(staging_folder(spark, label), catalog_name)
 
 
-def _stored(spark: SparkSession, run: RunContext, write: dict, read: dict | None = None):
+def _stored(spark: SparkSession, run: RunContext, spec: dict):
     """Write and read functions of one dataset."""
-    specs = {"input": {"it": read or write}, "output": {"it": write}}
+    specs = {"input": {"it": spec}, "output": {"it": spec}}
     inputs, outputs = open_datasets(spark, specs, run)
     return (lambda df, **more: outputs.write("it", df, **more)), (lambda: inputs.read("it"))
 
 
-def _order_files(run_mode: str = "overwrite", **spec) -> dict:
-    return {"type": "path", "path": "refined/sample/orders", "mode": run_mode, **spec}
+def _order_files(mode: str = "overwrite", **spec) -> dict:
+    return {"type": "path", "path": "refined/sample/orders", "mode": mode, **spec}
 
 
 def _landed_events(spark: SparkSession, sf_dir: str, label: str) -> RunContext:
@@ -130,12 +130,12 @@ def scan_table(spark, sf_dir):
     ddl = f"CREATE TABLE ${{name}} ({RAW_ORDER_SCHEMA}) USING parquet LOCATION '{sf_dir.rstrip('/')}/orders.parquet'"
     run, name = _own_table(spark, "scan-table", replace(_ORDERS, layer="raw", ddl=ddl))
     inputs, _ = open_datasets(spark, {"input": {"orders": {"type": "table", "table": name}}}, run)
-    return orders.from_order_lines(inputs.read("orders"))
+    return orders.from_tpch_orders(inputs.read("orders"))
 
 
 def scan_table_by_path(spark, sf_dir):
     specs = {"input": {"orders": {"type": "table", "path": "orders.parquet", "format": "parquet"}}}
-    return orders.from_order_lines(open_datasets(spark, specs, _run(sf_dir))[0].read("orders"))
+    return orders.from_tpch_orders(open_datasets(spark, specs, _run(sf_dir))[0].read("orders"))
 
 
 def scan_cross_env(spark, sf_dir):
@@ -198,10 +198,12 @@ def sink_format_orc(spark, sf_dir):
 def sink_run_partition(spark, sf_dir):
     """Events by day; then the run of one day is repeated and finds only clicks."""
     run = _landed_events(spark, sf_dir, "run-partition")
-    clicks = _events(spark, sf_dir).where((F.col("ymd") == run.ymd) & (F.col("event_type") == "click"))
+    # Compared as dates, Spark turns the day into a range of ts that reaches the scan.
+    on_day = F.col("ts").cast("date") == F.lit(run.ymd).cast("date")
+    clicks = _given(spark, sf_dir, "events").where(on_day & (F.col("event_type") == "click"))
     leaf = {"type": "path", "path": "raw/events/impression/ymd={ymd}", "mode": "overwrite"}
     write, _ = _stored(spark, run, leaf)
-    write(clicks.drop("ymd"))
+    write(clicks)
     return open_datasets(spark, events.BACKFILL_SPECS, run)[0].read("impression")
 
 
@@ -268,7 +270,7 @@ def metric_row_count(spark, sf_dir):
 def job_orders_summary(spark, sf_dir):
     specs = {"input": {"orders": {"type": "path", "path": "orders.parquet"}}}
     run = _run(sf_dir)
-    return orders.orders_summary(spark, *open_datasets(spark, specs, run), run, prepare=orders.from_order_lines)
+    return orders.orders_summary(spark, *open_datasets(spark, specs, run), run, prepare=orders.from_tpch_orders)
 
 
 def _orders_ingest(spark, sf_dir, label: str, specs: dict, definition: TableDefinition, runs: int) -> DataFrame:
@@ -278,7 +280,7 @@ def _orders_ingest(spark, sf_dir, label: str, specs: dict, definition: TableDefi
     inputs, _ = open_datasets(spark, {"input": seed}, _run(sf_dir))
     _, outputs = open_datasets(spark, {"output": target}, run)
     for _ in range(runs):
-        table = orders.orders_ingest(spark, inputs, outputs, run, prepare=orders.from_order_lines)
+        table = orders.orders_ingest(spark, inputs, outputs, run, prepare=orders.from_tpch_orders)
     return table
 
 
@@ -342,7 +344,7 @@ def stream_ingest_available_now(spark, sf_dir):
     run = _new_place(spark, "stream")
     _, outputs = open_datasets(spark, {"output": {"orders": taken}}, run)
     for _ in range(2):
-        outputs.write("orders", orders.from_order_lines(inputs.read("orders")))
+        outputs.write("orders", orders.from_tpch_orders(inputs.read("orders")))
     return open_datasets(spark, {"input": {"orders": _order_files()}}, run)[0].read("orders")
 
 

@@ -40,7 +40,7 @@ RERUN_SPECS = {
 }
 
 
-def from_order_lines(orders: DataFrame) -> DataFrame:
+def from_tpch_orders(orders: DataFrame) -> DataFrame:
     """The ``o_...`` columns of an order table, named and typed as ``ORDER_SCHEMA``."""
     return conform(
         orders,

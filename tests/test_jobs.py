@@ -51,7 +51,7 @@ def test_summary_of_nothing(spark, run):
 def test_summary_reads_two_columns(spark):
     given = {"input": {"orders": {"type": "path", "path": "orders.parquet"}}}
     run = RunContext(warehouse=TESTDATA, ymd="2024-01-02", hms="000101")
-    summary = orders.orders_summary(spark, *open_datasets(spark, given, run), run, prepare=orders.from_order_lines)
+    summary = orders.orders_summary(spark, *open_datasets(spark, given, run), run, prepare=orders.from_tpch_orders)
     plan = summary._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderstatus:string,o_totalprice:double>" in plan
 

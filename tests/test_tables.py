@@ -5,6 +5,7 @@ from unittest.mock import MagicMock
 from uuid import uuid4
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from layerline.sources import Dataset
@@ -80,6 +81,19 @@ def test_overwrite_partitions_leaves_the_others(spark, table, orders):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_the_null_partition_is_a_partition(spark, table, orders):
+    write, read = table("overwrite_partitions", partitioned=True)
+    write(orders.unionByName(spark.createDataFrame([(4, 40, None, 4.0), (5, 50, None, 5.0)], SCHEMA)))
+    write(spark.createDataFrame([(6, 60, None, 6.0)], SCHEMA))
+    assert by_id(read()) == [*ORDERS, (6, 60, None, 6.0)]
+
+
+def test_a_table_that_is_not_there(spark, table_run, store):
+    write, _ = store({"type": "table", "table": "refined.nowhere.orders", "mode": "append"}, at=table_run)
+    with pytest.raises(AnalysisException, match="NOT_FOUND"):
+        write(spark.range(1))
+
+
 def test_overwrite_partitions_of_a_table_without_partitions_replaces_it(table, orders):
     write, read = table("overwrite_partitions")
     write(orders)
