@@ -76,7 +76,8 @@ def _order_files(mode: str = "overwrite", **spec) -> dict:
 def _landed_events(spark: SparkSession, sf_dir: str, label: str) -> RunContext:
     """All events in one directory per day, as a day's run finds them."""
     run = _new_place(spark, label)
-    write, _ = _stored(spark, run, {"type": "path", "path": "raw/events/impression", "partition_by": ["ymd"]})
+    by_day = {"type": "path", "path": "raw/events/impression", "partition_by": ["ymd"], "rebalance": 1000}
+    write, _ = _stored(spark, run, by_day)
     write(_events(spark, sf_dir))
     return run
 

@@ -86,8 +86,10 @@ class DatasetGroup:
         if columns:
             # Without this, every task writes a file for every partition value it meets. The
             # rebalance gathers them, and adaptive execution splits a value that is too big
-            # for one task, so one hot day does not become one long task.
-            df = df.hint("rebalance", *columns)
+            # for one task, so one hot day does not become one long task. Values that share a
+            # shuffle partition are split together, so there should be more of these than values.
+            spread = () if dataset.rebalance is True else (dataset.rebalance,)
+            df = df.hint("rebalance", *spread, *columns)
         if not count_rows:
             kind.write(self._spark, dataset, df)
             return None

@@ -30,7 +30,8 @@ class Dataset:
     # for partition columns: Spark would infer ymd as a date and hms=000101 as the int 101.
     schema: str | None = None
     # Gather the rows of a partition value before a partitioned write (see groups.py).
-    rebalance: bool = True
+    # A number is how many shuffle partitions to spread the values over.
+    rebalance: bool | int = True
     # The spec as it was given.
     spec: Mapping[str, Any] = field(default_factory=dict)
 
@@ -61,7 +62,7 @@ def resolve_table(name: str, spec: Mapping[str, Any], run: RunContext, kind: str
         location=run.table_name(str(spec["table"])),
         by_path=False,
         mode=mode,
-        rebalance=bool(spec.get("rebalance", True)),
+        rebalance=_rebalance(name, spec),
         spec=spec,
     )
 
@@ -86,10 +87,17 @@ def resolve_files(name: str, spec: Mapping[str, Any], run: RunContext, kind: str
         options={str(key): _option_text(value) for key, value in options.items()},
         partition_by=tuple(partition_by),
         schema=spec.get("schema"),
-        rebalance=bool(spec.get("rebalance", True)),
+        rebalance=_rebalance(name, spec),
         spec=spec,
     )
 
 
+def _rebalance(name: str, spec: Mapping[str, Any]) -> bool | int:
+    rebalance = spec.get("rebalance", True)
+    if not isinstance(rebalance, int) or rebalance < 0:
+        raise ValueError(f"dataset '{name}': rebalance is true, false or a number, not {rebalance!r}")
+    return rebalance
+
+
 def _option_text(value: Any) -> str:
     return str(value).lower() if isinstance(value, bool) else str(value)

@@ -32,6 +32,21 @@ def test_small_days_are_one_file_each(store, tmp_path, hot_day):
     assert read().count() == 60000
 
 
+def test_days_in_shuffle_partitions_of_their_own(store, tmp_path, hot_day, set_conf):
+    """With few shuffle partitions, small days share one with the hot day and are split along with it."""
+    set_conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    set_conf("spark.sql.shuffle.partitions", "2")
+    files = {}
+    for rebalance in (True, 500):
+        spec = {"type": "path", "path": f"t{rebalance}", "partition_by": ["ymd"], "rebalance": rebalance}
+        write, _ = store(spec)
+        write(hot_day)
+        files[rebalance] = files_by_day(f"{tmp_path}/t{rebalance}")
+    assert sum(files[500].values()) < sum(files[True].values())
+    assert files[500].pop("ymd=hot") > 3
+    assert set(files[500].values()) == {1}
+
+
 def test_without_gathering_each_task_writes_each_day(store, tmp_path, hot_day):
     write, _ = store({"type": "path", "path": "t", "partition_by": ["ymd"], "rebalance": False})
     write(hot_day)

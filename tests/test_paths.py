@@ -135,3 +135,17 @@ def test_rows_are_counted_by_the_write(store, two_days):
     assert write(two_days, count_rows=True) == 3
     assert write(two_days.where("id = 0"), count_rows=True) == 0
     assert write(two_days) is None
+
+
+def test_no_rows_are_counted_as_none(spark, store, two_days):
+    write, read = store({"type": "path", "path": "t"})
+    for nothing in (two_days.where("id = 0"), two_days.where(F.lit(False)), two_days.limit(0)):
+        assert write(nothing, count_rows=True) == 0
+    assert read().columns == two_days.columns
+
+
+def test_rows_that_are_ignored_are_not_counted(store, two_days):
+    write, read = store({"type": "path", "path": "t", "mode": "ignore"})
+    assert write(two_days, count_rows=True) == 3
+    assert write(two_days, count_rows=True) == 0
+    assert read().count() == 3

@@ -123,6 +123,15 @@ def test_rows_are_counted_by_the_write(table, orders):
     assert write(orders, count_rows=True) == 3
 
 
+@pytest.mark.parametrize("partitioned", [False, True])
+@pytest.mark.parametrize("mode", ["append", "overwrite_partitions"])
+def test_no_rows_are_counted_as_none(spark, table, orders, mode, partitioned):
+    write, read = table(mode, partitioned)
+    for nothing in (orders.where("order_id = 0"), orders.where(F.lit(False)), spark.createDataFrame([], SCHEMA)):
+        assert write(nothing, count_rows=True) == 0
+    assert read().count() == 0
+
+
 @pytest.mark.parametrize(("mode", "call"), [("append", "append"), ("overwrite_partitions", "overwritePartitions")])
 def test_other_catalogs_are_written_with_their_own_writer(mode, call):
     """There is no such catalog here to write to, so this checks the call only."""
