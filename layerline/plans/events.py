@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from layerline.operators import group_totals
-from layerline.sources import DatasetGroup, RunContext
-from layerline.sources.paths import read_path
+from layerline.sources import DatasetGroup, RunContext, read_dataset
 
 # Partition columns are declared as text: inferred, ymd would come back as a date.
 EVENT_SCHEMA = (
@@ -40,14 +39,14 @@ def events_daily(spark: SparkSession, inputs: DatasetGroup, outputs: DatasetGrou
     """Summary by event type of the run's day."""
     run.require_batch()
     outputs.write("main", _totals(inputs.read("impression"), "event_type"))
-    return read_path(spark, outputs["main"])
+    return read_dataset(spark, outputs["main"])
 
 
 def events_backfill(spark: SparkSession, inputs: DatasetGroup, outputs: DatasetGroup, run: RunContext) -> DataFrame:
     """Summary by day and event type of all days."""
     run.require_batch()
     outputs.write("main", _totals(inputs.read("impression"), "ymd", "event_type"))
-    return read_path(spark, outputs["main"])
+    return read_dataset(spark, outputs["main"])
 
 
 def _totals(events: DataFrame, *keys: str) -> DataFrame:

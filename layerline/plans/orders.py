@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from layerline.functions import conform, day_of
 from layerline.operators import group_totals
-from layerline.sources import DatasetGroup, RunContext
+from layerline.sources import DatasetGroup, RunContext, read_dataset
 
 logger = logging.getLogger(__name__)
 
@@ -93,7 +93,7 @@ def orders_ingest(
     run: RunContext,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Move the seed orders to the refined table and return that table.
+    """Move the seed orders to the refined dataset and return that.
 
     The table of ``INGEST_SPECS`` is appended to, so a second run adds the rows a
     second time. With ``RERUN_SPECS``, a run replaces what an earlier run of its day
@@ -108,4 +108,4 @@ def orders_ingest(
         orders = orders.withColumn("ymd", F.lit(run.ymd))
     rows = outputs.write("orders", orders, count_rows=True)
     logger.info("orders ingest: %s rows to %s", rows, target.location)
-    return spark.table(target.location)
+    return read_dataset(spark, target)

@@ -73,8 +73,7 @@ class DatasetGroup:
     def read(self, name: str) -> DataFrame:
         if self._kind != "input":
             raise TypeError("output datasets are written, not read")
-        dataset = self[name]
-        return _type_of(dataset).read(self._spark, dataset)
+        return read_dataset(self._spark, self[name])
 
     def write(self, name: str, df: DataFrame, count_rows: bool = False) -> int | None:
         """Write ``df``; with ``count_rows``, return the rows written, counted by the write itself."""
@@ -123,6 +122,11 @@ def open_datasets(
     return inputs, outputs
 
 
+def read_dataset(spark: SparkSession, dataset: Dataset) -> DataFrame:
+    """Read a resolved dataset of either kind, as a job does with what it wrote."""
+    return _type_of(dataset).read(spark, dataset)
+
+
 def _resolve(name: str, spec: Any, run: RunContext, kind: str) -> Dataset:
     if not isinstance(spec, Mapping):
         raise ValueError(f"dataset '{name}': a spec is a mapping, not a {type(spec).__name__}")

@@ -81,6 +81,11 @@ def test_ingest_appends(spark, run, table_run, seed):
     assert job().count() == 8
 
 
+def test_ingest_into_files(spark, run, seed):
+    specs = {**orders.INGEST_SPECS, "output": {"orders": {"type": "path", "path": "refined/sample/orders"}}}
+    assert rows(orders.orders_ingest(spark, *open_datasets(spark, specs, run), run)) == rows(seed)
+
+
 def test_ingest_that_may_be_repeated(spark, run, table_run, seed):
     job = ingest(spark, run, table_run, orders.RERUN_SPECS, catalog.TABLES[1])
     job()
