@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import os
+import random
 import sys
+from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -58,6 +61,22 @@ def test_total_with_not_a_number(spark):
     assert str(df.agg(total("amount")).first()[0]) == "nan"
 
 
+def test_totals_of_many_random_groups(spark):
+    draw = random.Random(7)
+    amounts = [
+        (group, round(draw.uniform(-1, 1) * 10 ** draw.randint(0, 8), draw.randint(0, 6)))
+        for group in range(300)
+        for _ in range(draw.randint(1, 40))
+    ]
+    wanted = defaultdict(Decimal)
+    for group, amount in amounts:
+        wanted[group] += Decimal(str(amount))
+    found = spark.createDataFrame(amounts, "g INT, amount DOUBLE").groupBy("g").agg(total("amount").alias("t")).collect()
+    assert {row.g: row.t for row in found} == {
+        group: float(one.quantize(Decimal("0.01"), ROUND_HALF_UP)) for group, one in wanted.items()
+    }
+
+
 def test_total_is_to_the_cent_in_any_order(spark):
     """A plain sum of these doubles is some cents off and differs from order to order."""
     amounts = spark.range(0, 2_000_000, 1, 8).select((F.col("id") * 700_001 % 99_999_999 / 100).alias("amount"))
