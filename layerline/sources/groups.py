@@ -81,7 +81,9 @@ class DatasetGroup:
             raise TypeError("input datasets are read, not written")
         dataset = self[name]
         kind = _type_of(dataset)
-        columns = kind.layout(self._spark, dataset) if dataset.rebalance else ()
+        # Without adaptive execution, nothing would split a hot value: it is left where it is.
+        gather = dataset.rebalance and self._spark.conf.get("spark.sql.adaptive.enabled") == "true"
+        columns = kind.layout(self._spark, dataset) if gather else ()
         if columns:
             # Without this, every task writes a file for every partition value it meets. The
             # rebalance gathers them, and adaptive execution splits a value that is too big

@@ -47,6 +47,13 @@ def test_days_in_shuffle_partitions_of_their_own(store, tmp_path, hot_day, set_c
     assert set(files[500].values()) == {1}
 
 
+def test_nothing_is_gathered_where_nothing_would_be_split(store, tmp_path, hot_day, set_conf):
+    set_conf("spark.sql.adaptive.enabled", "false")
+    write, _ = store({"type": "path", "path": "t", "partition_by": ["ymd"]})
+    write(hot_day)
+    assert set(files_by_day(f"{tmp_path}/t").values()) == {12}
+
+
 def test_without_gathering_each_task_writes_each_day(store, tmp_path, hot_day):
     write, _ = store({"type": "path", "path": "t", "partition_by": ["ymd"], "rebalance": False})
     write(hot_day)
