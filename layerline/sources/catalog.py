@@ -40,7 +40,7 @@ def write_table(spark: SparkSession, dataset: Dataset, df: DataFrame) -> None:
 
 def check_same_columns(spark: SparkSession, dataset: Dataset, df: DataFrame) -> None:
     """INSERT ... BY NAME would fill a column missing from ``df`` with NULL."""
-    same_case = spark.conf.get("spark.sql.caseSensitive") == "true"
+    same_case = spark.conf.get("spark.sql.caseSensitive").lower() == "true"
 
     def names(columns: list[str]) -> Counter:
         return Counter(columns if same_case else [column.lower() for column in columns])

@@ -82,7 +82,7 @@ class DatasetGroup:
         dataset = self[name]
         kind = _type_of(dataset)
         # Without adaptive execution, nothing would split a hot value: it is left where it is.
-        gather = dataset.rebalance and self._spark.conf.get("spark.sql.adaptive.enabled") == "true"
+        gather = dataset.rebalance and self._spark.conf.get("spark.sql.adaptive.enabled").lower() == "true"
         columns = kind.layout(self._spark, dataset) if gather else ()
         if columns:
             # Without this, every task writes a file for every partition value it meets. The
