@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from dataclasses import replace
+from importlib import import_module
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -446,9 +447,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return job_orders_summary(spark, "/root/testdata/sf0.001")
 
 
+def _optional(name: str):
+    """The module, or None where it or the package of training-data operators is not there."""
+    try:
+        return import_module(name)
+    except ModuleNotFoundError as missing:
+        if not (missing.name or "").startswith(("layerline.llm", "corpus_pipeline")):
+            raise
+        return None
+
+
+def _training_data() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
+    """The queries of the training-data operators and of the pipeline made of them."""
+    found = {}
+    if operators := _optional("layerline.llm.queries"):
+        found |= {name: (query, operators.ORACLE_SQL.get(name)) for name, query in operators.QUERIES.items()}
+    if pipeline := _optional("corpus_pipeline"):
+        found["pipeline"] = (pipeline.run, pipeline.ORACLE_SQL)
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for name, (query, _) in _QUERIES.items()}
+    return {name: query for name, (query, _) in (_QUERIES | _training_data()).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _QUERIES.items()}
+    return {name: sql for name, (_, sql) in (_QUERIES | _training_data()).items() if sql}
