@@ -12,6 +12,7 @@ compares its own key with its source's cut.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -73,7 +74,6 @@ def mix(
     share: float = 1.5,
     max_epochs: int = 2,
     seed: int = 20,
-    rows_per_bucket: int = 100_000,
 ) -> DataFrame:
     """The documents with ``size``, ``source_size``, ``target`` and ``taken`` (words, repeats counted).
 
@@ -91,7 +91,8 @@ def mix(
         word_count(F.col(text)).alias("size"),
     )
     rows = work.keep(rows, "sizes")
-    buckets = max(1, rows.count() // rows_per_bucket)
+    # As many buckets as rows in one, so that neither the sums nor a bucket's rows are many.
+    buckets = math.isqrt(rows.count()) + 1
     rows = rows.withColumn("bucket", F.floor(F.col("key") / F.lit(16**KEY_DIGITS / buckets)).cast("long"))
     sums = work.keep(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "buckets")
     sources = source_targets(

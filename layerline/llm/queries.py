@@ -4,11 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from layerline.llm import sql
+from layerline.llm.decontaminate import benchmark_overlaps
 from layerline.llm.exact_dedup import exact_duplicates
+from layerline.llm.language import identify_languages
+from layerline.llm.licences import licence_matches
+from layerline.llm.line_dedup import html_lines, without_boilerplate
 from layerline.llm.mixing import mix
+from layerline.llm.secrets import find_secrets, secret_digests
 from layerline.llm.simhash import near_duplicates
+from layerline.llm.token_counts import TOKENIZERS, TokenRollup, deleted, inserted, revised
+from layerline.llm.token_files import read_documents, write_token_files
+from layerline.llm.work import Work
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,22 +27,85 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_exact_dedup(spark, sf_dir):
-    return exact_duplicates(table(spark, sf_dir, "documents"))
+    return exact_duplicates(table(spark, sf_dir, "documents")).drop("level", "name")
+
+
+def op2_token_files(spark, sf_dir):
+    files = Work(spark, "token-files").path("files")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    manifest = write_token_files(table(spark, sf_dir, "documents"), files, tokenizer, end_id=2, seq_len=2048)
+    return read_documents(manifest).drop("path")
+
+
+def op3_token_counts(spark, sf_dir):
+    """All documents come in; toxic ones go; those of low quality lose repeated lines; a batch arrives twice."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    toxic = docs.join(labels.where("toxic = 1"), "doc_id", "left_semi")
+    poor = docs.join(labels.where("quality = 0"), "doc_id", "left_semi")
+    poor = poor.join(labels.where("toxic = 1"), "doc_id", "left_anti")
+    unrepeated = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
+
+    def of_all(change, rows: DataFrame, *more) -> DataFrame:
+        first, second = (change(rows, tokenizer, *more) for tokenizer in TOKENIZERS)
+        return first.unionAll(second)
+
+    rollup = TokenRollup(spark, Work(spark, "token-counts").path("rollup"))
+    rollup.commit("load", of_all(inserted, docs))
+    rollup.commit("takedown", of_all(deleted, toxic))
+    rollup.commit("cleaning", of_all(revised, poor, unrepeated))
+    rollup.commit("takedown", of_all(deleted, toxic))
+    return rollup.totals()
+
+
+def op4_language_id(spark, sf_dir):
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark, sf_dir):
+    found = benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
 
 
 def op6_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
 
 
+def op7_licence_scan(spark, sf_dir):
+    return licence_matches(table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark, sf_dir):
+    pages = without_boilerplate(table(spark, sf_dir, "pages"), text=html_lines(F.col("html")))
+    return pages.select("page_id", "host", "text", "n_lines", "n_dropped")
+
+
+def op9_secret_scan(spark, sf_dir):
+    return secret_digests(find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op10_source_mixing(spark, sf_dir):
     mixed = mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_epochs=2, seed=20)
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_token_files": op2_token_files,
+    "op3_token_counts": op3_token_counts,
+    "op4_language_id": op4_language_id,
+    "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_licence_scan": op7_licence_scan,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_secret_scan": op9_secret_scan,
     "op10_source_mixing": op10_source_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_dedup": sql.EXACT_DEDUP,
+    "op3_token_counts": sql.TOKEN_COUNTS,
+    "op7_licence_scan": sql.LICENCES,
+    "op8_line_dedup": sql.LINES,
+    "op9_secret_scan": sql.SECRETS,
+    "op10_source_mixing": sql.SOURCE_MIXING,
+}
