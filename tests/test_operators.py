@@ -3,14 +3,14 @@ from __future__ import annotations
 import os
 import random
 import sys
-from collections import defaultdict
+from collections import Counter, defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from layerline import open_datasets
+from layerline import Dataset, open_datasets
 from layerline.functions import conform, day_of, total
 from layerline.operators import compact, group_counts, group_totals, preview, sort_rows
 from layerline.sources.paths import write_path
@@ -48,11 +48,19 @@ NAN, INF = float("nan"), float("inf")
         ([1.0, INF], INF),
         ([9e15, -9e15, 0.01], 0.01),
         ([None, 1.5], 1.5),
+        ([4e-7] * 1_000_000, 0.4),
+        ([-4e-7] * 1_000_000, -0.4),
+        ([1.49e-6] * 100_000, 0.15),
+        ([2.0**53, 0.01, 0.01], 2.0**53),
+        ([9e15, 0.015, 0.01, -9e15], 0.03),
+        ([1e20, 0.25, -1e20], 0.25),
         ([None], None),
     ],
 )
 def test_total(spark, amounts, wanted):
-    df = spark.createDataFrame([(one,) for one in amounts], "amount DOUBLE").coalesce(1)
+    counted = Counter(amounts)
+    df = spark.createDataFrame(list(counted.items()), "amount DOUBLE, n INT").coalesce(1)
+    df = df.select("amount", F.explode(F.sequence(F.lit(1), "n")))
     assert df.agg(total("amount")).first()[0] == wanted
 
 
@@ -131,6 +139,16 @@ def test_a_hot_key_is_sorted_by_several_tasks(spark, set_conf, tmp_path):
     assert all(left.high <= right.low for left, right in zip(files, files[1:]))
 
 
+def test_a_hot_key_from_one_partition_is_sorted_by_several_tasks(spark, set_conf, tmp_path):
+    set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    one_key = spark.range(0, 400_000, 1, 1).select(F.lit(7).alias("k"), F.col("id").alias("v"))
+    others = spark.range(0, 10, 1, 3).select(F.col("id").cast("int").alias("k"), F.col("id").alias("v"))
+    sort_rows(one_key.unionAll(others), "k").write.parquet(f"file://{tmp_path}/sorted")
+    files = spark.read.parquet(f"file://{tmp_path}/sorted").groupBy("_metadata.file_name").count().collect()
+    assert sum(one["count"] for one in files) == 400_010
+    assert max(one["count"] for one in files) < 400_000 * 0.3
+
+
 def test_day_text(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-02 23:59:59.9' AS ts UNION ALL SELECT NULL")
     assert rows(df.select(day_of("ts"))) == [("2024-01-02",), (None,)]
@@ -149,10 +167,10 @@ def data_files(folder):
     return [one for one in os.listdir(folder) if one.endswith(".parquet")]
 
 
-def compact_to(spark, run, target, **options):
+def compact_to(spark, run, target, schema=None, more=None, **options):
     specs = {
-        "input": {"t": {"type": "path", "path": "many"}},
-        "output": {"t": {"type": "path", "path": target, "mode": "errorifexists"}},
+        "input": {"t": {"type": "path", "path": "many", "schema": schema}},
+        "output": {"t": {"type": "path", "path": target, "mode": "errorifexists", **(more or {})}},
     }
     inputs, outputs = open_datasets(spark, specs, run)
     return compact(spark, inputs["t"], outputs["t"], **options)
@@ -175,10 +193,65 @@ def test_compaction_aims_at_a_file_size(spark, run, tmp_path):
 def test_compaction_joins_directories(spark, run, tmp_path):
     df = spark.range(100).withColumn("kind", F.concat(F.lit("k"), F.col("id") % 4))
     df.write.partitionBy("kind").parquet(f"{tmp_path}/many")
-    assert rows(compact_to(spark, run, "few")) == rows(df)
+    assert rows(compact_to(spark, run, "few", "id BIGINT, kind STRING")) == rows(df)
     assert len(data_files(f"{tmp_path}/few")) == 1
 
 
+def test_compaction_leaves_directory_values_as_they_are(spark, run, tmp_path):
+    df = spark.range(6).withColumn("k", F.format_string("%06d", F.col("id") % 2 + 101))
+    df.write.partitionBy("k").parquet(f"{tmp_path}/many")
+    with pytest.raises(ValueError, match="need a 'schema'"):
+        compact_to(spark, run, "few")
+    compacted = compact_to(spark, run, "few", "id BIGINT, k STRING")
+    assert rows(compacted) == rows(df)
+    assert {row.k for row in spark.read.parquet(f"{tmp_path}/few").collect()} == {"000101", "000102"}
+
+
+def test_compaction_into_directories_gathers(spark, run, tmp_path):
+    df = spark.range(0, 1200, 1, 12).withColumn("kind", F.concat(F.lit("k"), F.col("id") % 4))
+    df.write.parquet(f"{tmp_path}/many")
+    size = sum(os.path.getsize(f"{tmp_path}/many/{one}") for one in data_files(f"{tmp_path}/many"))
+    more = {"partition_by": ["kind"]}
+    assert rows(compact_to(spark, run, "few", more=more, target_file_bytes=size // 6)) == rows(df)
+    assert [len(data_files(f"{tmp_path}/few/kind=k{k}")) for k in range(4)] == [1] * 4
+
+
+@pytest.mark.parametrize("target", ["land/../many", "./many/", "", "many/part"])
+def test_compaction_never_touches_its_source(spark, run, tmp_path, target):
+    many_files(spark, f"{tmp_path}/many")
+    before = sorted(data_files(f"{tmp_path}/many"))
+    inputs, _ = open_datasets(spark, {"input": {"t": {"type": "path", "path": "many"}}}, run)
+    onto = Dataset("t", "path", f"{run.warehouse}/{target}", format="parquet", mode="overwrite")
+    with pytest.raises(ValueError, match="another location"):
+        compact(spark, inputs["t"], onto)
+    assert sorted(data_files(f"{tmp_path}/many")) == before
+
+
+def test_compaction_is_for_files(spark, run, table_run):
+    files, _ = open_datasets(spark, {"input": {"t": {"type": "path", "path": "many"}}}, run)
+    table, _ = open_datasets(spark, {"input": {"t": {"type": "table", "table": "raw.x"}}}, table_run)
+    stream, _ = open_datasets(spark, {"input": {"t": {"type": "stream", "path": "x", "schema": "id INT"}}}, run)
+    for other in (table["t"], stream["t"]):
+        with pytest.raises(ValueError, match="only files at a path"):
+            compact(spark, other, files["t"])
+
+
+def test_compaction_notices_other_content(spark, run, tmp_path, monkeypatch):
+    many_files(spark, f"{tmp_path}/many")
+    module = sys.modules["layerline.operators.compact"]
+    monkeypatch.setattr(
+        module, "write_path", lambda spark, target, df: write_path(spark, target, df.withColumn("id", F.col("id") + 1))
+    )
+    with pytest.raises(RuntimeError, match="with other content"):
+        compact_to(spark, run, "few")
+
+
+def test_compaction_of_maps(spark, run, tmp_path):
+    df = spark.range(5).withColumn("m", F.create_map(F.lit("a"), "id"))
+    df.write.parquet(f"{tmp_path}/many")
+    assert compact_to(spark, run, "few").count() == 5
+
+
 def test_compaction_of_nothing(spark, run, tmp_path):
     spark.range(0).write.parquet(f"{tmp_path}/many")
     assert compact_to(spark, run, "few").count() == 0
