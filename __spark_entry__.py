@@ -7,13 +7,18 @@ write stage their data in a new folder (see ``staging_folder``).
 
 from __future__ import annotations
 
+import re
 import sys
-from collections.abc import Callable
+import tempfile
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import replace
+from functools import wraps
 from importlib import import_module
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -22,10 +27,13 @@ from layerline import RunContext, open_datasets  # noqa: E402
 from layerline.functions import day_of  # noqa: E402
 from layerline.operators import compact, group_counts, group_totals, preview, sort_rows  # noqa: E402
 from layerline.plans import catalog, events, orders  # noqa: E402
-from layerline.sources.folders import staging_folder  # noqa: E402
-from layerline.sources.provision import TableDefinition, create_tables, list_tables  # noqa: E402
+from layerline.sources.catalog import quoted  # noqa: E402
+from layerline.sources.folders import STAGING_SETTING, staging_folder  # noqa: E402
+from layerline.sources.provision import LAYERS, TableDefinition, create_tables, list_tables  # noqa: E402
 from layerline.sources.run import SESSION_CATALOG  # noqa: E402
 
+#: Where the given tables lie.
+DATA = Path("/root/testdata")
 YMD, HMS = "2024-01-02", "000101"
 RAW_ORDER_SCHEMA = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
@@ -35,6 +43,31 @@ RAW_ORDER_SCHEMA = (
 
 # Set-up shared by the queries
 
+#: Seconds spent so far on putting the given tables where a query's step finds them, which bench.py takes off.
+setup_seconds = 0.0
+
+
+@contextmanager
+def _setting_up() -> Iterator[None]:
+    global setup_seconds
+    start = time.perf_counter()
+    yield
+    setup_seconds += time.perf_counter() - start
+
+
+def _with_shared_folder(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A local session that names no shared folder gets one of this machine; a cluster has to name its own."""
+
+    @wraps(query)
+    def run(spark, sf_dir):
+        named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(STAGING_SETTING, None)
+        if not named and spark.sparkContext.master.startswith("local"):
+            application = spark.sparkContext.applicationId
+            spark.conf.set(STAGING_SETTING, f"{tempfile.gettempdir()}/layerline-{application}")
+        return query(spark, sf_dir)
+
+    return run
+
 
 def _run(warehouse: str, catalog_name: str | None = None, env: str = "local") -> RunContext:
     return RunContext(warehouse=warehouse, catalog=catalog_name, env=env, ymd=YMD, hms=HMS)
@@ -74,20 +107,36 @@ def _order_files(mode: str = "overwrite", **spec) -> dict:
     return {"type": "path", "path": "refined/sample/orders", "mode": mode, **spec}
 
 
-def _landed_events(spark: SparkSession, sf_dir: str, label: str) -> RunContext:
-    """All events in one directory per day, as a day's run finds them."""
-    run = _new_place(spark, label)
-    by_day = {"type": "path", "path": "raw/events/impression", "partition_by": ["ymd"], "rebalance": 1000}
-    write, _ = _stored(spark, run, by_day)
-    write(_events(spark, sf_dir))
-    return run
+_landed: dict[tuple[str, str], RunContext] = {}
+
+
+def _landed_events(spark: SparkSession, sf_dir: str) -> RunContext:
+    """All events in one directory per day, as a day's run finds them; landed once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        with _setting_up():
+            run = _new_place(spark, "events")
+            by_day = {"type": "path", "path": "raw/events/impression", "partition_by": ["ymd"], "rebalance": 1000}
+            write, _ = _stored(spark, run, by_day)
+            write(_events(spark, sf_dir))
+        _landed[key] = run
+    return _landed[key]
+
+
+def _own_domain(spark: SparkSession, run: RunContext, label: str) -> str:
+    """A domain for one query, since the session's tables are shared by all. What its last run left is dropped."""
+    domain = re.sub(r"\W", "_", f"{label}_{spark.sparkContext.applicationId}")
+    for layer in LAYERS:
+        namespace = run.table_name(f"{layer}.{domain}._").removesuffix("._")
+        spark.sql(f"DROP NAMESPACE IF EXISTS {quoted(namespace)} CASCADE")
+    return domain
 
 
 def _own_table(spark: SparkSession, label: str, definition: TableDefinition) -> tuple[RunContext, str]:
-    """The table in a domain of its own, since the session's tables are shared by all queries."""
-    run = _new_place(spark, label, SESSION_CATALOG)
-    own = replace(definition, domain="d" + run.warehouse[-32:])
-    create_tables(spark, [own], run)
+    with _setting_up():
+        run = _new_place(spark, label, SESSION_CATALOG)
+        own = replace(definition, domain=_own_domain(spark, run, label))
+        create_tables(spark, [own], run)
     return run, own.dotted
 
 
@@ -105,21 +154,37 @@ def scan_path_parquet(spark, sf_dir):
 def _scan_format(file_format: str, **options):
     def query(spark, sf_dir):
         spec = _order_files(format=file_format, options=options, schema=orders.ORDER_SCHEMA)
-        write, read = _stored(spark, _new_place(spark, f"scan-{file_format}"), spec)
-        write(_orders(spark, sf_dir))
+        with _setting_up():
+            write, read = _stored(spark, _new_place(spark, f"scan-{file_format}"), spec)
+            write(_orders(spark, sf_dir))
         return read()
 
     return query
 
 
 def scan_run_partition(spark, sf_dir):
-    run = _landed_events(spark, sf_dir, "scan-run-partition")
-    inputs, _ = open_datasets(spark, events.DAILY_SPECS, run)
+    inputs, _ = open_datasets(spark, events.DAILY_SPECS, _landed_events(spark, sf_dir))
     return inputs.read("impression")
 
 
+def scan_run_time(spark, sf_dir):
+    """A run's own directory down to the time of day, whose leading zeros have to survive."""
+    leaf = "refined/sample/orders/ymd={ymd}/hms={hms}"
+    with _setting_up():
+        run = _new_place(spark, "scan-run-time")
+        write, _ = _stored(spark, run, {"type": "path", "path": leaf})
+        write(_orders(spark, sf_dir))
+    read = {
+        "type": "path",
+        "path": leaf,
+        "schema": f"{orders.ORDER_SCHEMA}, ymd STRING, hms STRING",
+        "options": {"basePath": run.location("refined/sample/orders")},
+    }
+    return open_datasets(spark, {"input": {"orders": read}}, run)[0].read("orders")
+
+
 def scan_options_basepath(spark, sf_dir):
-    run = _landed_events(spark, sf_dir, "scan-basepath")
+    run = _landed_events(spark, sf_dir)
     day = {
         **events.DAILY_SPECS["input"]["impression"],
         "schema": events.EVENT_SCHEMA,
@@ -141,18 +206,27 @@ def scan_table_by_path(spark, sf_dir):
 
 
 def scan_cross_env(spark, sf_dir):
+    """Finished orders are files here; the others are files of one other environment and a table of a third."""
     place = staging_folder(spark, "scan-cross-env")
     rows = _orders(spark, sf_dir)
-    parts = {"local": rows.where(_finished()), "homelab": rows.where(~_finished())}
-    for env, part in parts.items():
-        write, _ = _stored(spark, _run(f"{place}/{env}", env=env), _order_files())
-        write(part)
-    environments = {env: {"warehouse": f"{place}/{env}"} for env in parts}
-    specs = {"input": {"orders": _order_files()}}
-    inputs, _ = open_datasets(spark, specs, _run(f"{place}/local"), environments)
-    here = inputs.read("orders").agg(F.lit("local").alias("env"), F.count("*").alias("order_count"))
-    there = inputs("homelab").read("orders").agg(F.lit("homelab").alias("env"), F.count("*").alias("order_count"))
-    return here.unionByName(there)
+    large = F.coalesce(F.col("amount") > 100000, F.lit(False))
+    parts = {"local": _finished(), "annex": ~_finished() & large, "vault": ~_finished() & ~large}
+    with _setting_up():
+        for env in ("local", "annex"):
+            write, _ = _stored(spark, _run(f"{place}/{env}", env=env), _order_files())
+            write(rows.where(parts[env]))
+        run, name = _own_table(spark, "scan-cross-env", _ORDERS)
+        write, _ = _stored(spark, run, {"type": "table", "table": name, "mode": "append"})
+        write(rows.where(parts["vault"]))
+    environments = {
+        "annex": {"warehouse": f"{place}/annex"},
+        "vault": {"catalog": SESSION_CATALOG, "datasets": {"input": {"orders": {"type": "table", "table": name}}}},
+    }
+    inputs, _ = open_datasets(spark, {"input": {"orders": _order_files()}}, _run(f"{place}/local"), environments)
+    local, annex, vault = (
+        inputs(env).read("orders").withColumn("env", F.lit(env)) for env in ("local", "annex", "vault")
+    )
+    return local.unionByName(annex).unionByName(vault)
 
 
 # Sinks on paths
@@ -187,19 +261,23 @@ def sink_path_partitioned(spark, sf_dir):
     spec = _order_files(partition_by=["status"], rebalance=False, schema=orders.ORDER_SCHEMA)
     write, read = _stored(spark, _new_place(spark, "partitioned"), spec)
     write(_orders(spark, sf_dir))
-    return group_counts(read(), "status", count_as="order_count")
+    return read()
 
 
 def sink_format_orc(spark, sf_dir):
     spec = _order_files(format="orc", options={"compression": "zlib"})
     write, read = _stored(spark, _new_place(spark, "orc"), spec)
     write(_orders(spark, sf_dir))
-    return group_counts(read(), "status", count_as="order_count")
+    return read()
 
 
 def sink_run_partition(spark, sf_dir):
     """Events by day; then the run of one day is repeated and finds only clicks."""
-    run = _landed_events(spark, sf_dir, "run-partition")
+    with _setting_up():
+        run = _new_place(spark, "run-partition")
+        by_day = {"type": "path", "path": "raw/events/impression", "partition_by": ["ymd"], "rebalance": 1000}
+        write, _ = _stored(spark, run, by_day)
+        write(_events(spark, sf_dir))
     # Compared as dates, Spark turns the day into a range of ts that reaches the scan.
     on_day = F.col("ts").cast("date") == F.lit(run.ymd).cast("date")
     clicks = _given(spark, sf_dir, "events").where(on_day & (F.col("event_type") == "click"))
@@ -275,6 +353,17 @@ def job_orders_summary(spark, sf_dir):
     return orders.orders_summary(spark, *open_datasets(spark, specs, run), run, prepare=orders.from_tpch_orders)
 
 
+def metric_summary(spark, sf_dir):
+    """The summary's metrics are whole, whatever becomes of its rows."""
+    inputs, _ = open_datasets(spark, {"input": {"orders": {"type": "path", "path": "orders.parquet"}}}, _run(sf_dir))
+    run, metrics = _new_place(spark, "metric-summary"), Observation()
+    _, outputs = open_datasets(spark, {"output": {"summary": {"type": "path", "path": "mart/orders/summary"}}}, run)
+    summary = orders.orders_summary(spark, inputs, outputs, run, prepare=orders.from_tpch_orders, metrics=metrics)
+    summary.take(1)
+    found = metrics.get
+    return spark.createDataFrame([(found["source_rows"], found["groups"])], "source_rows BIGINT, groups BIGINT")
+
+
 def _orders_ingest(spark, sf_dir, label: str, specs: dict, definition: TableDefinition, runs: int) -> DataFrame:
     run, name = _own_table(spark, label, definition)
     seed = {"orders_seed": {"type": "path", "path": "orders.parquet"}}
@@ -297,9 +386,11 @@ def job_orders_ingest_rerun(spark, sf_dir):
 
 def job_events_daily(spark, sf_dir):
     """Every day's summary by one backfill; then one day is run again on its own."""
-    run = _landed_events(spark, sf_dir, "events-daily")
-    events.events_backfill(spark, *open_datasets(spark, events.BACKFILL_SPECS, run), run)
-    events.events_daily(spark, *open_datasets(spark, events.DAILY_SPECS, run), run)
+    landed, run = _landed_events(spark, sf_dir), _new_place(spark, "events-daily")
+    for job, specs in ((events.events_backfill, events.BACKFILL_SPECS), (events.events_daily, events.DAILY_SPECS)):
+        inputs, _ = open_datasets(spark, {"input": specs["input"]}, landed)
+        _, outputs = open_datasets(spark, {"output": specs["output"]}, run)
+        job(spark, inputs, outputs, run)
     summary = {"type": "path", "path": "mart/events/summary", "schema": events.SUMMARY_SCHEMA}
     return open_datasets(spark, {"input": {"summary": summary}}, run)[0].read("summary")
 
@@ -307,7 +398,7 @@ def job_events_daily(spark, sf_dir):
 def _provisioned(spark, sf_dir, label: str) -> tuple[RunContext, str]:
     """All tables of the catalog job, in a domain of their own, with the orders ingested."""
     run = _new_place(spark, label, SESSION_CATALOG)
-    domain = "d" + run.warehouse[-32:]
+    domain = _own_domain(spark, run, label)
     tables = [replace(one, domain=domain) for one in catalog.TABLES]
     create_tables(spark, tables, run, layer="refined", domain=domain)
     write, _ = _stored(spark, run, {"type": "table", "table": f"refined.{domain}.orders", "mode": "append"})
@@ -317,7 +408,7 @@ def _provisioned(spark, sf_dir, label: str) -> tuple[RunContext, str]:
 
 
 def _is_listed(spark, run: RunContext, domain: str) -> Column:
-    return F.lit("orders" in [row.tableName for row in list_tables(spark, run, "refined", domain).collect()])
+    return F.lit(not list_tables(spark, run, "refined", domain).where("tableName = 'orders'").isEmpty())
 
 
 def ddl_apply(spark, sf_dir):
@@ -325,7 +416,7 @@ def ddl_apply(spark, sf_dir):
     run, domain = _provisioned(spark, sf_dir, "ddl-apply")
     table = {"type": "table", "table": f"refined.{domain}.orders"}
     rows = open_datasets(spark, {"input": {"orders": table}}, run)[0].read("orders")
-    return rows.agg(_is_listed(spark, run, domain).alias("table_exists"), F.count("*").alias("row_count"))
+    return rows.withColumn("table_exists", _is_listed(spark, run, domain))
 
 
 def ddl_drop(spark, sf_dir):
@@ -334,7 +425,7 @@ def ddl_drop(spark, sf_dir):
     catalog.drop_from_catalog(spark, run, "refined", domain, "orders")
     files = {"type": "table", "path": f"refined/{domain}/orders", "format": "parquet"}
     rows = open_datasets(spark, {"input": {"orders": files}}, run)[0].read("orders")
-    return rows.agg(_is_listed(spark, run, domain).alias("table_exists"), F.count("*").alias("row_count"))
+    return rows.withColumn("table_exists", _is_listed(spark, run, domain))
 
 
 def stream_ingest_available_now(spark, sf_dir):
@@ -350,19 +441,33 @@ def stream_ingest_available_now(spark, sf_dir):
     return open_datasets(spark, {"input": {"orders": _order_files()}}, run)[0].read("orders")
 
 
+def stream_ingest_partitioned(spark, sf_dir):
+    """The stream's target in a directory per status, each written by a few tasks."""
+    arriving = {"type": "stream", "path": "orders.parquet*", "schema": RAW_ORDER_SCHEMA}
+    by_status = {"partition_by": ["status"], "rebalance": 2, "checkpoint": "checkpoints/orders"}
+    inputs, _ = open_datasets(spark, {"input": {"orders": arriving}}, _run(sf_dir))
+    run = _new_place(spark, "stream-partitioned")
+    taken = {**_order_files("append"), "type": "stream", **by_status}
+    _, outputs = open_datasets(spark, {"output": {"orders": taken}}, run)
+    outputs.write("orders", orders.from_tpch_orders(inputs.read("orders")))
+    written = _order_files(schema=orders.ORDER_SCHEMA)
+    return open_datasets(spark, {"input": {"orders": written}}, run)[0].read("orders")
+
+
 def compact_partition(spark, sf_dir):
-    """All events landed as one partition, in a directory per event type, and rewritten as fewer files."""
-    run = _new_place(spark, "compact")
+    """All events landed as one partition, in directories by hour with leading zeros, and rewritten as fewer files."""
     landed = {
         "type": "path",
         "path": "raw/events/impression/ymd={ymd}",
-        "partition_by": ["event_type"],
-        "rebalance": False,
+        "partition_by": ["hour"],
+        "schema": f"{events.EVENT_SCHEMA.removesuffix(', ymd STRING')}, hour STRING",
     }
-    write, _ = _stored(spark, run, landed)
-    write(_given(spark, sf_dir, "events"))
+    with _setting_up():
+        run = _new_place(spark, "compact")
+        write, _ = _stored(spark, run, landed)
+        write(_given(spark, sf_dir, "events").withColumn("hour", F.date_format("ts", "HH")))
     specs = {
-        "input": {"events": {"type": "path", "path": "raw/events/impression/ymd={ymd}"}},
+        "input": {"events": landed},
         "output": {"events": {"type": "path", "path": "compacted/events/impression/ymd={ymd}"}},
     }
     inputs, outputs = open_datasets(spark, specs, run)
@@ -379,7 +484,7 @@ _COUNT_SQL = "SELECT o_orderstatus AS status, count(*) AS order_count FROM order
 # Summed as decimals: a sum of doubles depends on the order of the rows.
 _SUMMARY_SQL = """
     SELECT o_orderstatus AS status, count(*) AS order_count,
-           CAST(round(sum(CAST(o_totalprice AS DECIMAL(28, 6))), 2) AS DOUBLE) AS total_amount
+           CAST(round(sum(CAST(o_totalprice AS DECIMAL(38, 15))), 2) AS DOUBLE) AS total_amount
     FROM orders GROUP BY 1 ORDER BY 1 NULLS FIRST"""
 _DAY_SQL = "strftime(ts, '%Y-%m-%d')"
 
@@ -389,6 +494,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "scan_format_json": (_scan_format("json"), _ORDERS_SQL),
     "scan_format_csv": (_scan_format("csv", header=True), _ORDERS_SQL),
     "scan_run_partition": (scan_run_partition, f"SELECT * FROM events WHERE {_DAY_SQL} = '{YMD}'"),
+    "scan_run_time": (scan_run_time, f"SELECT *, '{YMD}' AS ymd, '{HMS}' AS hms FROM ({_ORDERS_SQL})"),
     "scan_options_basepath": (
         scan_options_basepath,
         f"SELECT *, {_DAY_SQL} AS ymd FROM events WHERE {_DAY_SQL} = '{YMD}'",
@@ -397,15 +503,14 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "scan_table_by_path": (scan_table_by_path, _ORDERS_SQL),
     "scan_cross_env": (
         scan_cross_env,
-        """SELECT 'local' AS env, count(*) AS order_count FROM orders WHERE o_orderstatus = 'F'
-           UNION ALL
-           SELECT 'homelab', count(*) FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'""",
+        f"""SELECT *, CASE WHEN status = 'F' THEN 'local' WHEN amount > 100000 THEN 'annex' ELSE 'vault' END AS env
+            FROM ({_ORDERS_SQL})""",
     ),
     "sink_path_overwrite": (sink_path_overwrite, _ORDERS_SQL),
     "sink_path_append": (sink_path_append, _ORDERS_SQL),
     "sink_path_ignore": (sink_path_ignore, _ORDERS_SQL),
-    "sink_path_partitioned": (sink_path_partitioned, _COUNT_SQL),
-    "sink_format_orc": (sink_format_orc, _COUNT_SQL),
+    "sink_path_partitioned": (sink_path_partitioned, _ORDERS_SQL),
+    "sink_format_orc": (sink_format_orc, _ORDERS_SQL),
     "sink_run_partition": (
         sink_run_partition,
         f"SELECT *, {_DAY_SQL} AS ymd FROM events WHERE NOT ({_DAY_SQL} = '{YMD}' AND event_type <> 'click')",
@@ -426,25 +531,30 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
                        amount NULLS FIRST, order_date NULLS FIRST LIMIT 20""",
     ),
     "metric_row_count": (metric_row_count, "SELECT count(*) AS row_count FROM orders"),
+    "metric_summary": (
+        metric_summary,
+        f"SELECT CAST(sum(order_count) AS BIGINT) AS source_rows, count(*) AS groups FROM ({_COUNT_SQL})",
+    ),
     "job_orders_summary": (job_orders_summary, _SUMMARY_SQL),
     "job_orders_ingest": (job_orders_ingest, _ORDERS_SQL),
     "job_orders_ingest_rerun": (job_orders_ingest_rerun, f"SELECT *, '{YMD}' AS ymd FROM ({_ORDERS_SQL})"),
     "job_events_daily": (
         job_events_daily,
         f"""SELECT event_type, count(*) AS event_count,
-                   CAST(round(sum(CAST(value AS DECIMAL(28, 6))), 2) AS DOUBLE) AS total_value, {_DAY_SQL} AS ymd
+                   CAST(round(sum(CAST(value AS DECIMAL(38, 15))), 2) AS DOUBLE) AS total_value, {_DAY_SQL} AS ymd
             FROM events GROUP BY event_type, ymd""",
     ),
-    "ddl_apply": (ddl_apply, "SELECT true AS table_exists, count(*) AS row_count FROM orders"),
-    "ddl_drop": (ddl_drop, "SELECT false AS table_exists, count(*) AS row_count FROM orders"),
+    "ddl_apply": (ddl_apply, f"SELECT *, true AS table_exists FROM ({_ORDERS_SQL})"),
+    "ddl_drop": (ddl_drop, f"SELECT *, false AS table_exists FROM ({_ORDERS_SQL})"),
     "stream_ingest_available_now": (stream_ingest_available_now, _ORDERS_SQL),
-    "compact_partition": (compact_partition, "SELECT * FROM events"),
+    "stream_ingest_partitioned": (stream_ingest_partitioned, _ORDERS_SQL),
+    "compact_partition": (compact_partition, "SELECT *, strftime(ts, '%H') AS hour FROM events"),
 }
 
 
 def entry(spark: SparkSession) -> DataFrame:
     """The order summary over the smallest tables."""
-    return job_orders_summary(spark, "/root/testdata/sf0.001")
+    return job_orders_summary(spark, str(DATA / "sf0.001"))
 
 
 def _optional(name: str):
@@ -468,7 +578,7 @@ def _training_data() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for name, (query, _) in (_QUERIES | _training_data()).items()}
+    return {name: _with_shared_folder(query) for name, (query, _) in (_QUERIES | _training_data()).items()}
 
 
 def oracle_sql() -> dict[str, str]:

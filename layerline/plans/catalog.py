@@ -14,7 +14,7 @@ TABLES = (
         "sample",
         "orders",
         f"CREATE TABLE IF NOT EXISTS ${{name}} ({ORDER_SCHEMA}) USING ${{format}} "
-        "LOCATION '${warehouse}/${layer}/${domain}/${table}' TBLPROPERTIES ('format-version' = '2')",
+        "LOCATION '${warehouse}/${layer}/${domain}/${table}'",
     ),
     TableDefinition(
         "refined",
@@ -22,7 +22,7 @@ TABLES = (
         "orders_by_day",
         f"CREATE TABLE IF NOT EXISTS ${{name}} ({ORDER_SCHEMA}, ymd STRING) USING ${{format}} "
         "PARTITIONED BY (ymd) "
-        "LOCATION '${warehouse}/${layer}/${domain}/${table}' TBLPROPERTIES ('format-version' = '2')",
+        "LOCATION '${warehouse}/${layer}/${domain}/${table}'",
     ),
 )
 

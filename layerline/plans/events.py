@@ -13,6 +13,7 @@ EVENT_SCHEMA = (
 )
 SUMMARY_SCHEMA = "event_type STRING, event_count BIGINT, total_value DOUBLE, ymd STRING"
 
+# The place of the events and the names of the datasets. The rest is this repository's choice.
 # One day: read its directory, replace its directory.
 DAILY_SPECS = {
     "input": {"impression": {"type": "path", "path": "raw/events/impression/ymd={ymd}"}},

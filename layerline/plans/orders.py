@@ -65,25 +65,22 @@ def orders_summary(
     """Count and total amount by status, in status order.
 
     ``prepare`` gives the orders the columns of ``ORDER_SCHEMA`` where they differ.
-    With ``metrics``, whatever action runs the summary also fills in
-    ``source_rows`` and ``groups``. The source rows are the sum of the group
-    counts, so they cost no second pass. They are observed above the sort, which
-    evaluates its input twice: once to sample the boundaries.
+    With ``metrics``, the summary is written to the output ``summary`` and read
+    back. The write sees all groups, whatever the caller does with the result, so
+    ``source_rows`` and ``groups`` are whole when this returns. The source rows
+    are the sum of the group counts and cost no second pass.
     """
     run.require_batch()
     orders = inputs.read("orders")
     if prepare:
         orders = prepare(orders)
-    summary = group_totals(
-        orders, "status", total_of="amount", count_as="order_count", total_as="total_amount"
-    ).orderBy("status")
-    if metrics is None:
-        return summary
-    return summary.observe(
-        metrics,
-        F.coalesce(F.sum("order_count"), F.lit(0)).alias("source_rows"),
-        F.count(F.lit(1)).alias("groups"),
-    )
+    summary = group_totals(orders, "status", total_of="amount", count_as="order_count", total_as="total_amount")
+    if metrics is not None:
+        source_rows = F.coalesce(F.sum("order_count"), F.lit(0)).alias("source_rows")
+        outputs.write("summary", summary.observe(metrics, source_rows, F.count(F.lit(1)).alias("groups")))
+        logger.info("orders summary: %s", metrics.get)
+        summary = read_dataset(spark, outputs["summary"])
+    return summary.orderBy("status")
 
 
 def orders_ingest(

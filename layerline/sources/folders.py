@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+#: For a session that was started without ``spark.checkpoint.dir``, which cannot be set later.
+STAGING_SETTING = "spark.layerline.staging.dir"
+
+
 def staging_folder(spark: SparkSession, label: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which all executors share.
 
-    Unset, a local session gets a temporary folder; a cluster has no such place,
-    since its executors cannot read a folder of the driver's machine.
+    Where that is not set, under ``spark.layerline.staging.dir``. No folder is made
+    up: executors of a cluster cannot read one of the driver's machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(STAGING_SETTING, None)
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="layerline-")
+        raise RuntimeError(f"set spark.checkpoint.dir, or {STAGING_SETTING}, to a folder that all executors share")
     folder = f"{shared.rstrip('/')}/layerline-{label}-{uuid.uuid4().hex}"
     # Staged copies are as large as their tables, so they go when the application ends.
     files, path = _hadoop(spark, folder)
@@ -27,6 +28,18 @@ def staging_folder(spark: SparkSession, label: str) -> str:
     return folder
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _hadoop(spark, folder)
+    files.delete(path, True)
+
+
+def full_location(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system and without detours, so that two spellings of it compare equal."""
+    files, path = _hadoop(spark, folder)
+    place = files.makeQualified(path).toUri().normalize()
+    return f"{place.getScheme()}://{place.getAuthority() or ''}{place.getPath().rstrip('/')}"
+
+
 def folder_exists(spark: SparkSession, folder: str) -> bool:
     files, path = _hadoop(spark, folder)
     return files.exists(path)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import replace
 from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -54,20 +53,28 @@ class DatasetGroup:
             raise KeyError(f"no {self._kind} dataset '{name}', only {sorted(self.resolved)}") from None
 
     def __call__(self, env: str) -> DatasetGroup:
-        """The same dataset names in another environment, resolved on first use.
+        """The datasets in another environment, resolved on first use.
 
-        An environment is a warehouse and a catalog that this session can reach.
-        Endpoints and credentials stay with the Spark configuration.
+        An environment is a warehouse and a catalog that this session can reach,
+        and where its datasets differ, ``datasets`` of its own. What it does not
+        name it does not have: nothing falls back to the place of this run, so a
+        write meant for elsewhere cannot land here. Endpoints and credentials
+        stay with the Spark configuration.
         """
         if env == self._run.env:
             return self
         if env not in self._others:
             if env not in self._environments:
                 raise KeyError(f"no environment '{env}', only {sorted(self._environments)}")
-            run = replace(self._run, env=env, **self._environments[env])
-            here = {self._run.env: {"warehouse": self._run.warehouse, "catalog": self._run.catalog}}
-            others = {**self._environments, **here}
-            self._others[env] = DatasetGroup(self._spark, self._specs, run, self._kind, others)
+            there, now = self._environments[env], self._run
+            run = RunContext(there.get("warehouse"), there.get("catalog"), env, now.ymd, now.hms)
+            specs = there["datasets"].get(self._kind) or {} if "datasets" in there else self._specs
+            here = {"warehouse": now.warehouse, "catalog": now.catalog, "datasets": {self._kind: self._specs}}
+            group = DatasetGroup(self._spark, specs, run, self._kind, {**self._environments, now.env: here})
+            for name, dataset in group.resolved.items():
+                if dataset.type == "table" and not dataset.by_path and not run.catalog:
+                    raise ValueError(f"dataset '{name}': environment '{env}' names no catalog for its table")
+            self._others[env] = group
         return self._others[env]
 
     def read(self, name: str) -> DataFrame:
@@ -81,16 +88,7 @@ class DatasetGroup:
             raise TypeError("input datasets are read, not written")
         dataset = self[name]
         kind = _type_of(dataset)
-        # Without adaptive execution, nothing would split a hot value: it is left where it is.
-        gather = dataset.rebalance and self._spark.conf.get("spark.sql.adaptive.enabled").lower() == "true"
-        columns = kind.layout(self._spark, dataset) if gather else ()
-        if columns:
-            # Without this, every task writes a file for every partition value it meets. The
-            # rebalance gathers them, and adaptive execution splits a value that is too big
-            # for one task, so one hot day does not become one long task. Values that share a
-            # shuffle partition are split together, so there should be more of these than values.
-            spread = () if dataset.rebalance is True else (dataset.rebalance,)
-            df = df.hint("rebalance", *spread, *columns)
+        df = gathered(self._spark, dataset, df, kind.layout(self._spark, dataset) if dataset.rebalance else ())
         if not count_rows:
             kind.write(self._spark, dataset, df)
             return None
@@ -103,6 +101,25 @@ class DatasetGroup:
         return written.get["rows"]
 
 
+def gathered(spark: SparkSession, dataset: Dataset, df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The rows brought together by the columns that decide their directory.
+
+    Without this, every task writes a file for every value it meets. Adaptive
+    execution splits a value that is too big for one task, so one hot day does not
+    become one long task. Values that share a shuffle partition are split
+    together, so there should be more of these than values.
+    """
+    if not columns:
+        return df
+    if spark.conf.get("spark.sql.adaptive.enabled").lower() != "true":
+        raise ValueError(
+            f"dataset '{dataset.name}': spark.sql.adaptive.enabled is off, so nothing would split a hot value of "
+            f"{list(columns)}; turn it on or write with rebalance: false"
+        )
+    spread = () if dataset.rebalance is True else (dataset.rebalance,)
+    return df.hint("rebalance", *spread, *columns)
+
+
 def open_datasets(
     spark: SparkSession,
     specs: Mapping[str, Any],
@@ -113,8 +130,12 @@ def open_datasets(
 
     This is the ``datasets`` section of a job config; its ``warehouse`` is for
     ``RunContext``. ``environments`` maps the name of another environment to its
-    ``warehouse`` and ``catalog``.
+    ``warehouse``, ``catalog`` and, where they differ, ``datasets``.
     """
+    for env, there in (environments or {}).items():
+        odd = sorted(there.keys() - {"warehouse", "catalog", "datasets"})
+        if odd:
+            raise ValueError(f"environment '{env}': 'warehouse', 'catalog' and 'datasets' are its keys, not {odd}")
     unknown = sorted(specs.keys() - {"input", "output", "warehouse"})
     if unknown:
         raise ValueError(f"dataset groups are 'input' and 'output', got {unknown}")

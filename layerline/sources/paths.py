@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from layerline.sources.folders import folder_exists
 from layerline.sources.specs import Dataset
 
 _OVERWRITE_MODE = "partitionOverwriteMode"
+_STREAM_LOG = "_spark_metadata"
 
 
 def read_path(spark: SparkSession, dataset: Dataset) -> DataFrame:
@@ -17,6 +19,9 @@ def read_path(spark: SparkSession, dataset: Dataset) -> DataFrame:
 
 
 def write_path(spark: SparkSession, dataset: Dataset, df: DataFrame) -> None:
+    if dataset.mode == "append" and folder_exists(spark, f"{dataset.location}/{_STREAM_LOG}"):
+        # Readers of the folder go by the stream's log, so they would never see these files.
+        raise ValueError(f"dataset '{dataset.name}': {dataset.location} belongs to a stream; append to it with one")
     writer = df.write.format(dataset.format).mode(dataset.mode).options(**dataset.options)
     if dataset.partition_by:
         writer = writer.partitionBy(*dataset.partition_by)

@@ -8,7 +8,14 @@ from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerline.sources.catalog import describe_file_table, on_session_catalog
+from layerline.sources.catalog import (
+    describe_file_table,
+    is_file_table,
+    on_session_catalog,
+    quoted,
+    table_format,
+    text_literal,
+)
 from layerline.sources.folders import folder_exists
 from layerline.sources.run import RunContext
 
@@ -17,16 +24,18 @@ LAYERS = ("raw", "refined", "mart")
 
 @dataclass(frozen=True, order=True)
 class TableDefinition:
-    """One CREATE TABLE statement.
+    """One CREATE TABLE statement, or several statements that are run in order.
 
-    ``${name}`` (the full table name), ``${format}``, ``${warehouse}``, ``${layer}``,
-    ``${domain}`` and ``${table}`` are filled in; other ``$`` text stays as it is.
+    ``${name}`` (the full table name, quoted), ``${format}``, ``${warehouse}``,
+    ``${layer}``, ``${domain}`` and ``${table}`` are filled in, the last four as
+    they stand in a quoted text; other ``$`` text stays as it is. All statements
+    run whenever the table is applied, so write them so that they may be repeated.
     """
 
     layer: str
     domain: str
     table: str
-    ddl: str
+    ddl: str | tuple[str, ...]
 
     def __post_init__(self) -> None:
         _check_layer(self.layer)
@@ -35,15 +44,17 @@ class TableDefinition:
     def dotted(self) -> str:
         return f"{self.layer}.{self.domain}.{self.table}"
 
-    def statement(self, run: RunContext) -> str:
-        return Template(self.ddl).safe_substitute(
-            name=run.table_name(self.dotted),
-            format=run.table_format,
-            warehouse=(run.warehouse or "").rstrip("/"),
-            layer=self.layer,
-            domain=self.domain,
-            table=self.table,
-        )
+    def statements(self, run: RunContext, made_of: str) -> list[str]:
+        inside = {
+            "warehouse": (run.warehouse or "").rstrip("/"),
+            "layer": self.layer,
+            "domain": self.domain,
+            "table": self.table,
+        }
+        values = {key: text_literal(value)[1:-1] for key, value in inside.items()}
+        values |= {"name": quoted(run.table_name(self.dotted)), "format": made_of}
+        texts = (self.ddl,) if isinstance(self.ddl, str) else self.ddl
+        return [Template(one).safe_substitute(values) for one in texts]
 
 
 def select_tables(
@@ -87,36 +98,36 @@ def drop_table(spark: SparkSession, run: RunContext, layer: str, domain: str, ta
     _check_layer(layer)
     if not (domain and table):
         raise ValueError("dropping needs layer, domain and table")
-    spark.sql(f"DROP TABLE IF EXISTS {run.table_name(f'{layer}.{domain}.{table}')}")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(run.table_name(f'{layer}.{domain}.{table}'))}")
 
 
 def list_tables(spark: SparkSession, run: RunContext, layer: str, domain: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {_namespace(run, layer, domain)}")
+    return spark.sql(f"SHOW TABLES IN {quoted(_namespace(run, layer, domain))}")
 
 
 def _create(spark: SparkSession, definition: TableDefinition, run: RunContext) -> str:
     name = run.table_name(definition.dotted)
-    file_table = on_session_catalog(spark, name)
-    for namespace in _namespaces(run, definition, file_table):
+    for namespace in _namespaces(run, definition, on_session_catalog(spark, name)):
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
-    absent = not spark.catalog.tableExists(name)
-    spark.sql(definition.statement(run))
-    if absent and file_table:
+    absent = not spark.catalog.tableExists(quoted(name))
+    for statement in definition.statements(run, table_format(spark, run)):
+        spark.sql(statement)
+    if absent and is_file_table(spark, name):
         described = describe_file_table(spark, name)
         if described.get("partition_columns") and folder_exists(spark, described["location"]):
             # A file table made over existing directories shows no rows until they are registered.
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            spark.sql(f"ALTER TABLE {quoted(name)} RECOVER PARTITIONS")
     return name
 
 
-def _namespaces(run: RunContext, definition: TableDefinition, file_table: bool) -> list[str]:
-    inner = _namespace(run, definition.layer, definition.domain)
-    if not file_table:
-        return [_namespace(run, definition.layer), inner]
+def _namespaces(run: RunContext, definition: TableDefinition, one_level: bool) -> list[str]:
+    inner = quoted(_namespace(run, definition.layer, definition.domain))
+    if not one_level:
+        return [quoted(_namespace(run, definition.layer)), inner]
     if not run.warehouse:
         return [inner]
     # The default place of a session catalog namespace is a folder of the driver's machine.
-    return [f"{inner} LOCATION '{run.location(f'{definition.layer}/{definition.domain}')}'"]
+    return [f"{inner} LOCATION {text_literal(run.location(f'{definition.layer}/{definition.domain}'))}"]
 
 
 def _namespace(run: RunContext, *levels: str) -> str:

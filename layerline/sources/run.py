@@ -78,11 +78,6 @@ class RunContext:
             name = f"{'__'.join(namespace)}.{last}" if namespace else last
         return f"{self.catalog}.{name}"
 
-    @property
-    def table_format(self) -> str:
-        """What provisioned tables are made of: files on the session catalog, Iceberg elsewhere."""
-        return "parquet" if self.catalog == SESSION_CATALOG else "iceberg"
-
 
 def _check_written_as(value: str | None, layout: str, wanted: str) -> None:
     if value is None:

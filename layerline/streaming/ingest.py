@@ -7,25 +7,33 @@ from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerline.sources.groups import DATASET_TYPES, DatasetType
 from layerline.sources.run import RunContext
 from layerline.sources.specs import Dataset, resolve_files
 
-# File input per micro-batch, so that a long backlog is committed in steps and a failed
-# run goes on from the last one. A limit in the dataset's options takes precedence.
-MAX_BYTES_PER_BATCH = 1 << 40
-_LIMITS = {"maxbytespertrigger", "maxfilespertrigger"}
+# Spark skips files that are older, by their modification time, than the newest it has
+# seen less a week. Copies and restores keep old times, so no age is too old here. The
+# price is that the log of files taken never shrinks: some hundred bytes per file.
+_AGE, _ANY_AGE = "maxFileAge", "36500d"
+# Files that one micro-batch may write for one value of the partition columns.
+_FILES_PER_VALUE = 8
 
 
 def resolve_stream(name: str, spec: Mapping[str, Any], run: RunContext, kind: str) -> Dataset:
     """Inputs have a ``path`` and a ``schema``, or a ``format`` such as kafka and its options.
 
+    ``batch_bytes`` of an input of files is how much one micro-batch takes, so that
+    a backlog is committed in steps; without it a run is one micro-batch.
+
     Outputs have a ``path`` and a ``checkpoint`` next to it, which records what was taken.
     """
     if kind == "input":
         if not spec.get("format") and not (spec.get("path") and spec.get("schema")):
             raise ValueError(f"dataset '{name}': a stream of files has a 'path' and a 'schema'")
+        if "batch_bytes" in spec and (not spec.get("path") or not isinstance(spec["batch_bytes"], int)):
+            raise ValueError(f"dataset '{name}': batch_bytes is a number of bytes, for a stream of files")
         return resolve_files(name, spec, run, kind, default_format="parquet")
     if not (spec.get("path") and spec.get("checkpoint")):
         raise ValueError(f"dataset '{name}': a stream is written to a 'path' and needs a 'checkpoint'")
@@ -41,18 +49,29 @@ def read_stream(spark: SparkSession, dataset: Dataset) -> DataFrame:
         reader = reader.schema(dataset.schema)
     if not dataset.location:
         return reader.load()
-    if not _LIMITS & {option.lower() for option in dataset.options}:
-        reader = reader.option("maxBytesPerTrigger", MAX_BYTES_PER_BATCH)
+    if _AGE.lower() not in {option.lower() for option in dataset.options}:
+        reader = reader.option(_AGE, _ANY_AGE)
+    if "batch_bytes" in dataset.spec:
+        reader = reader.option("maxBytesPerTrigger", dataset.spec["batch_bytes"])
     return reader.load(dataset.location)
 
 
 def write_stream(spark: SparkSession, dataset: Dataset, df: DataFrame) -> None:
-    """Append what there is and stop."""
+    """Append what there is and stop.
+
+    Adaptive execution does not split the partitions of a stream, so a value's rows
+    are dealt to a fixed number of tasks: ``rebalance`` of the spec, 8 by default.
+    Which task is a matter of the row's content, so a repeated task writes the same.
+    """
+    if dataset.partition_by and dataset.rebalance:
+        width = _FILES_PER_VALUE if dataset.rebalance is True else dataset.rebalance
+        hashed = [F.col(f"`{one.name}`") for one in df.schema if "map<" not in one.dataType.simpleString()]
+        df = df.repartition(*dataset.partition_by, F.pmod(F.xxhash64(*hashed), F.lit(width)))
     writer = df.writeStream.format(dataset.format).outputMode("append").options(**dataset.options)
     if dataset.partition_by:
         writer = writer.partitionBy(*dataset.partition_by)
     writer.trigger(availableNow=True).start(dataset.location).awaitTermination()
 
 
-# Not gathered by partition: adaptive execution does not split the partitions of a stream.
+# Gathered by write_stream itself.
 DATASET_TYPES["stream"] = DatasetType(resolve_stream, read_stream, write_stream, lambda spark, dataset: ())

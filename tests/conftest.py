@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from layerline import RunContext, open_datasets  # noqa: E402
 from layerline.sources.run import SESSION_CATALOG  # noqa: E402
 
-YMD, HMS = "2026-07-01", "121212"
+YMD, HMS = "2023-11-05", "041907"
 TESTDATA = "/root/testdata/sf0.001"
 
 
@@ -26,7 +26,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         # For test_lost_data.py, which takes shuffle files away.
-        .config("spark.local.dir", str(tmp_path_factory.mktemp("local")))
         .config("spark.stage.maxConsecutiveAttempts", "100")
         .getOrCreate()
     )

@@ -21,7 +21,7 @@ def test_groups_hold_what_they_were_given(spark, run):
 
 def test_bad_specs_fail_before_any_read(spark, run):
     with pytest.raises(ValueError, match="no 'type'"):
-        open_datasets(spark, {"input": {"bad": {"topic": "events"}}}, run)
+        open_datasets(spark, {"input": {"bad": {"owner": "clicks"}}}, run)
     with pytest.raises(ValueError, match="'inputs'"):
         open_datasets(spark, {"inputs": {}}, run)
 
@@ -65,24 +65,50 @@ def test_a_new_dataset_type_is_one_entry(spark, run, monkeypatch):
 
 
 def test_other_environment(spark, run, tmp_path):
-    environments = {"homelab": {"warehouse": f"file://{tmp_path}/homelab"}}
+    environments = {"annex": {"warehouse": f"file://{tmp_path}/annex"}}
     inputs, outputs = open_datasets(
         spark, {"input": {"n": {"type": "path", "path": "n"}}, "output": {"n": {"type": "path", "path": "n"}}},
         run, environments,
     )
     outputs.write("n", spark.range(2))
-    outputs("homelab").write("n", spark.range(5))
+    outputs("annex").write("n", spark.range(5))
     assert inputs.read("n").count() == 2
-    assert inputs("homelab").read("n").count() == 5
-    assert inputs("homelab")["n"].location == f"file://{tmp_path}/homelab/n"
-    assert inputs("homelab") is inputs("homelab")
+    assert inputs("annex").read("n").count() == 5
+    assert inputs("annex")["n"].location == f"file://{tmp_path}/annex/n"
+    assert inputs("annex") is inputs("annex")
     assert inputs("local") is inputs
-    assert inputs("homelab")("local")["n"].location == inputs["n"].location
-    with pytest.raises(KeyError, match=r"'aws', only \['homelab'\]"):
+    assert inputs("annex")("local")["n"].location == inputs["n"].location
+    with pytest.raises(KeyError, match=r"'aws', only \['annex'\]"):
         inputs("aws")
 
 
-def test_environments_are_resolved_on_use(spark, run):
-    inputs, _ = open_datasets(spark, SPECS, run, {"homelab": {"warehouse": None}})
-    with pytest.raises(ValueError, match="no warehouse"):
-        inputs("homelab")
+@pytest.mark.parametrize("there", [{"warehouse": None}, {}, {"catalog": "other"}])
+def test_an_environment_has_no_warehouse_but_its_own(spark, run, there):
+    inputs, outputs = open_datasets(spark, SPECS, run, {"annex": there})
+    for group in (inputs, outputs):
+        with pytest.raises(ValueError, match="no warehouse"):
+            group("annex")
+
+
+def test_an_environment_has_no_catalog_but_its_own(spark, table_run, tmp_path):
+    specs = {"input": {"orders": {"type": "table", "table": "raw.orders"}}}
+    inputs, _ = open_datasets(spark, specs, table_run, {"annex": {"warehouse": f"file://{tmp_path}"}, "b": {"catalog": "x"}})
+    assert inputs["orders"].location == "spark_catalog.raw.orders"
+    with pytest.raises(ValueError, match="'orders': environment 'annex' names no catalog"):
+        inputs("annex")
+    assert inputs("b")["orders"].location == "x.raw.orders"
+
+
+def test_an_environment_may_have_specs_of_its_own(spark, run, tmp_path):
+    spark.range(4).write.orc(f"{tmp_path}/annex/other/place")
+    spark.range(2).write.parquet(f"{tmp_path}/raw/orders")
+    own = {"input": {"orders": {"type": "path", "path": "other/place", "format": "orc"}}}
+    inputs, outputs = open_datasets(spark, SPECS, run, {"annex": {"warehouse": f"file://{tmp_path}/annex", "datasets": own}})
+    assert inputs("annex").read("orders").count() == 4
+    assert inputs("annex")("local").read("orders").count() == 2
+    assert not outputs("annex").resolved
+
+
+def test_unknown_keys_of_an_environment(spark, run):
+    with pytest.raises(ValueError, match=r"environment 'annex'.*\['werehouse'\]"):
+        open_datasets(spark, SPECS, run, {"annex": {"werehouse": "x"}})

@@ -5,6 +5,7 @@ from uuid import uuid4
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from layerline import RunContext, open_datasets
 from layerline.plans import catalog, events, orders
@@ -31,19 +32,33 @@ def test_summary(spark, run, seed):
     assert summary.dtypes == [("status", "string"), ("order_count", "bigint"), ("total_amount", "double")]
 
 
-def test_summary_metrics_come_with_the_one_action(spark, run, seed):
+WITH_SUMMARY = {**orders.SUMMARY_SPECS, "output": {"summary": {"type": "path", "path": "mart/sample/summary"}}}
+
+
+def test_summary_metrics_are_whole_under_any_action(spark, run, set_conf):
+    set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    many = spark.range(5000).select(
+        F.col("id").alias("order_id"), F.lit(1).cast("long").alias("customer_id"), (F.col("id") % 500).cast("string").alias("status"),
+        F.lit(1.0).alias("amount"), F.lit("2023-11-05").alias("order_date"),
+    )
+    many.write.parquet(run.location("raw/sample/orders/orders.parquet"))
     metrics = Observation()
-    summary = orders.orders_summary(spark, *open_datasets(spark, orders.SUMMARY_SPECS, run), run, metrics=metrics)
-    before = executions(spark)
-    assert len(summary.collect()) == 3
-    assert metrics.get == {"source_rows": 4, "groups": 3}
-    assert executions(spark) == before + 1
+    summary = orders.orders_summary(spark, *open_datasets(spark, WITH_SUMMARY, run), run, metrics=metrics)
+    assert len(summary.take(20)) == 20
+    assert metrics.get == {"source_rows": 5000, "groups": 500}
+    found = [row.status for row in summary.collect()]
+    assert found == sorted(found) and len(found) == 500
+
+
+def test_summary_metrics_need_an_output(spark, run, seed):
+    with pytest.raises(KeyError, match="no output dataset 'summary'"):
+        orders.orders_summary(spark, *open_datasets(spark, orders.SUMMARY_SPECS, run), run, metrics=Observation())
 
 
 def test_summary_of_nothing(spark, run):
     spark.createDataFrame([], orders.ORDER_SCHEMA).write.parquet(run.location("raw/sample/orders/orders.parquet"))
     metrics = Observation()
-    summary = orders.orders_summary(spark, *open_datasets(spark, orders.SUMMARY_SPECS, run), run, metrics=metrics)
+    summary = orders.orders_summary(spark, *open_datasets(spark, WITH_SUMMARY, run), run, metrics=metrics)
     assert summary.collect() == []
     assert metrics.get == {"source_rows": 0, "groups": 0}
 
@@ -90,7 +105,7 @@ def test_ingest_that_may_be_repeated(spark, run, table_run, seed):
     job = ingest(spark, run, table_run, orders.RERUN_SPECS, catalog.TABLES[1])
     job()
     assert rows(job()) == sorted(((*one, run.ymd) for one in ORDERS), key=repr)
-    assert job(replace(table_run, ymd="2026-07-02")).count() == 8
+    assert job(replace(table_run, ymd="2023-11-06")).count() == 8
     assert job(replace(table_run, hms="235959")).count() == 8
 
 
@@ -108,18 +123,18 @@ def test_ingest_counts_and_writes_in_one_pass(spark, run, table_run, seed, caplo
 @pytest.fixture
 def landed(spark, run):
     df = spark.sql("""
-        SELECT CAST(id AS BIGINT) AS event_id, TIMESTAMP_NTZ '2026-07-01 10:00:00' AS ts, 1L AS user_id,
+        SELECT CAST(id AS BIGINT) AS event_id, TIMESTAMP_NTZ '2023-11-05 10:00:00' AS ts, 1L AS user_id,
                IF(id % 2 = 0, 'click', 'view') AS event_type, CAST(id AS DOUBLE) AS value, '{}' AS props,
-               IF(id < 4, '2026-07-01', '2026-07-02') AS ymd
+               IF(id < 4, '2023-11-05', '2023-11-06') AS ymd
         FROM range(6)""")
     df.write.partitionBy("ymd").parquet(run.location("raw/events/impression"))
 
 
 EXPECTED = [
-    ("click", 1, 4.0, "2026-07-02"),
-    ("click", 2, 2.0, "2026-07-01"),
-    ("view", 1, 5.0, "2026-07-02"),
-    ("view", 2, 4.0, "2026-07-01"),
+    ("click", 1, 4.0, "2023-11-06"),
+    ("click", 2, 2.0, "2023-11-05"),
+    ("view", 1, 5.0, "2023-11-06"),
+    ("view", 2, 4.0, "2023-11-05"),
 ]
 
 
@@ -128,7 +143,7 @@ def mart(spark, run):
 
 
 def test_daily_events_one_day_at_a_time(spark, run, landed):
-    for ymd in ("2026-07-01", "2026-07-02", "2026-07-01"):
+    for ymd in ("2023-11-05", "2023-11-06", "2023-11-05"):
         day = replace(run, ymd=ymd)
         events.events_daily(spark, *open_datasets(spark, events.DAILY_SPECS, day), day)
     assert mart(spark, run) == EXPECTED
@@ -142,12 +157,12 @@ def test_all_days_at_once_and_again(spark, run, landed):
 
 
 def test_backfill_leaves_days_it_does_not_see(spark, run, landed):
-    older = replace(run, ymd="2026-06-30")
+    older = replace(run, ymd="2023-11-04")
     _, outputs = open_datasets(spark, events.DAILY_SPECS, older)
     kept = spark.createDataFrame([("click", 9, 9.0)], "event_type STRING, event_count BIGINT, total_value DOUBLE")
     outputs.write("main", kept)
     events.events_backfill(spark, *open_datasets(spark, events.BACKFILL_SPECS, run), run)
-    assert mart(spark, run) == sorted([*EXPECTED, ("click", 9, 9.0, "2026-06-30")], key=repr)
+    assert mart(spark, run) == sorted([*EXPECTED, ("click", 9, 9.0, "2023-11-04")], key=repr)
 
 
 def test_catalog_job(spark, table_run):

@@ -20,13 +20,15 @@ def lose_shuffle_files(spark, tmp_path, set_conf):
     """Delete all shuffle files once the first output file is there; return how many were deleted."""
     set_conf("spark.sql.shuffle.partitions", "48")
     set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    local = Path(spark.conf.get("spark.local.dir"))
+    # Where the block manager really keeps them: SPARK_LOCAL_DIRS goes before the session's setting.
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(folder) for folder in manager.localDirsString()]
     done, deleted = threading.Event(), []
 
     def watch():
         while not done.is_set():
             if any(tmp_path.rglob("part-*")):
-                for file in local.rglob("shuffle_*"):
+                for file in (file for folder in folders for file in folder.rglob("shuffle_*")):
                     file.unlink(missing_ok=True)
                     deleted.append(file)
                 return

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +42,41 @@ def test_partitioned_target(ingest):
     assert rows(ingest(partition_by=["odd"])) == [(0, "0"), (1, "1"), (2, "0")]
 
 
+@pytest.mark.parametrize(("rebalance", "most"), [(3, 3), (True, 8)])
+def test_a_partitioned_target_gets_few_files_per_value(spark, run, ingest, tmp_path, set_conf, rebalance, most):
+    set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.range(3, 4000, 1, 16).write.mode("append").parquet(run.location("raw/n"))
+    assert ingest(partition_by=["odd"], rebalance=rebalance).count() == 4000
+    for odd in (0, 1):
+        assert 1 < len(list((tmp_path / f"refined/n/odd={odd}").glob("*.parquet"))) <= most
+
+
+def test_files_with_an_old_date_are_taken(spark, run, ingest, tmp_path):
+    ingest()
+    spark.range(3, 13).coalesce(1).write.mode("append").parquet(run.location("raw/n"))
+    known = time.time() - 400 * 86400
+    for file in sorted((tmp_path / "raw/n").glob("part-*"), key=os.path.getmtime)[-1:]:
+        os.utime(file, (known, known))
+    assert ingest().count() == 13
+
+
+def test_a_batch_does_not_append_to_a_streams_folder(spark, run, ingest):
+    ingest()
+    batch = {"output": {"n": {"type": "path", "path": "refined/n", "mode": "append"}}}
+    with pytest.raises(ValueError, match="belongs to a stream"):
+        open_datasets(spark, batch, run)[1].write("n", spark.range(7).withColumn("odd", F.lit("0")), count_rows=True)
+
+
+def test_batch_bytes(spark, run, ingest):
+    spark.range(3, 30, 1, 9).write.mode("append").parquet(run.location("raw/n"))
+    inputs, outputs = open_datasets(spark, {"input": {"n": {**FILES, "batch_bytes": 1}}, "output": {"n": TARGET}}, run)
+    outputs.write("n", inputs.read("n").withColumn("odd", F.lit("0")))
+    taken = spark.read.parquet(outputs["n"].location)
+    assert taken.count() == 30
+    # A file at a time, and so a file or more out of each batch.
+    assert len(taken.inputFiles()) >= 9
+
+
 def test_a_failed_run_is_taken_up_again(spark, run, ingest):
     inputs, outputs = open_datasets(spark, {"input": {"n": FILES}, "output": {"n": TARGET}}, run)
     broken = inputs.read("n").withColumn("odd", F.raise_error(F.lit("stop")).cast("string"))
@@ -58,6 +96,7 @@ def test_sources_without_a_path(spark, run):
     ("group", "spec", "message"),
     [
         ("input", {"type": "stream", "path": "raw/n"}, "'path' and a 'schema'"),
+        ("input", {**FILES, "batch_bytes": "1g"}, "batch_bytes is a number"),
         ("output", {"type": "stream", "path": "refined/n"}, "needs a 'checkpoint'"),
         ("output", {"type": "stream", "checkpoint": "c"}, "needs a 'checkpoint'"),
         ("output", {**TARGET, "mode": "overwrite"}, "cannot overwrite"),

@@ -8,8 +8,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from layerline import RunContext
 from layerline.sources import Dataset
-from layerline.sources.catalog import write_table
+from layerline.sources.catalog import is_file_table, table_format, write_table
 from layerline.sources.provision import TableDefinition, create_tables
 from tests.conftest import rows
 
@@ -143,6 +144,17 @@ def test_other_catalogs_are_written_with_their_own_writer(mode, call):
     spark.table.return_value.columns = ["id"]
     dataset = Dataset("orders", "table", "iceberg.refined.sample.orders", by_path=False, mode=mode)
     write_table(spark, dataset, df)
-    df.writeTo.assert_called_once_with("iceberg.refined.sample.orders")
+    df.writeTo.assert_called_once_with("`iceberg`.`refined`.`sample`.`orders`")
     getattr(df.writeTo.return_value, call).assert_called_once_with()
     spark.sql.assert_not_called()
+
+
+@pytest.mark.parametrize(("provider", "files"), [("parquet", True), ("ORC", True), ("iceberg", False), (None, False)])
+def test_the_provider_decides_how_a_table_is_written(provider, files):
+    """Also where the session catalog is not Spark's own and holds tables of several kinds."""
+    spark = MagicMock()
+    spark.conf.get = lambda key, default=None: {"spark.sql.catalog.spark_catalog": "org.example.Catalog"}.get(key, default)
+    found = spark.sql.return_value.where.return_value.first
+    found.return_value = None if provider is None else MagicMock(data_type=provider)
+    assert is_file_table(spark, "spark_catalog.refined__sample.orders") is files
+    assert table_format(spark, RunContext(catalog="spark_catalog")) == "iceberg"
