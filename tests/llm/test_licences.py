@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+
+from layerline.llm.licences import TEMPLATES, licence_matches, size_bounds
+from tests.llm.helpers import EDGES, documents, plain, with_clashes
+
+NOTICE = TEMPLATES["apache-2.0-notice"]
+
+
+def bigrams(text):
+    words = re.findall(r"[^\W_]+", text.lower())
+    return Counter(zip(words, words[1:]))
+
+
+def dice(a, b):
+    return 2 * sum((a & b).values()) / (sum(a.values()) + sum(b.values())) if a and b else 0.0
+
+
+def wanted(doc_id, text, threshold=0.8):
+    text, found = text or "", []
+    units = [("line", i, one) for i, one in enumerate(text.split("\n"))]
+    blocks = re.split(r"\n[^\w\n]*\n(?:[^\w]*\n)?", text)
+    units += [("paragraph", i, one) for i, one in enumerate(blocks) if "\n" in one.strip()]
+    units += [("text", 0, text)] if len(blocks) > 1 else []
+    for unit, place, one in units:
+        for name, body in TEMPLATES.items():
+            value = dice(bigrams(one), bigrams(body))
+            if value >= threshold:
+                found.append((doc_id, unit, place, name, round(value, 9)))
+    return found
+
+
+def wrapped(text, width=60):
+    lines, line = [], ""
+    for word in text.split():
+        if len(line) + len(word) > width:
+            lines.append(line)
+            line = ""
+        line += (" " if line else "") + word
+    return "\n".join([*lines, line])
+
+
+CASES = [
+    "Some words here.\nReleased under the MIT License.\nand more",
+    "RELEASED  under -- the mit license!!",
+    "Released under some other license entirely.",
+    wrapped(NOTICE),
+    "# Title\n\n" + wrapped(NOTICE) + "\n\nEnd of it",
+    "/* " + wrapped(NOTICE).replace("\n", "\n * ") + " */",
+    NOTICE.replace("License", "Licence").replace("express", "clear"),
+    " ".join(NOTICE.split()[:40]),
+    "All rights reserved.",
+    "all all rights rights reserved reserved",
+    "All rights reserved. " * 50,
+    "\n\n\n",
+    "This work is licensed under the GNU General Public License, version 2.",
+]
+
+
+def test_as_of_plain_python(spark):
+    rows = [(i, text, "en", "a", 1) for i, text in enumerate(CASES)]
+    found = licence_matches(documents(spark, rows)).collect()
+    got = [(r.doc_id, r.unit, r.place, r.template, round(r.dice, 9)) for r in found]
+    assert plain(got) == plain(one for row in rows for one in wanted(row[0], row[1]))
+    assert {row[0] for row in got} >= {0, 1, 3, 4, 5, 8, 12}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 57])
+def test_size_bounds_lose_nothing(size):
+    low, high = size_bounds(size, 0.8)
+    for other in range(1, 200):
+        # The most that two bags of these sizes can have in common.
+        reachable = 2 * min(size, other) / (size + other) >= 0.8
+        assert reachable == (low <= other <= high)
+
+
+def test_edges(spark):
+    found = licence_matches(with_clashes(documents(spark, EDGES + [(1, "Released under the MIT License.", None, None, None)] * 2)))
+    assert plain(found.collect()) == [(1, "line", 0, "mit-line", 1.0)] * 2
+    assert licence_matches(documents(spark, [])).collect() == []
+    with pytest.raises(ValueError, match="two words"):
+        licence_matches(documents(spark), templates={"x": "word"})
+
+
+def test_no_python_in_the_plan(spark):
+    plan = licence_matches(documents(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan

@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import random
+import zlib
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from layerline.llm.token_files import PieceEncoder, TextEncoder, TokenFile, encoder_for, read_documents, write_token_files
+from tests.llm.helpers import EDGES, documents, plain, with_clashes
+
+WORD, BYTE = (public_tokenizers.path(name) for name in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+
+
+@pytest.fixture(scope="module")
+def word():
+    return Tokenizer.from_file(WORD)
+
+
+def test_encoders_by_tokenizer():
+    assert type(encoder_for(Path(WORD).read_text())) is PieceEncoder
+    assert type(encoder_for(Path(BYTE).read_text())) is TextEncoder
+
+
+def test_pieces_as_the_whole_tokenizer(word):
+    draw = random.Random(2)
+    signs = [*"abzABZ'''sStTdDmMrReElLvV 0123459²¼ªº!?.,-_#$%&*<|>/\\\t\n\x0b\x0c\x1c\x1f\x85\xa0\xadÉéßñÑüÜİıŉÅÅſ̀̌ͅŸƏȺ 　한字ΩσςДж😀"]
+    signs += ["<|endoftext|>", "<|ENDOFTEXT|>", "J̌", "'s", "'LL", "'Re", "the", "\r\n"]
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randint(0, 30))) for _ in range(20_000)]
+    encoder = encoder_for(Path(WORD).read_text())
+    for _ in range(2):
+        for text, found, wanted in zip(texts, encoder.texts(texts), word.encode_batch_fast(texts, add_special_tokens=False)):
+            assert found.tolist() == wanted.ids, text
+
+
+def test_forgetting_pieces(word, monkeypatch):
+    import layerline.llm.token_files as module
+
+    monkeypatch.setattr(module, "KNOWN_PIECES", 3)
+    monkeypatch.setattr(module, "SLICE_CHARACTERS", 10)
+    texts = [f"some words {i}" for i in range(50)] + [None, ""]
+    found = [ids.tolist() for ids in encoder_for(Path(WORD).read_text()).texts(texts)]
+    assert found == [word.encode(text or "", add_special_tokens=False).ids for text in texts]
+
+
+def in_order(rows):
+    """As the files hold them; which of two texts of one id comes first is left open."""
+    return sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0))
+
+
+@pytest.mark.parametrize(("path", "seq_len", "batch_rows"), [(WORD, 2048, 256), (WORD, 8, 4), (BYTE, 64, 1)])
+def test_documents_come_back(spark, tmp_path, path, seq_len, batch_rows):
+    tokenizer = Tokenizer.from_file(path)
+    docs = with_clashes(documents(spark))
+    manifest = write_token_files(docs, f"file://{tmp_path}/t", path, seq_len=seq_len, batch_rows=batch_rows)
+    found = read_documents(manifest).orderBy("start").collect()
+    ids = [np.array([*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 2], "<u4") for r in EDGES]
+    wanted = [(row[0], len(one), zlib.crc32(one.tobytes())) for row, one in zip(EDGES, ids)]
+    assert plain(row[0:1] + row[2:4] for row in map(tuple, found)) == plain(wanted)
+    assert [row.doc_id for row in found] == [row[0] for row in in_order(EDGES)]
+    assert [row.start for row in found] == np.cumsum([0, *(row.n_tokens for row in found)])[:-1].tolist()
+    # A file that the manifest does not name, as a lost attempt leaves it, is not read.
+    (tmp_path / "t" / "part-00000-lost.arrow").write_bytes(b"half a file")
+    assert read_documents(manifest).count() == len(EDGES)
+    totals = manifest.selectExpr("sum(documents)", "sum(tokens)", "count(distinct part) = count(*)").first()
+    assert tuple(totals) == (len(EDGES), sum(map(len, ids)), True)
+
+
+def test_random_access_without_copies(spark, tmp_path, word):
+    rows = [(i, f"the number {i} " * (i % 40), "en", "a", 1) for i in range(300)]
+    manifest = write_token_files(documents(spark, rows).coalesce(1), str(tmp_path), WORD, seq_len=16, batch_rows=4).collect()
+    stream = []
+    for row in sorted(manifest, key=lambda one: one.part):
+        file = TokenFile(row.path)
+        assert len(file) == row.sequences
+        assert file.batches[0].schema.field("input_ids").type == pa.list_(pa.uint16(), 16)
+        for i in (*range(len(file)),):
+            one = file[i]
+            assert {len(one[name]) for name in one} == {16}
+            mask = one["attention_mask"].to_numpy(zero_copy_only=False)
+            assert mask.all() or i == len(file) - 1
+            stream += file.ids(i)[mask].tolist()
+        low, high = (file.batches[0].column("input_ids").values.buffers()[1].address + n for n in (0, 128 * 16))
+        assert low <= file.ids(0).__array_interface__["data"][0] < high
+        with pytest.raises(IndexError):
+            file[len(file)]
+    assert stream == [one for row in rows for one in [*word.encode(row[1], add_special_tokens=False).ids, 2]]
+
+
+def test_large_vocabularies_take_32_bits(spark, tmp_path):
+    manifest = write_token_files(documents(spark), str(tmp_path), WORD, end_id=70_000, seq_len=32).collect()
+    file = TokenFile(manifest[0].path)
+    assert file.batches[0].schema.field("input_ids").type == pa.list_(pa.uint32(), 32)
+    assert 70_000 in file.ids(0)
+
+
+def test_no_documents(spark, tmp_path):
+    manifest = write_token_files(documents(spark, []), str(tmp_path), WORD)
+    assert manifest.collect() == []
+    assert read_documents(manifest).collect() == []
