@@ -157,7 +157,8 @@ def learn_languages(
                 vectors, _ = profiles.of(texts)
                 for name, vector in zip(names[start : start + len(texts)], vectors.astype(np.float64)):
                     sums[name] = sums.get(name, 0) + vector
-        yield pd.DataFrame({"lang": list(sums), "bundle": list(sums.values())})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "bundle": list(sums.values())})
 
     totals: dict[str, np.ndarray] = {}
     # Sums of whole numbers: the same in any order.
