@@ -17,7 +17,11 @@ a file of a lost or repeated attempt is never read: the manifest does not name i
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import sys
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -36,41 +40,132 @@ from tokenizers import Tokenizer
 from layerline.llm.work import Work
 
 MANIFEST = "part int, path string, seq_len int, batch_rows int, documents long, sequences long, tokens long"
-#: Words whose ids are remembered, and bytes of text encoded at a time.
-CACHED_WORDS, SLICE_BYTES = 400_000, 4 << 20
-
-
-class WordEncoder:
-    """Ids of whole texts, looked up by word.
-
-    The tokenizer never lets a token, or any step before it, reach across ASCII
-    white space, and drops that white space: a text's ids are those of its words
-    in turn. Texts repeat words, so most are found instead of encoded.
-    """
-
-    def __init__(self, tokenizer_json: str):
+#: Pieces whose ids are remembered, and characters encoded at a time.
+KNOWN_PIECES, SLICE_CHARACTERS = 600_000, 1 << 20
+# The steps of a tokenizer that drops white space, as its file states them.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+class TextEncoder:
+    """Ids of whole texts, whatever the tokenizer."""
+
+    def __init__(self, settings: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.known = Tokenizer.from_str(tokenizer_json), {}
+        self.tokenizer = Tokenizer.from_str(settings)
 
     def texts(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        words, size = [], 0
+        start, size = 0, 0
         for i, text in enumerate(texts):
-            words.append((text or "").encode().split())
             size += len(text or "")
-            if size >= SLICE_BYTES or i == len(texts) - 1:
-                yield from self._ids(words)
-                words, size = [], 0
+            if size >= SLICE_CHARACTERS or i == len(texts) - 1:
+                yield from self.ids([one or "" for one in texts[start : i + 1]])
+                start, size = i + 1, 0
+
+    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(encoding.ids, dtype="<u4")
 
-    def _ids(self, texts: list[list[bytes]]) -> Iterator[np.ndarray]:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
+
+class PieceEncoder(TextEncoder):
+    """For a tokenizer that drops white space and lower-cases (see ``encoder_for``): ids are looked up by piece.
+
+    Its pattern parts the lower-cased text into pieces, and tokens lie within one.
+    Here Python finds the pieces, texts repeat them, and only new ones go to the
+    tokenizer's model. That holds for Latin letters, where every character is its
+    own normal form; words with any other character, and those that may hold a
+    special token, go through the whole tokenizer, one by one: neither tokens nor
+    any step before them reach across ASCII white space.
+    """
+
+    def __init__(self, settings: str):
+        super().__init__(settings)
+        bare = json.loads(settings) | {"normalizer": None, "pre_tokenizer": None}
+        self.model, self.known = Tokenizer.from_str(json.dumps(bare)), {}
+        # Below the first combining mark.
+        of_kind = {"L": "", "N": ""}
+        for character in map(chr, range(0x21, 0x250)):
+            kind = unicodedata.category(character)[0]
+            of_kind[kind] = of_kind.get(kind, "") + character
+        letters, numbers = re.escape(of_kind["L"]), re.escape(of_kind["N"])
+        self.piece = re.compile(rf"[{letters}]+|'(?:[stmd]|re|ve|ll)|[{numbers}]|[^\s{letters}{numbers}]+")
+        self.plain = re.compile(r"[\t-\r -~\u00A1-\u024F]*")
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [byte for byte in range(256) if byte not in shown]
+        table = {byte: chr(byte) for byte in shown} | {byte: chr(256 + i) for i, byte in enumerate(hidden)}
+        self.byte_text = "".join(table[byte] for byte in range(256))
+
+    def pieces(self, text: str) -> list[str]:
+        """A piece that starts with a line feed is a whole word for the tokenizer."""
+        lower = text.lower()
+        if "<|" not in text and self.plain.fullmatch(text) and self.plain.fullmatch(lower):
+            return self.piece.findall(lower)
+        words = [word.decode() for word in text.encode().split()]
+        if len(words) < 2:
+            return ["\n" + word for word in words]
+        return [piece for word in words for piece in self.pieces(word)]
+
+    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         known = self.known
-        new = list({word for words in texts for word in words if word not in known})
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-        for word, encoding in zip(new, found):
-            known[word] = np.array(encoding.ids, dtype="<u4").tobytes()
-        for words in texts:
-            yield np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4")
+        if len(known) > KNOWN_PIECES:
+            known.clear()
+        parted = [self.pieces(text) for text in texts]
+        self._learn({piece for pieces in parted for piece in pieces if piece not in known})
+        for pieces in parted:
+            yield np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype="<u4")
+
+    def _learn(self, new: set[str]) -> None:
+        words = [piece for piece in new if piece[0] == "\n"]
+        for word, found in zip(words, self.tokenizer.encode_batch_fast([w[1:] for w in words], add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        pieces = [piece for piece in new if piece[0] != "\n"]
+        for start in range(0, len(pieces), 1000):
+            some = pieces[start : start + 1000]
+            shown = [one if one.isascii() else one.encode().decode("latin-1").translate(self.byte_text) for one in some]
+            found = self.model.encode(shown, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4").tobytes()
+            ends = 4 * np.searchsorted(np.array(found.word_ids), np.arange(len(some)), side="right")
+            for piece, first, end in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
+                self.known[piece] = ids[first:end]
+
+
+def encoder_for(settings: str) -> TextEncoder:
+    """Pieces only where the tokenizer's steps are exactly those that ``PieceEncoder`` relies on."""
+    steps = json.loads(settings)
+    plain = all(not token["lstrip"] and not token["rstrip"] for token in steps["added_tokens"])
+    named = all(token["content"].startswith("<|") for token in steps["added_tokens"])
+    same = (steps["normalizer"], steps["pre_tokenizer"], steps["post_processor"]) == (NORMALIZER, PRE_TOKENIZER, None)
+    return (PieceEncoder if same and plain and named else TextEncoder)(settings)
+
+
+def worker_encoder(settings: str) -> TextEncoder:
+    """One per worker process: tasks that follow one another in it find the pieces of those before.
+
+    This module travels with each task, so what is to outlast one lives with ``sys``.
+    """
+    kept = sys.__dict__.setdefault("_layerline_encoder", {})
+    if settings not in kept:
+        kept.clear()
+        kept[settings] = encoder_for(settings)
+    return kept[settings]
 
 
 def _fixed(values: np.ndarray, size: int) -> pa.FixedSizeListArray:
@@ -177,7 +272,7 @@ def write_token_files(
                 files.create_dir(os.path.dirname(name), recursive=True)
                 sink = files.open_output_stream(name)
                 writer = SequenceWriter(sink, batch_rows, schema)
-                encoder = WordEncoder(settings.value)
+                encoder = worker_encoder(settings.value)
             ids = batch.column(0).to_pylist()
             for one, found in zip(ids, encoder.texts(batch.column(1).to_pylist())):
                 writer.add(one, np.concatenate([found, end]))
