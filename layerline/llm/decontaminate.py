@@ -6,7 +6,7 @@ the documents' are hashed and joined on the hash; around each hit the two texts
 are laid over one another and the stretch of agreement is verified word by word.
 
 Most windows of the documents match nothing. A Bloom filter of the benchmark's
-hashes, of at most ``FILTER_BITS`` bits however large the benchmark is, drops them
+hashes, of at most 32 MB however large the benchmark is, drops them
 where the documents are read; the join then decides on what is left. Windows that
 pass are gathered into regions with some context, so the verification reads
 regions and never the documents again.
@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 
 from layerline.llm.work import Work
 
-#: 1 counts, 0 is ignored. Eight words of twelve each.
-MASKS = ("110110110101", "111010011011", "101101101101", "111100110110")
-#: The filter's size: so many bits per hash, within these bounds (at most 16 MB).
-BITS_PER_HASH, LEAST_BITS, FILTER_BITS, PROBES = 64, 1 << 16, 1 << 27, 6
+#: 1 counts, 0 is ignored. Found by search: whichever two of twelve words in a row differ, one of these fits
+#: somewhere on the other ten, so a stretch that is long and alike enough to count shares a seed.
+MASKS = ("10100001111", "1111011", "11101101")
+#: The filter's size: so many bits per hash, within these bounds, twice.
+BITS_PER_HASH, LEAST_BITS, FILTER_BITS, PROBES = 64, 1 << 16, 1 << 27, 5
 #: Words before and after a hit that go with it, and the longest stretch of hits in one region.
 CONTEXT, LONGEST = 256, 2048
 REMEMBERED_WORDS = 400_000
@@ -50,72 +51,97 @@ class WordHashes(dict):
 
 
 def short_masks(words: int) -> list[str]:
-    """For an item shorter than the masks: all its words, and all but one from five words on."""
+    """For an item too short for a stretch: all its words, and all but one from five words on."""
     masks = ["1" * words]
     if words >= 5:
         masks += ["1" * i + "0" + "1" * (words - i - 1) for i in range(words)]
     return masks
 
 
-def seeds(words: np.ndarray, mask: str) -> np.ndarray:
-    """A hash for each place at which the mask fits."""
-    count = max(0, len(words) - len(mask) + 1)
-    found = np.full(count, hash_of_mask(mask), dtype=np.uint64)
-    for i, counts in enumerate(mask):
-        if counts == "1":
-            found = (found ^ words[i : i + count]) * np.uint64(0x9E3779B97F4A7C15)
-            found ^= found >> np.uint64(29)
-    return found
+def _factor(place: int) -> np.uint64:
+    return np.uint64(xxhash.xxh64_intdigest(f"place {place}", 6) | 1)
 
 
-def hash_of_mask(mask: str) -> np.uint64:
-    return np.uint64(xxhash.xxh64_intdigest(mask, 6))
+class Seeds:
+    """Hashes of a text's windows under any mask: the sum of its counted words, each times a factor of its place."""
 
+    def __init__(self, words: np.ndarray):
+        self.words, self.placed = words, {}
 
-def _probe(hashes: np.ndarray, i: int, bits: int) -> np.ndarray:
-    """The place of each hash's bit number i; ``bits`` is a power of two."""
-    mixed = hashes * np.uint64(2 * i + 0xD6E8FEB86659FD93)
-    return (mixed >> np.uint64(20)) & np.uint64(bits - 1)
+    def of(self, mask: str) -> np.ndarray:
+        """A hash for each place at which the mask fits."""
+        count = max(0, len(self.words) - len(mask) + 1)
+        found = np.full(count, xxhash.xxh64_intdigest(mask, 6), dtype=np.uint64)
+        for place, counts in enumerate(mask):
+            if counts == "1":
+                if place not in self.placed:
+                    self.placed[place] = self.words * _factor(place)
+                found += self.placed[place][place : place + count]
+        found ^= found >> np.uint64(29)
+        return found * np.uint64(0x9E3779B97F4A7C15)
 
 
-def _passing(hashes: np.ndarray, octets: np.ndarray) -> np.ndarray:
-    """The places of the hashes that the filter lets through."""
-    places, bits = np.arange(len(hashes)), len(octets) * 8
-    for i in range(PROBES):
-        at = _probe(hashes[places] if i else hashes, i, bits)
-        places = places[(octets[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-    return places
+class Bloom:
+    """``first`` has a byte per entry and is looked up by a hash's top bits; few hashes get on to the other probes."""
 
+    def __init__(self, first: np.ndarray, octets: np.ndarray):
+        self.first, self.octets = first, octets
 
-def _item_seeds(batches: Iterator[pd.DataFrame], masks: Sequence[str]) -> Iterator[pd.DataFrame]:
-    hashes, shortest = WordHashes(), min(map(len, masks))
+    @classmethod
+    def empty(cls, bits: int) -> Bloom:
+        return cls(np.zeros(bits // 8, dtype=bool), np.zeros(bits // 8, dtype=np.uint8))
+
+    def first_place(self, hashes: np.ndarray) -> np.ndarray:
+        return hashes >> np.uint64(65 - len(self.first).bit_length())
+
+    def probe(self, hashes: np.ndarray, i: int) -> np.ndarray:
+        mixed = hashes * np.uint64(2 * i + 0xD6E8FEB86659FD93)
+        return (mixed >> np.uint64(20)) & np.uint64(len(self.octets) * 8 - 1)
+
+    def passing(self, hashes: np.ndarray) -> np.ndarray:
+        """The places of the hashes that may be in the set."""
+        places = np.flatnonzero(self.first[self.first_place(hashes)])
+        for i in range(PROBES):
+            at = self.probe(hashes[places], i)
+            places = places[(self.octets[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        return places
+
+
+def _item_seeds(batches: Iterator[pd.DataFrame], masks: Sequence[str], least_words: int) -> Iterator[pd.DataFrame]:
+    hashes = WordHashes()
     for batch in batches:
         out = []
         for item, text in zip(batch["item"], batch["text"]):
             words = hashes.of(text)
-            own = masks if len(words) >= shortest else short_masks(len(words)) if len(words) else []
+            hashed = Seeds(words)
+            own = [*masks, *(short_masks(len(words)) if 0 < len(words) < least_words else ())]
             for mask in own:
-                for place, seed in enumerate(seeds(words, mask).view(np.int64).tolist()):
+                for place, seed in enumerate(hashed.of(mask).view(np.int64).tolist()):
                     out.append((item, mask, place, seed))
         yield pd.DataFrame(out, columns=["item", "mask", "place", "seed"]).astype({"place": "int32", "seed": "int64"})
 
 
-def _filter(hashes: DataFrame) -> np.ndarray:
-    """The Bloom filter as bytes. Its words are put together by Spark; what comes here is bounded by its size."""
+def _filter(hashes: DataFrame) -> Bloom:
+    """A filter of the hashes. Spark puts its bytes together; what comes here is bounded by its size."""
     bits = 1 << max(LEAST_BITS, min(FILTER_BITS, hashes.count() * BITS_PER_HASH)).bit_length() - 1
 
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bloom = Bloom.empty(bits)
         for batch in batches:
             own = batch["seed"].to_numpy().view(np.uint64)
-            at = np.concatenate([_probe(own, i, bits) for i in range(PROBES)])
-            bit = np.left_shift(1, (at & np.uint64(7)).astype("int32"))
-            yield pd.DataFrame({"octet": (at >> np.uint64(3)).astype("int64"), "bit": bit.astype("int32")})
+            at = np.concatenate([bloom.probe(own, i) for i in range(PROBES)])
+            octets = np.concatenate([bloom.first_place(own), at >> np.uint64(3)]).astype("int64")
+            bit = np.concatenate([np.zeros(len(own), "int32"), np.left_shift(1, (at & np.uint64(7)).astype("int32"))])
+            yield pd.DataFrame({"first": bit == 0, "octet": octets, "bit": bit.astype("int32")})
 
-    found = hashes.mapInPandas(words, "octet long, bit int").groupBy("octet").agg(F.bit_or("bit").alias("bits"))
-    octets = np.zeros(bits // 8, dtype=np.uint8)
-    for row in found.toLocalIterator():
-        octets[row.octet] = row.bits
-    return octets
+    found = hashes.mapInPandas(parts, "first boolean, octet long, bit int")
+    bloom = Bloom.empty(bits)
+    for row in found.groupBy("first", "octet").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
+        if row.first:
+            bloom.first[row.octet] = True
+        else:
+            bloom.octets[row.octet] = row.bits
+    return bloom
 
 
 def _regions(hit: np.ndarray, words: int, span: int) -> Iterator[tuple[int, int, int, int]]:
@@ -159,32 +185,31 @@ def benchmark_overlaps(
     items = work.keep(items, "items")
     keyed = items.select(F.col("item_key").alias("item"), "text")
     columns = "item long, mask string, place int, seed long"
-    item_seeds = work.keep(keyed.mapInPandas(lambda b: _item_seeds(b, masks), columns), "item-seeds")
+    item_seeds = work.keep(keyed.mapInPandas(lambda b: _item_seeds(b, masks, least_words), columns), "item-seeds")
 
     # An item's length in words decides its masks: few kinds, each a fixed pattern of at most the masks' span.
     used = [row.mask for row in item_seeds.select("mask").distinct().orderBy("mask").collect()]
-    octets = _filter(item_seeds.select("seed").distinct())
-    bloom = spark.sparkContext.broadcast(octets)
+    bloom = _filter(item_seeds.select("seed").distinct())
+    bloom = spark.sparkContext.broadcast((bloom.first, bloom.octets))
     span = max(map(len, [*used, ""]))
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, octets = WordHashes(), bloom.value
+        hashes, known = WordHashes(), Bloom(*bloom.value)
         for batch in batches:
             out = []
             for one, content in zip(batch["id"], batch["text"]):
                 words = hashes.of(content)
-                found_places, found_seeds = [], []
-                for mask in used:
-                    own = seeds(words, mask)
-                    places = _passing(own, octets)
-                    found_places.append(places)
-                    found_seeds.append(own[places].view(np.int64))
-                if not sum(map(len, found_places)):
+                hashed = Seeds(words)
+                by_mask = [hashed.of(mask) for mask in used]
+                own = np.concatenate([*by_mask, np.zeros(0, np.uint64)])
+                passed = known.passing(own)
+                if not len(passed):
                     continue
-                places, own = np.concatenate(found_places).astype(np.int32), np.concatenate(found_seeds)
+                begins = np.cumsum([0, *map(len, by_mask)])
+                places = passed - begins[np.searchsorted(begins, passed, "right") - 1]
                 order = np.argsort(places, kind="stable")
-                places, own = places[order], own[order]
+                places, own = places[order].astype(np.int32), own[passed][order].view(np.int64)
                 digest = hashlib.sha256(content.encode()).hexdigest()
                 for first, last, start, end in _regions(np.unique(places), len(words), span):
                     inside = slice(np.searchsorted(places, first), np.searchsorted(places, last, "right"))
@@ -209,11 +234,16 @@ def benchmark_overlaps(
     verified = (
         overlay.join(item_words, "item")
         .join(regions.drop("places", "seeds"), "region")
-        .withColumn("best", _best_stretch(F.col("words"), F.col("item_words"), F.col("shift") - F.col("start"), similarity))
+        .withColumn("least", F.least(F.lit(least_words), F.ceil(F.size("item_words") * similarity).cast("int")))
+        .withColumn(
+            "best",
+            _best_stretch(
+                F.col("words"), F.col("item_words"), F.col("shift") - F.col("start"), F.col("least"), similarity
+            ),
+        )
     )
     length, matches = F.col("best.end") - F.col("best.begin"), F.col("best.matches")
-    needed = F.least(F.lit(least_words), F.ceil(F.size("item_words") * similarity))
-    verified = verified.where((length >= needed) & (matches >= length * similarity)).select(
+    verified = verified.where(F.col("best.balance") >= -1e-6).select(
         "id",
         "text_hash",
         "item",
@@ -245,38 +275,68 @@ def _item_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"item": batch["item"], "item_words": words})
 
 
-def _best_stretch(words: Column, item_words: Column, shift: Column, similarity: float) -> Column:
-    """begin, end (places in the item) and matches of the stretch with the most agreement.
+def _best_stretch(
+    words: Column, item_words: Column, shift: Column, least: Column, similarity: float
+) -> Column:
+    """balance, begin, end (places in the item) and matches of the best stretch of ``least`` words or more.
 
-    Word q of the item lies over word q + shift. A match gains 1, a mismatch
-    costs what makes the balance even at the wanted similarity; the stretch with
-    the largest balance has that similarity at least.
+    Word q of the item lies over word q + shift. A match gains 1, a mismatch costs
+    what makes the balance even at the wanted similarity: a stretch has it if its
+    balance is not negative. The balance of a stretch is that of all words up to its
+    end less that up to its begin; the lowest of those far enough back is kept.
     """
     cost = round(similarity / (1 - similarity), 9)
     low = F.greatest(F.lit(0), -shift)
     high = F.least(F.size(item_words), F.size(words) - shift) - 1
-    zero = F.lit(0)
+
+    def is_same(q: Column) -> Column:
+        return F.coalesce(F.get(item_words, q) == F.get(words, q + shift), F.lit(False))
+
+    def gain(same: Column) -> Column:
+        return F.when(same, F.lit(1.0)).otherwise(F.lit(-cost))
 
     def step(state: Column, q: Column) -> Column:
-        same = F.get(item_words, q) == F.get(words, q + shift)
-        fresh = state["balance"] <= 0
-        gain = F.when(same, F.lit(1.0)).otherwise(F.lit(-cost))
-        balance = F.when(fresh, F.lit(0.0)).otherwise(state["balance"]) + gain
-        begin = F.when(fresh, q).otherwise(state["begin"])
-        matches = F.when(fresh, zero).otherwise(state["matches"]) + F.when(same, 1).otherwise(0)
-        top = F.struct(balance.alias("balance"), begin.alias("begin"), (q + 1).alias("end"), matches.alias("matches"))
-        better = balance > state["top"]["balance"]
-        return F.struct(
+        same, left = is_same(q), is_same(q - least)
+        leaves = q - least >= low
+        lead = state["lead"] + gain(same)
+        matches = state["matches"] + F.when(same, 1).otherwise(0)
+        lag = state["lag"] + F.when(leaves, gain(left)).otherwise(F.lit(0.0))
+        lag_matches = state["lag_matches"] + F.when(leaves & left, 1).otherwise(0)
+        reaches = q + 1 - least >= low
+        lower = reaches & (state["low"]["balance"].isNull() | (lag < state["low"]["balance"]))
+        here = F.struct(lag.alias("balance"), (q + 1 - least).alias("begin"), lag_matches.alias("matches"))
+        lowest = F.when(lower, here).otherwise(state["low"])
+        balance = lead - lowest["balance"]
+        better = reaches & (state["top"]["balance"].isNull() | (balance > state["top"]["balance"]))
+        found = F.struct(
             balance.alias("balance"),
-            begin.alias("begin"),
+            lowest["begin"].alias("begin"),
+            (q + 1).alias("end"),
+            (matches - lowest["matches"]).alias("matches"),
+        )
+        return F.struct(
+            lead.alias("lead"),
             matches.alias("matches"),
-            F.when(better, top).otherwise(state["top"]).alias("top"),
+            lag.alias("lag"),
+            lag_matches.alias("lag_matches"),
+            lowest.alias("low"),
+            F.when(better, found).otherwise(state["top"]).alias("top"),
         )
 
-    nothing = F.struct(F.lit(0.0).alias("balance"), zero.alias("begin"), zero.alias("end"), zero.alias("matches"))
-    start = F.struct(F.lit(0.0).alias("balance"), zero.alias("begin"), zero.alias("matches"), nothing.alias("top"))
+    start = F.lit(None).cast(
+        "struct<lead:double,matches:int,lag:double,lag_matches:int,low:struct<balance:double,begin:int,matches:int>,"
+        "top:struct<balance:double,begin:int,end:int,matches:int>>"
+    )
+    zero = F.struct(
+        F.lit(0.0).alias("lead"),
+        F.lit(0).alias("matches"),
+        F.lit(0.0).alias("lag"),
+        F.lit(0).alias("lag_matches"),
+        start["low"].alias("low"),
+        start["top"].alias("top"),
+    )
     places = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(places, start, step, lambda state: state["top"])
+    return F.aggregate(places, zero, step, lambda state: state["top"])
 
 
 def without_benchmark(
@@ -288,4 +348,5 @@ def without_benchmark(
     found = Work(docs.sparkSession, "decontaminate-found").keep(found, "found")
     own = F.sha2(F.col(text).cast("string").cast("binary"), 256)
     same = (own == F.col("__hash")) & F.col(doc_id).eqNullSafe(F.col("__id"))
-    return docs.join(found, same, "left_anti")
+    # Merged at every size: how many documents are found depends on the data.
+    return docs.join(found.hint("merge"), same, "left_anti")
