@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from layerline.llm.decontaminate import without_benchmark
 from layerline.llm.language import UNKNOWN, held_out, learn_languages
-from layerline.llm.mixing import mix, mixed_documents
+from layerline.llm.mixing import mixed_copies
 from layerline.llm.simhash import without_near_duplicates
 from layerline.llm.token_files import read_documents, write_token_files
 from layerline.llm.work import Work
@@ -41,7 +41,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; the one at which a source's budget ends, up to the cut."""
-    return mixed_documents(mix(docs, weights=(3, 1, 2), share=1.5, max_epochs=2, seed=20))
+    return mixed_copies(docs, weights=(3, 1, 2), share=1.5, max_epochs=2, seed=20)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -150,6 +150,15 @@ def mix(
     return mixed.drop("__key", "__size", *plan.columns)
 
 
+def mixed_copies(
+    docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source", text: str = "text", **more
+) -> DataFrame:
+    """``mixed_documents`` of ``mix`` with exactly the columns of ``docs``, also those that bear a result's name."""
+    apart = docs.toDF(*[f"__of_{name}" for name in docs.columns])
+    mixed = mix(apart, doc_id=f"__of_{doc_id}", source=f"__of_{source}", text=f"__of_{text}", **more)
+    return mixed_documents(mixed, f"__of_{text}").toDF(*docs.columns)
+
+
 def mixed_documents(mixed: DataFrame, text: str = "text") -> DataFrame:
     """``mix``'s documents, each as often as it is taken.
 

@@ -244,11 +244,15 @@ def without_near_duplicates(
     Of rows that repeat this id one stays. Columns and texts are as they were.
     """
     work = Work(docs.sparkSession, "simhash-keep")
-    numbered = with_fingerprint(docs, text, words, "__print").withColumn("__row", F.monotonically_increasing_id())
-    numbered = work.keep(numbered, "documents")
-    rows = numbered.select(F.col("__print").alias("print"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
+    # Rows that repeat id and text share a key; documents are read again instead of kept aside.
+    name = F.coalesce(F.col(doc_id).cast("string"), F.lit("no id"))
+    key = F.sha2(F.concat(name, F.lit("\n"), F.coalesce(F.col(text), F.lit(""))).cast("binary"), 256)
+    rows = docs.select(key.alias("key"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rows = work.keep(with_fingerprint(rows, "text", words, "print").drop("text"), "fingerprints")
     found = print_components(rows.select("id", "print"), radius=radius)
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
     stays = rows.join(found, "print").groupBy("root").agg(first.alias("first"))
-    stays = work.keep(stays.select(F.col("first.row").alias("__row")), "stays")
-    return numbered.join(stays, "__row", "left_semi").drop("__print", "__row")
+    stays = work.keep(stays.select(F.col("first.key").alias("__key")), "stays")
+    # Merged at every size: the rows that stay grow with the documents.
+    kept = docs.withColumn("__key", key).join(stays.hint("merge"), "__key", "left_semi")
+    return kept.dropDuplicates(["__key"]).select(*[F.col(f"`{column}`") for column in docs.columns])
