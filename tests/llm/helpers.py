@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -78,6 +79,8 @@ def overlaps(text, item, least=12, similarity=0.8):
     """Whether some stretch of the two, laid over each other, agrees enough; every shift and stretch is tried."""
     a, b = words_of(text), words_of(item)
     needed = min(least, int(np.ceil(len(b) * similarity - 1e-9)))
+    if sum((Counter(a) & Counter(b)).values()) < similarity * needed:
+        return False
     for shift in range(-len(b) + 1, len(a)):
         same = [a[i + shift] == b[i] for i in range(len(b)) if 0 <= i + shift < len(a)]
         sums = np.concatenate([[0], np.cumsum(same)])

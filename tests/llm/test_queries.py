@@ -1,0 +1,40 @@
+"""The operators' queries against their SQL over the smallest tables."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from layerline.llm.queries import ORACLE_SQL, QUERIES
+from tests.conftest import TESTDATA
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    connection = duckdb.connect()
+    for file in Path(TESTDATA).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def by_name(columns, data):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], sorted((tuple(row[i] for i in order) for row in data), key=repr)
+
+
+def test_all_are_registered():
+    assert {*QUERIES, "pipeline"} <= contract.queries().keys()
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_agrees_with_sql(spark, oracle, name):
+    df = contract.queries()[name](spark, TESTDATA)
+    found = by_name(df.columns, df.collect())
+    assert found[1]
+    if name in ORACLE_SQL:
+        wanted = oracle.sql(ORACLE_SQL[name])
+        assert found == by_name(wanted.columns, wanted.fetchall())
