@@ -17,7 +17,7 @@ from layerline.llm.line_dedup import html_lines, without_boilerplate
 from layerline.llm.mixing import mix
 from layerline.llm.secrets import find_secrets, secret_digests
 from layerline.llm.simhash import near_duplicates
-from layerline.llm.token_counts import TOKENIZERS, TokenRollup, deleted, inserted, revised
+from layerline.llm.token_counts import TokenRollup, counts, deleted, inserted, revised
 from layerline.llm.token_files import read_documents, write_token_files
 from layerline.llm.work import Work
 
@@ -40,20 +40,27 @@ def op2_token_files(spark, sf_dir):
 def op3_token_counts(spark, sf_dir):
     """All documents come in; toxic ones go; those of low quality lose repeated lines; a batch arrives twice."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    toxic = docs.join(labels.where("toxic = 1"), "doc_id", "left_semi")
-    poor = docs.join(labels.where("quality = 0"), "doc_id", "left_semi")
+    now, unrepeated = F.col("text"), F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
+    now, cleaned = counts(now), counts(unrepeated)
+    # Counted before labels are looked up: what moves for the join is numbers, not texts.
+    rows = docs.select(
+        "doc_id",
+        "source",
+        "lang",
+        *[column.alias(version) for version, column in now.items()],
+        *[column.alias(f"cleaned {version}") for version, column in cleaned.items()],
+    )
+    toxic = rows.join(labels.where("toxic = 1"), "doc_id", "left_semi")
+    poor = rows.join(labels.where("quality = 0"), "doc_id", "left_semi")
     poor = poor.join(labels.where("toxic = 1"), "doc_id", "left_anti")
-    unrepeated = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
-
-    def of_all(change, rows: DataFrame, *more) -> DataFrame:
-        first, second = (change(rows, tokenizer, *more) for tokenizer in TOKENIZERS)
-        return first.unionAll(second)
+    before = {version: F.col(f"`{version}`") for version in now}
+    after = {version: F.col(f"`cleaned {version}`") for version in now}
 
     rollup = TokenRollup(spark, Work(spark, "token-counts").path("rollup"))
-    rollup.commit("load", of_all(inserted, docs))
-    rollup.commit("takedown", of_all(deleted, toxic))
-    rollup.commit("cleaning", of_all(revised, poor, unrepeated))
-    rollup.commit("takedown", of_all(deleted, toxic))
+    rollup.commit("load", inserted(rows, before))
+    rollup.commit("takedown", deleted(toxic, before))
+    rollup.commit("cleaning", revised(poor, before, after))
+    rollup.commit("takedown", deleted(toxic, before))
     return rollup.totals()
 
 

@@ -34,59 +34,50 @@ def piece_count(text: Column) -> Column:
 TOKENIZERS: Mapping[str, Callable[[Column], Column]] = {"words-1": word_count, "pieces-1": piece_count}
 
 
-def inserted(docs: DataFrame, tokenizer: str, *, source="source", lang="lang", text="text") -> DataFrame:
-    return _change(docs, tokenizer, None, F.col(text), source, lang)
+def counts(text: Column, *versions: str) -> dict[str, Column]:
+    """A text's count under each version, by default all; a null text counts as an empty one."""
+    return {version: TOKENIZERS[version](text.cast("string")) for version in versions or TOKENIZERS}
 
 
-def deleted(docs: DataFrame, tokenizer: str, *, source="source", lang="lang", text="text") -> DataFrame:
-    return _change(docs, tokenizer, F.col(text), None, source, lang)
+def inserted(docs: DataFrame, after: Mapping[str, Column], **columns: str) -> DataFrame:
+    """``after`` has a count per tokenizer version, as ``before`` below; ``columns`` names source and lang."""
+    return _change(docs, {}, after, **columns)
 
 
-def revised(docs: DataFrame, tokenizer: str, new_text: Column, *, source="source", lang="lang", text="text") -> DataFrame:
-    return _change(docs, tokenizer, F.col(text), new_text, source, lang)
+def deleted(docs: DataFrame, before: Mapping[str, Column], **columns: str) -> DataFrame:
+    return _change(docs, before, {}, **columns)
 
 
-def _change(docs, tokenizer: str, before: Column | None, after: Column | None, source: str, lang: str) -> DataFrame:
-    """None is a document that is not there; one with a null text is there and empty."""
+def revised(docs: DataFrame, before: Mapping[str, Column], after: Mapping[str, Column], **columns: str) -> DataFrame:
+    return _change(docs, before, after, **columns)
 
-    def side(text: Column | None) -> Column:
-        return F.lit(None).cast("string") if text is None else F.coalesce(text.cast("string"), F.lit(""))
 
-    return docs.select(
-        F.col(source).cast("string").alias("source"),
-        F.col(lang).cast("string").alias("lang"),
-        F.lit(tokenizer).alias("tokenizer"),
-        side(before).alias("before"),
-        side(after).alias("after"),
-    )
+def _change(docs, before, after, source: str = "source", lang: str = "lang") -> DataFrame:
+    """A row per document and version. A side that is null means the document is not there."""
+    nothing = F.lit(None)
+    sides = [
+        F.struct(
+            F.lit(version).alias("tokenizer"),
+            before.get(version, nothing).cast("long").alias("before"),
+            after.get(version, nothing).cast("long").alias("after"),
+        )
+        for version in sorted({*before, *after})
+    ]
+    keys = [F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang")]
+    return docs.select(*keys, F.inline(F.array(*sides)))
 
 
 class TokenRollup:
-    """``folder``: on a file system whose renames are atomic. ``tokenizers``: counting functions by version."""
+    """``folder``: on a file system whose renames are atomic."""
 
-    def __init__(self, spark: SparkSession, folder: str, tokenizers: Mapping[str, Callable[[Column], Column]] = TOKENIZERS):
-        self.spark, self.folder, self.tokenizers = spark, folder.rstrip("/"), tokenizers
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
 
     def deltas(self, changes: DataFrame) -> DataFrame:
         """Signed totals of a batch: source, lang, tokenizer, documents, tokens; null is a value like any other."""
-
-        def count(text: Column) -> Column:
-            counted = F.lit(None).cast("long")
-            for version, rule in self.tokenizers.items():
-                counted = F.when(F.col("tokenizer") == version, rule(text)).otherwise(counted)
-            return F.when(text.isNotNull(), counted)
-
-        unknown = F.raise_error(F.concat(F.lit("no such tokenizer: "), F.coalesce("tokenizer", F.lit("null"))))
-        known = F.coalesce(F.col("tokenizer").isin(*self.tokenizers), F.lit(False))
-        before, after = count(F.col("before")), count(F.col("after"))
-        rows = changes.select(
-            "source",
-            "lang",
-            F.when(known, F.col("tokenizer")).otherwise(unknown).alias("tokenizer"),
-            (F.col("after").isNotNull().cast("long") - F.col("before").isNotNull().cast("long")).alias("documents"),
-            (F.coalesce(after, F.lit(0)) - F.coalesce(before, F.lit(0))).alias("tokens"),
-        )
-        sums = rows.groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+        there = F.col("after").isNotNull().cast("long") - F.col("before").isNotNull().cast("long")
+        more = F.coalesce("after", F.lit(0)) - F.coalesce("before", F.lit(0))
+        sums = changes.groupBy(*KEYS).agg(F.sum(there).alias("documents"), F.sum(more).alias("tokens"))
         return sums.where("documents <> 0 OR tokens <> 0")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
