@@ -15,8 +15,11 @@ regions and never the documents again.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator, Sequence
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -26,9 +29,11 @@ from pyspark.sql import functions as F
 
 from layerline.llm.work import Work
 
-#: 1 counts, 0 is ignored. Found by search: whichever two of twelve words in a row differ, one of these fits
-#: somewhere on the other ten, so a stretch that is long and alike enough to count shares a seed.
-MASKS = ("10100001111", "1111011", "11101101")
+#: 1 counts, 0 is ignored. Found by search: whichever fifth of 12 to 23 words in a row differs, one of these fits
+#: somewhere on the others. A longer stretch holds one of these lengths that is as alike, so each that counts shares a seed.
+MASKS = ("10100001111", "1111011", "11101101", "1110010011001")
+#: For a short item: at most so many masks, searched as long as no more than so many ways to differ are to be covered.
+SHORT_MASKS, SHORT_PATTERNS = 5, 500
 #: The filter's size: so many bits per hash, within these bounds, twice.
 BITS_PER_HASH, LEAST_BITS, FILTER_BITS, PROBES = 64, 1 << 16, 1 << 27, 5
 #: Words before and after a hit that go with it, and the longest stretch of hits in one region.
@@ -50,12 +55,39 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def short_masks(words: int) -> list[str]:
-    """For an item too short for a stretch: all its words, and all but one from five words on."""
-    masks = ["1" * words]
-    if words >= 5:
-        masks += ["1" * i + "0" + "1" * (words - i - 1) for i in range(words)]
-    return masks
+def _least(words: int, least_words: int, similarity: float) -> int:
+    """The words that a stretch needs of an item of so many."""
+    return max(1, min(least_words, math.ceil(round(words * similarity, 9))))
+
+
+@cache
+def short_masks(words: int, least: int, similarity: float) -> tuple[str, ...]:
+    """For an item too short for the masks of long ones: whichever words of a stretch that counts differ, one fits.
+
+    The heaviest masks of which a few cover every such stretch. Where the ways to differ are too many to
+    search, the longest run of agreeing words that none of them can avoid.
+    """
+    changes = {size: math.floor(round(size * (1 - similarity), 9)) for size in range(least, words + 1)}
+    run = min(-(-(size - changed) // (changed + 1)) for size, changed in changes.items())
+    if sum(math.comb(size, changed) for size, changed in changes.items()) > SHORT_PATTERNS:
+        return ("1" * max(1, run),)
+    patterns = []
+    for size, changed in changes.items():
+        patterns += [(size, sum(1 << i for i in set(range(size)) - set(gone))) for gone in combinations(range(size), changed)]
+    for weight in range(min(alike.bit_count() for _, alike in patterns), run, -1):
+        covers = {}
+        for span in range(weight, words + 1):
+            for gaps in combinations(range(1, span - 1), span - weight):
+                mask = sum(1 << i for i in set(range(span)) - set(gaps))
+                fits = [any(alike >> at & mask == mask for at in range(size - span + 1)) for size, alike in patterns]
+                covers["".join("01"[mask >> i & 1] for i in range(span))] = sum(1 << i for i, fit in enumerate(fits) if fit)
+        found, left = [], (1 << len(patterns)) - 1
+        while left and len(found) < SHORT_MASKS:
+            found.append(max(covers, key=lambda mask: (covers[mask] & left).bit_count()))
+            left &= ~covers[found[-1]]
+        if not left:
+            return tuple(found)
+    return ("1" * run,)
 
 
 def _factor(place: int) -> np.uint64:
@@ -107,15 +139,19 @@ class Bloom:
         return places
 
 
-def _item_seeds(batches: Iterator[pd.DataFrame], masks: Sequence[str], least_words: int) -> Iterator[pd.DataFrame]:
+def _item_seeds(
+    batches: Iterator[pd.DataFrame], masks: Sequence[str], least_words: int, similarity: float
+) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for batch in batches:
         out = []
         for item, text in zip(batch["item"], batch["text"]):
             words = hashes.of(text)
             hashed = Seeds(words)
-            own = [*masks, *(short_masks(len(words)) if 0 < len(words) < least_words else ())]
-            for mask in own:
+            own, least = list(masks), _least(len(words), least_words, similarity)
+            if 0 < len(words) and least < least_words:
+                own += short_masks(len(words), least, similarity)
+            for mask in dict.fromkeys(own):
                 for place, seed in enumerate(hashed.of(mask).view(np.int64).tolist()):
                     out.append((item, mask, place, seed))
         yield pd.DataFrame(out, columns=["item", "mask", "place", "seed"]).astype({"place": "int32", "seed": "int64"})
@@ -177,6 +213,7 @@ def benchmark_overlaps(
     item, at least ``similarity`` of its words. Words are lower-cased runs of
     letters and digits, so case, punctuation and spacing do not matter. Texts
     that are null, empty or without words hold nothing and are held by nothing.
+    The default masks miss nothing at 12 words or more and 0.8 or more; less needs others.
     Rows that repeat an id and text are one row here; null ids come back as null.
     """
     spark, work = docs.sparkSession, Work(docs.sparkSession, "decontaminate")
@@ -185,7 +222,7 @@ def benchmark_overlaps(
     items = work.keep(items, "items")
     keyed = items.select(F.col("item_key").alias("item"), "text")
     columns = "item long, mask string, place int, seed long"
-    item_seeds = work.keep(keyed.mapInPandas(lambda b: _item_seeds(b, masks, least_words), columns), "item-seeds")
+    item_seeds = work.keep(keyed.mapInPandas(lambda b: _item_seeds(b, masks, least_words, similarity), columns), "item-seeds")
 
     # An item's length in words decides its masks: few kinds, each a fixed pattern of at most the masks' span.
     used = [row.mask for row in item_seeds.select("mask").distinct().orderBy("mask").collect()]

@@ -73,6 +73,46 @@ def test_masks_miss_no_two_changes_in_twelve_words():
         )
 
 
+def alike(size):
+    """Every way in which a stretch of so many words can just count: the places that agree."""
+    return [set(range(size)) - set(gone) for gone in combinations(range(size), size // 5)]
+
+
+def fits(mask, places, size):
+    return any(all(c == "0" or at + i in places for i, c in enumerate(mask)) for at in range(size - len(mask) + 1))
+
+
+@pytest.mark.parametrize("words", range(1, 24))
+def test_masks_miss_no_stretch_that_counts(words):
+    least = min(12, -(-words * 4 // 5))
+    masks = module.MASKS if least == 12 else module.short_masks(words, least, 0.8)
+    for size in range(least, words + 1):
+        assert all(any(fits(mask, places, size) for mask in masks) for places in alike(size))
+
+
+def test_masks_of_other_similarities():
+    for similarity, words in [(0.5, 20), (0.6, 9), (0.9, 11), (1.0, 7)]:
+        least = module._least(words, 12, similarity)
+        masks = module.short_masks(words, least, similarity)
+        for size in range(least, min(words, 12) + 1):
+            for gone in combinations(range(size), int(round(size * (1 - similarity), 9))):
+                assert any(fits(mask, set(range(size)) - set(gone), size) for mask in masks)
+
+
+def test_short_items_and_three_changes(spark):
+    """Changed words of short items and of long ones, wherever one stretch only just counts."""
+    cases = [(10, (0, 3)), (10, (4, 7)), (11, (2, 5)), (9, (0, 4)), (8, (0, 3)), (6, (4, 5)), (5, (2,)), (12, (0, 3, 6, 11))]
+    cases += [(15, (3, 7, 11)), (15, (4, 5, 8)), (16, (5, 6, 9)), (17, (6, 7, 10)), (20, (2, 7, 8, 11))]
+    items, rows = [], []
+    for i, (size, changed) in enumerate(cases):
+        words = [f"c{i}w{k}" for k in range(size)]
+        items.append((i, " ".join(words)))
+        rows.append((i, " ".join(["x"] * 9 + ["new" if k in changed else one for k, one in enumerate(words)] + ["y"] * 9), "en", "a", 1))
+        assert overlaps(rows[-1][1], items[-1][1])
+    found = benchmark_overlaps(documents(spark, rows), spark.createDataFrame(items, ITEMS)).collect()
+    assert sorted((row.doc_id, row.item_id) for row in found) == [(i, i) for i in range(len(cases))]
+
+
 def test_without_the_filter_the_join_decides(spark, case, monkeypatch):
     """A filter that lets everything through, as one does that is too small for its benchmark."""
     rows, items = case
