@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerline.llm.decontaminate import without_benchmark
-from layerline.llm.language import UNKNOWN, held_out, learn_languages
+from layerline.llm.language import held_out, learn_languages
 from layerline.llm.mixing import mixed_copies
 from layerline.llm.simhash import without_near_duplicates
 from layerline.llm.token_files import read_documents, write_token_files
@@ -19,14 +19,21 @@ from layerline.llm.work import Work
 
 #: Unrelated vectors of 1,024 dimensions have a cosine of about 0.03 either way; a text below this is like no known language.
 LEAST_SCORE = 0.05
+#: From so many different n-grams on a text in a learned language stands clear of that (0.19 and more in sf0.1);
+#: with fewer, a low cosine says nothing.
+LEAST_NGRAMS = 40
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those without letters, or unlike every language, go."""
+    """Documents in a known language; those without letters, or unlike every language, go.
+
+    Texts too short to tell, and all texts where no language was learned, stay if they have a letter.
+    """
     model = learn_languages(docs.where(~held_out(F.col("doc_id"))))
     found = docs.withColumn("__found", model.predict(F.col("text")))
-    known = (F.col("__found.lang") != UNKNOWN) & (F.col("__found.score") >= LEAST_SCORE)
-    return found.where(known).drop("__found")
+    short = F.col("__found.ngrams") < LEAST_NGRAMS
+    known = (F.col("__found.score") >= LEAST_SCORE) | short | F.lit(not model.languages)
+    return found.where((F.col("__found.ngrams") > 0) & known).drop("__found")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,10 @@ class Profiles:
 
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """A row per text, and whether the text has a letter. Runs of other characters count as one, as do both ends."""
+        return self.measured(texts)[:2]
+
+    def measured(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same, and how many different n-grams each text has."""
         padded = [f" {text.lower()} " if text else "  " for text in texts]
         codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype="<u4")
         text_of = np.repeat(np.arange(len(texts)), [len(text) for text in padded])
@@ -65,7 +69,7 @@ class Profiles:
         kinds, kind = np.unique(grams, return_inverse=True)
         counts = np.bincount(owner * len(kinds) + kind, minlength=len(texts) * len(kinds))
         counts = counts.reshape(len(texts), len(kinds)).astype(np.float32)
-        return counts @ self._bound(kinds, known), has_letter
+        return counts @ self._bound(kinds, known), has_letter, np.count_nonzero(counts, axis=1)
 
     def _bound(self, kinds: np.ndarray, known: int) -> np.ndarray:
         letters = np.array(self.letters)
@@ -96,20 +100,23 @@ class LanguageModel:
         self.settings = (dimensions, ngram, seed)
 
     def predict(self, text: Column) -> Column:
-        """A struct of ``lang`` and ``score``, the cosine to the language's prototype, 0 at least.
+        """A struct of ``lang``, ``score``, the cosine to the language's prototype, 0 at least, and ``ngrams``.
 
         ``und`` and 0 for a text that is null or has no letter, and where nothing
-        was learned. Of equal cosines the first language by name counts.
+        was learned. Of equal cosines the first language by name counts. ``ngrams``
+        is how many different n-grams the text has, 0 if it has no letter: the
+        cosine's noise is the same for any text, but that of few n-grams is low.
         """
         languages, prototypes, settings = self.languages, self.prototypes, self.settings
 
-        @F.pandas_udf("lang string, score double")
+        @F.pandas_udf("lang string, score double, ngrams long")
         def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             profiles = Profiles(*settings)
             for batch in batches:
-                names, scores = [], []
+                names, scores, ngrams = [], [], []
                 for _, texts in slices(batch.tolist()):
-                    vectors, has_letter = profiles.of(texts)
+                    vectors, has_letter, different = profiles.measured(texts)
+                    ngrams += np.where(has_letter, different, 0).tolist()
                     if not languages:
                         has_letter[:] = False
                     length = np.maximum(np.linalg.norm(vectors.astype(np.float64), axis=1), 1e-12)
@@ -117,7 +124,8 @@ class LanguageModel:
                     best = cosine.argmax(axis=1)
                     names += [languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), has_letter.tolist())]
                     scores += np.where(has_letter, cosine.max(axis=1).clip(0, 1), 0.0).tolist()
-                yield pd.DataFrame({"lang": names, "score": pd.Series(scores, dtype="float64")})
+                scores, ngrams = pd.Series(scores, dtype="float64"), pd.Series(ngrams, dtype="int64")
+                yield pd.DataFrame({"lang": names, "score": scores, "ngrams": ngrams})
 
         return predicted(text.cast("string"))
 
