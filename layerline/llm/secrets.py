@@ -55,6 +55,29 @@ CLASSES = (
         3.65,
     ),
 )
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def _word(characters: str, *must_have: str) -> str:
+    """A run with no letter or digit beside it. What it must have is looked for within the run."""
+    conditions = "".join(f"(?=[{characters}]*?{one})" for one in must_have)
+    return f"(?<![A-Za-z0-9]){conditions}[{characters}]{{{WINDOW},}}(?![A-Za-z0-9])"
+
+
+#: Random strings that lack one of the three. Hex is left to its class and AKIA to its pattern. Words followed by a
+#: number have one group of digits, and words written together have few one or two small letters between capitals.
+FURTHER_CLASSES = (
+    CharacterClass("entropy_lower", "abcdefghijklmnopqrstuvwxyz0123456789", _word("a-z0-9", "[0-9]", "[g-z]"), 3.65),
+    CharacterClass(
+        "entropy_upper",
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+        f"(?!AKIA)(?:{_word('A-Z2-7', '[2-7]', '[G-Z]')}|{_word('A-Z0-9', '[0-9][A-Z]+[0-9]', '[G-Z]')})",
+        3.65,
+    ),
+    CharacterClass("entropy_mixed", LETTERS, _word("A-Za-z", "[A-Z][a-z]{1,2}[A-Z][A-Za-z]*?[A-Z][a-z]{1,2}[A-Z]"), 3.8),
+)
+#: A folder's name within a run: an allow-listed word in it says nothing about the rest of the run.
+FOLDER = r"(?<![^/])[a-z_-]+(?=/)"
 #: Candidates that are known not to be secrets: documentation keys, counting strings, UUIDs.
 ALLOWED = (
     r"(?i)example|sample|dummy|changeme|placeholder|your[_-]?(?:key|token|secret)",
@@ -139,7 +162,8 @@ def _random_spans(
     text: Column, kind: CharacterClass, order: int, window: int, allowed: Sequence[str]
 ) -> Column:
     def suspicious(match: Column) -> Column:
-        return ~reduce(or_, [match["value"].rlike(pattern) for pattern in allowed], F.lit(False))
+        value = F.regexp_replace(match["value"], FOLDER, "")
+        return ~reduce(or_, [value.rlike(pattern) for pattern in allowed], F.lit(False))
 
     candidates = F.filter(_matches(text, kind.candidate), suspicious)
     judged = F.transform(
@@ -167,7 +191,7 @@ def find_secrets(
     doc_id: str = "doc_id",
     text: str = "text",
     window: int = WINDOW,
-    classes: Sequence[CharacterClass] = CLASSES,
+    classes: Sequence[CharacterClass] = (*CLASSES, *FURTHER_CLASSES),
     allowed: Sequence[str] = ALLOWED,
 ) -> DataFrame:
     """A row per document: doc_id, found (an array of start, order, end and kind, sorted by start and kind).

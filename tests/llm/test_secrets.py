@@ -84,3 +84,31 @@ def test_edges(spark):
 def test_no_python_in_the_plan(spark):
     plan = secret_digests(find_secrets(documents(spark)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize(
+    ("secret", "kind"),
+    [
+        ("x7k2m9q4w8z1p5t3n6v0b2c8d4f", "entropy_lower"),
+        ("JBSWY3DPEHPK3PXPNQ7R5TZKGA2W6MHD", "entropy_upper"),
+        ("X7K2M9Q4W8Z1P5T3N6V0B2C8D4F", "entropy_upper"),
+        ("QwZxRtKpLmVbNcYdHgFsJaTe", "entropy_mixed"),
+        ("ghp/docs/sample/Zk9Qw3Lr7Xt2Vb8Nm4Hp6", "entropy_base64"),
+    ],
+)
+def test_random_strings_of_other_classes(spark, secret, kind):
+    row = secret_digests(find_secrets(documents(spark, [(1, f"see {secret} there", "en", "a", 1)]))).first()
+    assert [one.split(":")[0] for one in row.spans.split(",")] == [kind]
+    assert int(row.spans.split(":")[2]) == 4 + len(secret)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "THEQUICKBROWNFOXJUMPSOVER12345 thequickbrownfoxjumpsoverthelazydog",
+        "AbstractSingletonProxyFactoryBean getElementsByClassNameAndTag",
+        "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY 550e8400-e29b-41d4-a716-446655440000",
+    ],
+)
+def test_words_and_documentation_keys_are_no_secrets(spark, text):
+    assert secret_digests(find_secrets(documents(spark, [(1, text, "en", "a", 1)]))).first().spans == ""
