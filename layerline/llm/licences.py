@@ -97,6 +97,7 @@ def licence_matches(
     text: str = "text",
     templates: Mapping[str, str] = TEMPLATES,
     threshold: float = 0.8,
+    parts: bool = False,
 ) -> DataFrame:
     """A row per line, paragraph or whole text and template it resembles: doc_id, unit, place, template, dice.
 
@@ -104,6 +105,10 @@ def licence_matches(
     need two words; the few given are part of the plan. Texts that are null,
     empty or without two words in a row match nothing. Repeated rows give
     repeated results; other columns are not read.
+
+    With ``parts``, also notices that share a line with other words: a row of unit
+    ``line part`` for a line that resembles no template as a whole, and each template
+    that some stretch of it, as long as the template, resembles; dice is the best stretch's.
     """
     counted = {name: template_bigrams(body) for name, body in templates.items()}
     counted = {name: grams for name, grams in counted.items() if grams}
@@ -117,6 +122,8 @@ def licence_matches(
     rows = rows.select("doc_id", F.inline(_units(F.col("content"))))
     size = F.length("words") - F.length(F.replace(F.col("words"), F.lit(" ")))
     fits = (size >= min(low for low, _ in bounds.values())) & (size <= max(high for _, high in bounds.values()))
+    if parts:
+        fits = fits | ((F.col("unit") == "line") & (size > min(low for low, _ in bounds.values())))
     rows = rows.withColumn("size", size).where(fits)
     words = F.split("words", " ")
     bigrams = F.zip_with(
@@ -139,5 +146,38 @@ def licence_matches(
         )
         for name, grams in counted.items()
     ]
-    found = rows.select("doc_id", "unit", "place", F.explode(F.array_compact(F.array(*judged))).alias("found"))
-    return found.where(F.col("found.dice") >= threshold).select("doc_id", "unit", "place", "found.template", "found.dice")
+    whole = F.filter(F.array_compact(F.array(*judged)), lambda f: f["dice"] >= threshold)
+    if not parts:
+        found = rows.select("doc_id", "unit", "place", F.explode(whole).alias("found"))
+        return found.select("doc_id", "unit", "place", "found.template", "found.dice")
+
+    # A stretch needs as many of its bigrams from the template as the share says: lines without them go first.
+    within = [F.when(F.col("size") > sum(grams.values()), _best_part(name, grams, threshold)) for name, grams in counted.items()]
+    within = F.filter(F.array_compact(F.array(*within)), lambda f: f["dice"] >= threshold)
+    rows = rows.withColumn("whole", whole)
+    shares = (F.col("unit") == "line") & (F.size("whole") == 0)
+    rows = rows.withColumn("within", F.when(shares, within).otherwise(F.slice("whole", 1, 0)))
+    unit = F.when(F.size("within") > 0, F.lit("line part")).otherwise(F.col("unit"))
+    found = rows.select("doc_id", unit.alias("unit"), "place", F.explode(F.concat("whole", "within")).alias("found"))
+    return found.select("doc_id", "unit", "place", "found.template", "found.dice")
+
+
+def _best_part(name: str, grams: Counter, threshold: float) -> Column:
+    """template and dice of the best stretch of ``bigrams`` as long as the template, among those that begin or end with a bigram of it."""
+    size = sum(grams.values())
+    own = F.array(*[F.struct(F.lit(gram).alias("gram"), F.lit(n).alias("n")) for gram, n in sorted(grams.items())])
+    names = F.array(*[F.lit(gram) for gram in sorted(grams)])
+
+    def shared(bigrams: Column) -> Column:
+        def more(total: Column, one: Column) -> Column:
+            return total + F.least(F.size(F.filter(bigrams, lambda b: b == one["gram"])), one["n"])
+
+        return F.aggregate(own, F.lit(0), more)
+
+    last = F.col("size") - size + 1
+    places = F.filter(F.transform("bigrams", lambda b, i: F.when(F.array_contains(names, b), i + 1)), lambda i: i.isNotNull())
+    starts = F.array_distinct(F.concat(places, F.transform(places, lambda i: i - size + 1)))
+    starts = F.transform(starts, lambda i: F.greatest(F.lit(1), F.least(i, last)))
+    best = F.array_max(F.transform(F.array_distinct(starts), lambda i: shared(F.slice("bigrams", i, size)) / F.lit(size)))
+    enough = shared(F.col("bigrams")) >= math.ceil(round(threshold * size, 9))
+    return F.when(enough, F.struct(F.lit(name).alias("template"), best.alias("dice")))

@@ -78,7 +78,7 @@ def op6_simhash_near_dedup(spark, sf_dir):
 
 
 def op7_licence_scan(spark, sf_dir):
-    return licence_matches(table(spark, sf_dir, "documents"))
+    return licence_matches(table(spark, sf_dir, "documents"), parts=True)
 
 
 def op8_line_dedup(spark, sf_dir):

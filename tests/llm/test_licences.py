@@ -89,3 +89,25 @@ def test_edges(spark):
 def test_no_python_in_the_plan(spark):
     plan = licence_matches(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize(
+    ("line", "template"),
+    [
+        ("Copyright 2020 Foo Inc. All rights reserved.", "all-rights-reserved"),
+        ("Released under the MIT License. See LICENSE for details.", "mit-line"),
+        ("Unless noted, this site's content is Licensed under CC BY-NC 4.0.", "cc-by-nc-4.0-line"),
+        ("MIT License Copyright (c) 2020 Foo " + TEMPLATES["mit-grant"] + " and more words of it" * 10, "mit-grant"),
+    ],
+)
+def test_notices_that_share_a_line(spark, line, template):
+    docs = documents(spark, [(1, f"Some title\n{line}\nand more", "en", "a", 1)])
+    assert plain(licence_matches(docs, parts=True).collect()) == [(1, "line part", 1, template, 1.0)]
+
+
+def test_parts_leave_whole_units_as_they_are(spark):
+    docs = documents(spark, [(i, text, "en", "a", 1) for i, text in enumerate(CASES)])
+    found = licence_matches(docs, parts=True)
+    assert plain(found.where("unit <> 'line part'").collect()) == plain(licence_matches(docs).collect())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
