@@ -12,6 +12,7 @@ from layerline.llm import sql
 from layerline.llm.decontaminate import benchmark_overlaps
 from layerline.llm.exact_dedup import exact_duplicates
 from layerline.llm.language import identify_languages
+from layerline.llm.lexical import ranked_documents
 from layerline.llm.licences import licence_matches
 from layerline.llm.line_dedup import html_lines, without_boilerplate
 from layerline.llm.mixing import mix
@@ -19,6 +20,8 @@ from layerline.llm.secrets import find_secrets, secret_digests
 from layerline.llm.simhash import near_duplicates
 from layerline.llm.token_counts import TokenRollup, counts, deleted, inserted, revised
 from layerline.llm.token_files import read_documents, write_token_files
+from layerline.llm.vector_codes import compress_vectors
+from layerline.llm.vector_links import embedding_links
 from layerline.llm.work import Work
 
 
@@ -95,6 +98,18 @@ def op10_source_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
+def op11_embedding_near_dedup(spark, sf_dir):
+    return embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op12_vector_codes(spark, sf_dir):
+    return compress_vectors(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+
+
+def op13_lexical_search(spark, sf_dir):
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_files": op2_token_files,
@@ -106,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_source_mixing": op10_source_mixing,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -115,4 +133,7 @@ ORACLE_SQL: dict[str, str] = {
     "op8_line_dedup": sql.LINES,
     "op9_secret_scan": sql.SECRETS,
     "op10_source_mixing": sql.SOURCE_MIXING,
+    "op11_embedding_near_dedup": sql.EMBEDDING_LINKS,
+    "op12_vector_codes": sql.VECTOR_CODES,
+    "op13_lexical_search": sql.RANKED_DOCUMENTS,
 }

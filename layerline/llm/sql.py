@@ -170,3 +170,77 @@ lists AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM texts LEFT JOIN lists USING (id)"""
+
+
+EMBEDDING_LINKS = """
+WITH RECURSIVE rows AS (
+    SELECT row_number() OVER () AS id, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+vectors AS (
+    SELECT * FROM rows WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                         AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.id AS u, b.id AS v FROM vectors a JOIN vectors b
+    ON a.id <> b.id AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reached AS (SELECT id, id AS other FROM rows UNION SELECT reached.id, links.v FROM reached JOIN links ON other = u),
+least AS (SELECT reached.id, min(vec_id) AS component_id FROM reached JOIN rows ON other = rows.id GROUP BY reached.id),
+counted AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows JOIN least USING (id) LEFT JOIN counted ON id = u"""
+
+_GAPS = "+".join(f"(p.v[{i}] - b.v[{i}]) * (p.v[{i}] - b.v[{i}])" for i in range(1, 5))
+
+
+def _round(i: int) -> str:
+    return f"""
+near{i} AS (
+    SELECT id, part, any_value(p.v) AS v, min(({_GAPS}) * 64 + entry) AS nearest
+    FROM pieces p JOIN book{i} b USING (part) GROUP BY id, part)"""
+
+
+def _book(i: int) -> str:
+    means = ", ".join(f"CAST(floor(sum(v[{k}])::DOUBLE / count(*)) AS BIGINT)" for k in range(1, 5))
+    return f"""{_round(i - 1)},
+mean{i} AS (SELECT part, nearest % 64 AS entry, [{means}] AS v FROM near{i - 1} GROUP BY ALL),
+book{i} AS (
+    SELECT part, entry, coalesce(mean{i}.v, old.v) AS v FROM book{i - 1} old LEFT JOIN mean{i} USING (part, entry))"""
+
+
+# For vectors of 64 components, as the table has them: parts of four.
+VECTOR_CODES = f"""
+WITH kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE embedding IS NOT NULL
+                      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS (SELECT id, part, v[4 * part + 1 : 4 * part + 4] AS v FROM kept, range(16) parts(part)),
+book0 AS (SELECT part, id AS entry, v FROM pieces WHERE id < 64),{_book(1)},{_book(2)},{_round(2)},
+coded AS (
+    SELECT id, string_agg(printf('%02x', nearest % 64), '' ORDER BY part) AS code,
+           CAST(sum(nearest // 64) AS BIGINT) AS error
+    FROM near2 GROUP BY id),
+books AS (
+    SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (id), books"""
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+RANKED_DOCUMENTS = f"""
+WITH split AS (SELECT row_number() OVER () AS id, doc_id, {_TERMS} AS terms FROM documents),
+whole AS (SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS length FROM split WHERE len(terms) > 0),
+counted AS (
+    SELECT id, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+    FROM (SELECT id, doc_id, len(terms) AS n, unnest(terms) AS term FROM split) GROUP BY id, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counted, whole GROUP BY term),
+items AS (SELECT DISTINCT item, item_id, unnest(terms) AS term
+          FROM (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS terms FROM benchmark)),
+scored AS (
+    SELECT item, any_value(item_id) AS item_id, id, any_value(doc_id) AS doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length)))) AS BIGINT) AS score
+    FROM items JOIN counted USING (term) JOIN weights USING (term), whole GROUP BY item, id),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
