@@ -11,6 +11,7 @@ import re
 import sys
 import tempfile
 import time
+import warnings
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import replace
@@ -24,12 +25,27 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from layerline import RunContext, open_datasets  # noqa: E402
-from layerline.functions import day_of  # noqa: E402
-from layerline.operators import compact, group_counts, group_totals, preview, sort_rows  # noqa: E402
+from layerline.functions import conform, day_of  # noqa: E402
+from layerline.operators import (  # noqa: E402
+    compact,
+    compact_table,
+    group_counts,
+    group_totals,
+    preview,
+    remove_replaced,
+    sort_rows,
+)
 from layerline.plans import catalog, events, orders  # noqa: E402
+from layerline.sources import Dataset, read_dataset  # noqa: E402
 from layerline.sources.catalog import quoted  # noqa: E402
-from layerline.sources.folders import STAGING_SETTING, staging_folder  # noqa: E402
-from layerline.sources.provision import LAYERS, TableDefinition, create_tables, list_tables  # noqa: E402
+from layerline.sources.folders import (  # noqa: E402
+    STAGING_SETTING,
+    data_files,
+    folder_entries,
+    remove_folder,
+    staging_folder,
+)
+from layerline.sources.provision import LAYERS, TableDefinition, align_tables, create_tables, list_tables  # noqa: E402
 from layerline.sources.run import SESSION_CATALOG  # noqa: E402
 
 #: Where the given tables lie.
@@ -474,6 +490,154 @@ def compact_partition(spark, sf_dir):
     return compact(spark, inputs["events"], outputs["events"])
 
 
+# Streams, compaction, appends and definitions that are repeated or cut short. Over
+# conversations, whose number grows with the data.
+
+CONVERSATION_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
+_CONVERSATIONS = TableDefinition(
+    "refined",
+    "sample",
+    "conversations",
+    f"CREATE TABLE IF NOT EXISTS ${{name}} ({CONVERSATION_SCHEMA}) USING ${{format}} PARTITIONED BY (role) "
+    "LOCATION '${warehouse}/${layer}/${domain}/${table}'",
+)
+
+
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform(
+        _given(spark, sf_dir, "conversations"),
+        {
+            "conv_id": F.col("conv_id").cast("bigint"),
+            "turn": F.col("turn").cast("bigint"),
+            "role": F.col("role"),
+            "text": F.col("text"),
+        },
+    )
+
+
+def _share(number: int, of: int) -> Column:
+    return F.pmod(F.xxhash64("conv_id", "turn"), F.lit(of)) == number
+
+
+def _landing(spark: SparkSession, run: RunContext):
+    """A folder in which files arrive, as a function that lets rows arrive, and a spec to read it as a stream."""
+    files = {"type": "path", "path": "landing/conversations", "mode": "append"}
+    write, _ = _stored(spark, run, files)
+
+    def arrive(rows: DataFrame) -> None:
+        with _setting_up():
+            write(rows)
+
+    return arrive, {"type": "stream", "path": "landing/conversations", "schema": CONVERSATION_SCHEMA}
+
+
+def stream_archived(spark, sf_dir):
+    """Three runs, each of what arrived since the last; files taken leave, and each run begins a new log of them."""
+    run, name = _own_table(spark, "stream-archived", _CONVERSATIONS)
+    arrive, arriving = _landing(spark, run)
+    taken = {"type": "stream", "table": name, "checkpoint": "checkpoints/c", "archive": "archive/c", "log_files": 1}
+    inputs, outputs = open_datasets(spark, {"input": {"c": arriving}, "output": {"c": taken}}, run)
+    rows, counted = _conversations(spark, sf_dir), 0
+    for i in range(3):
+        arrive(rows.where(_share(i, 3)))
+        counted += outputs.write("c", inputs.read("c"), count_rows=True)
+    left = len(data_files(spark, run.location("landing/conversations")))
+    logs = len(folder_entries(spark, run.location("checkpoints/c")))
+    marks = {"files_left": F.lit(left), "logs": F.lit(logs), "counted": F.lit(counted)}
+    return read_dataset(spark, _table_dataset(run, name)).withColumns(marks)
+
+
+def _table_dataset(run: RunContext, name: str) -> Dataset:
+    return Dataset("it", "table", run.table_name(name), by_path=False)
+
+
+def stream_into_table(spark, sf_dir):
+    """A run that ends between its last write and the commit of it: the batch comes again and changes nothing."""
+    run, name = _own_table(spark, "stream-table", _CONVERSATIONS)
+    arrive, arriving = _landing(spark, run)
+    taken = {"type": "stream", "table": name, "checkpoint": "checkpoints/c"}
+    inputs, outputs = open_datasets(spark, {"input": {"c": arriving}, "output": {"c": taken}}, run)
+    rows = _conversations(spark, sf_dir)
+    for i in range(2):
+        arrive(rows.where(_share(i, 2)))
+        outputs.write("c", inputs.read("c"))
+        if i == 0:
+            remove_folder(spark, run.location("checkpoints/c/commits"))
+    return read_dataset(spark, _table_dataset(run, name))
+
+
+def stream_row_count(spark, sf_dir):
+    """Rows of all micro-batches: of Spark's own sink, by steps, and of a path with a record of each."""
+    run = _new_place(spark, "stream-count")
+    arrive, arriving = _landing(spark, run)
+    arrive(_conversations(spark, sf_dir).repartition(4))
+    steps = {**arriving, "batch_bytes": 1}
+    to = {"type": "stream", "partition_by": ["role"]}
+    specs = {
+        "input": {"whole": arriving, "steps": steps},
+        "output": {
+            "whole": {**to, "path": "refined/whole", "checkpoint": "checkpoints/whole", "once": True},
+            "steps": {**to, "path": "refined/steps", "checkpoint": "checkpoints/steps"},
+        },
+    }
+    inputs, outputs = open_datasets(spark, specs, run)
+    counts = [(name, outputs.write(name, inputs.read(name), count_rows=True)) for name in specs["input"]]
+    return spark.createDataFrame(counts, "stream STRING, row_count BIGINT")
+
+
+def compact_switch_readers(spark, sf_dir):
+    """A table of many small files: its partitions are rewritten in one job, and readers by name find the new files."""
+    run, name = _own_table(spark, "compact-table", _CONVERSATIONS)
+    with _setting_up():
+        write, _ = _stored(spark, run, {"type": "table", "table": name, "mode": "append", "rebalance": False})
+        rows = _conversations(spark, sf_dir)
+        for i in range(3):
+            write(rows.where(_share(i, 3)).repartition(4))
+    table = _table_dataset(run, name)
+    remove_replaced(spark, compact_table(spark, table))
+    read = read_dataset(spark, table)
+    return read.withColumn("files", F.lit(read.select("_metadata.file_path").distinct().count()))
+
+
+def sink_path_swap(spark, sf_dir):
+    """An overwrite that fails half way leaves the old rows, and one that ends well replaces them."""
+    spec = {"type": "path", "path": "refined/conversations", "swap": True}
+    write, read = _stored(spark, _new_place(spark, "swap"), spec)
+    rows = _conversations(spark, sf_dir)
+    write(rows.where(_share(0, 2)))
+    try:
+        write(rows.withColumn("text", F.raise_error(F.lit("half way")).cast("string")))
+    except Exception as failure:
+        if "half way" not in str(failure):
+            raise
+    kept = read().count()
+    write(rows)
+    return read().withColumn("kept", F.lit(kept) > 0)
+
+
+def job_orders_ingest_once(spark, sf_dir):
+    """The append that may be repeated: two runs under one day and time leave its rows once."""
+    return _orders_ingest(spark, sf_dir, "ingest-once", orders.ONCE_SPECS, _ORDERS, runs=2)
+
+
+def ddl_align(spark, sf_dir):
+    """A table from before a column was added to its definition, with rows, and rows after; a changed type is refused."""
+    earlier = replace(_CONVERSATIONS, ddl=_CONVERSATIONS.ddl.replace(", text STRING", ""))
+    run, name = _own_table(spark, "ddl-align", earlier)
+    now = replace(_CONVERSATIONS, domain=name.split(".")[1])
+    rows = _conversations(spark, sf_dir)
+    write, _ = _stored(spark, run, {"type": "table", "table": name, "mode": "append"})
+    write(rows.where("turn = 0").drop("text"))
+    align_tables(spark, [now], run)
+    write(rows.where("turn IS DISTINCT FROM 0"))
+    try:
+        align_tables(spark, [replace(now, ddl=now.ddl.replace("turn BIGINT", "turn STRING"))], run)
+        refused = False
+    except ValueError:
+        refused = True
+    return read_dataset(spark, _table_dataset(run, name)).withColumn("refused", F.lit(refused))
+
+
 # The same results in SQL
 
 _ORDERS_SQL = """
@@ -549,6 +713,24 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "stream_ingest_available_now": (stream_ingest_available_now, _ORDERS_SQL),
     "stream_ingest_partitioned": (stream_ingest_partitioned, _ORDERS_SQL),
     "compact_partition": (compact_partition, "SELECT *, strftime(ts, '%H') AS hour FROM events"),
+    "stream_archived": (
+        stream_archived,
+        "SELECT *, 0 AS files_left, 1 AS logs, (SELECT CAST(count(*) AS INTEGER) FROM conversations) AS counted FROM conversations",
+    ),
+    "stream_into_table": (stream_into_table, "SELECT * FROM conversations"),
+    "stream_row_count": (
+        stream_row_count,
+        "SELECT unnest(['whole', 'steps']) AS stream, count(*) AS row_count FROM conversations",
+    ),
+    "compact_switch_readers": (compact_switch_readers, 
+        "SELECT *, (SELECT CAST(count(*) AS INTEGER) FROM (SELECT DISTINCT role FROM conversations)) AS files FROM conversations",
+    ),
+    "sink_path_swap": (sink_path_swap, "SELECT *, true AS kept FROM conversations"),
+    "job_orders_ingest_once": (job_orders_ingest_once, _ORDERS_SQL),
+    "ddl_align": (
+        ddl_align,
+        "SELECT * REPLACE (CASE WHEN turn = 0 THEN NULL ELSE text END AS text), true AS refused FROM conversations",
+    ),
 }
 
 
@@ -558,12 +740,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _optional(name: str):
-    """The module, or None where it or the package of training-data operators is not there."""
+    """The module, or None where it, the package of training-data operators, or a package that these need is not there."""
     try:
         return import_module(name)
-    except ModuleNotFoundError as missing:
+    except ImportError as missing:
+        # The package may be left out on purpose; what else is missing should be known.
         if not (missing.name or "").startswith(("layerline.llm", "corpus_pipeline")):
-            raise
+            warnings.warn(f"the queries of {name} are left out: {missing}", stacklevel=2)
         return None
 
 

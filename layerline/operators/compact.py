@@ -39,7 +39,7 @@ def compact(
         raise ValueError(f"dataset '{source.name}': files in partition directories need a 'schema' to be compacted")
     rows = read_path(spark, source)
     read = Observation()
-    counted = rows.observe(read, *_content(rows))
+    counted = rows.observe(read, *content(rows))
     if target.partition_by:
         packed = gathered(spark, target, counted, target.partition_by)
     else:
@@ -47,7 +47,7 @@ def compact(
     write_path(spark, target, packed)
 
     compacted = spark.read.format(target.format).options(**target.options).schema(rows.schema).load(target.location)
-    kept = compacted.agg(*_content(rows)).first().asDict()
+    kept = compacted.agg(*content(rows)).first().asDict()
     if kept != read.get:
         raise RuntimeError(
             f"{source.location}: read {read.get['rows']} rows, found {kept['rows']} at {target.location}"
@@ -67,7 +67,7 @@ def _listing(spark: SparkSession, location: str) -> tuple[int, bool]:
     return found[0] or 0, bool(found[1])
 
 
-def _content(rows: DataFrame) -> list[Column]:
+def content(rows: DataFrame) -> list[Column]:
     """The number of rows and the sum of their hashes. A map is hashed as its entries' text."""
     columns = [
         F.to_json(F.struct(F.col(f"`{one.name}`"))) if "map<" in one.dataType.simpleString() else F.col(f"`{one.name}`")

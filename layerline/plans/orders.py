@@ -26,6 +26,12 @@ INGEST_SPECS = {
     "output": {"orders": {"type": "table", "table": "refined.sample.orders", "mode": "append"}},
 }
 
+# The same for a run that may be repeated: under one day and time its rows are there once.
+ONCE_SPECS = {
+    "input": INGEST_SPECS["input"],
+    "output": {"orders": {**INGEST_SPECS["output"]["orders"], "once": "orders-{ymd}-{hms}"}},
+}
+
 # All rows of a run go to the partition of its day, so there is nothing to gather first.
 RERUN_SPECS = {
     "input": INGEST_SPECS["input"],
@@ -93,7 +99,7 @@ def orders_ingest(
     """Move the seed orders to the refined dataset and return that.
 
     The table of ``INGEST_SPECS`` is appended to, so a second run adds the rows a
-    second time. With ``RERUN_SPECS``, a run replaces what an earlier run of its day
+    second time; with ``ONCE_SPECS`` it does not, under the same day and time. With ``RERUN_SPECS``, a run replaces what an earlier run of its day
     wrote: the rows carry ``ymd``, and the table is partitioned by it.
     """
     run.require_batch()

@@ -22,7 +22,11 @@ FILE_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro", "hive")
 
 def quoted(name: str) -> str:
     """A dotted name for a statement, each part quoted, so that hyphens and the like are no trouble."""
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+    return ".".join(quoted_part(part) for part in name.split("."))
+
+
+def quoted_part(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def text_literal(value: str) -> str:
@@ -103,6 +107,11 @@ def partition_columns(spark: SparkSession, dataset: Dataset) -> tuple[str, ...]:
     return tuple(describe_file_table(spark, dataset.location).get("partition_columns", ()))
 
 
+def describe_partition(spark: SparkSession, table: str, clause: str) -> dict[str, Any]:
+    """What the session catalog holds about one partition, among it where it lies now."""
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)} {clause} AS JSON").first()[0])
+
+
 def describe_file_table(spark: SparkSession, table: str) -> dict[str, Any]:
     """What the session catalog holds about a table; no file is listed for it."""
     return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)} AS JSON").first()[0])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layerline.sources.catalog import partition_columns, read_table, write_table
+from layerline.sources.once import append_once
 from layerline.sources.paths import read_path, write_path
 from layerline.sources.run import RunContext
 from layerline.sources.specs import Dataset, resolve_path, resolve_table
@@ -22,6 +23,8 @@ class DatasetType(NamedTuple):
     write: Callable[[SparkSession, Dataset, DataFrame], None]
     # Columns that decide which directory or partition a row is written to.
     layout: Callable[[SparkSession, Dataset], tuple[str, ...]] = lambda spark, dataset: dataset.partition_by
+    # For a type whose write cannot be observed from outside: writes, and returns the rows written.
+    write_counted: Callable[[SparkSession, Dataset, DataFrame], int] | None = None
 
 
 _FILES = DatasetType(resolve_path, read_path, write_path)
@@ -88,12 +91,17 @@ class DatasetGroup:
             raise TypeError("input datasets are read, not written")
         dataset = self[name]
         kind = _type_of(dataset)
+        if df.isStreaming != (dataset.type == "stream"):
+            raise ValueError(f"dataset '{name}': a stream is written to an output of type stream, and nothing else is")
         df = gathered(self._spark, dataset, df, kind.layout(self._spark, dataset) if dataset.rebalance else ())
+        if dataset.once and not df.isStreaming:
+            rows = append_once(self._spark, dataset, df, dataset.once)
+            return rows if count_rows else None
         if not count_rows:
             kind.write(self._spark, dataset, df)
             return None
-        if df.isStreaming:
-            raise ValueError(f"'{name}': the rows of a stream are not counted")
+        if kind.write_counted:
+            return kind.write_counted(self._spark, dataset, df)
         # After the shuffle: a lost executor makes Spark repeat tasks before a shuffle,
         # and their rows would be counted twice.
         written = Observation()

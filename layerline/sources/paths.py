@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from layerline.sources.folders import folder_exists
 from layerline.sources.specs import Dataset
+from layerline.sources.swap import recover, swapped
 
 _OVERWRITE_MODE = "partitionOverwriteMode"
 _STREAM_LOG = "_spark_metadata"
 
 
 def read_path(spark: SparkSession, dataset: Dataset) -> DataFrame:
+    if dataset.swap:
+        recover(spark, dataset.location)
     reader = spark.read.format(dataset.format).options(**dataset.options)
     if dataset.schema:
         reader = reader.schema(dataset.schema)
@@ -29,4 +32,7 @@ def write_path(spark: SparkSession, dataset: Dataset, df: DataFrame) -> None:
         if dataset.mode == "overwrite" and _OVERWRITE_MODE.lower() not in said:
             # Overwrite means the whole location, also in a session set to dynamic overwrite.
             writer = writer.option(_OVERWRITE_MODE, "static")
-    writer.save(dataset.location)
+    if not dataset.swap:
+        return writer.save(dataset.location)
+    with swapped(spark, dataset.location) as aside:
+        writer.save(aside)

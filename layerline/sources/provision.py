@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import takewhile
 from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from layerline.sources.catalog import (
     describe_file_table,
     is_file_table,
     on_session_catalog,
     quoted,
+    quoted_part,
     table_format,
     text_literal,
 )
@@ -20,6 +24,8 @@ from layerline.sources.folders import folder_exists
 from layerline.sources.run import RunContext
 
 LAYERS = ("raw", "refined", "mart")
+#: Formats whose files may lack a column that their table has; it reads as NULL there.
+ADDABLE = ("parquet", "orc", "json")
 
 
 @dataclass(frozen=True, order=True)
@@ -94,6 +100,92 @@ def create_tables(
     return [_create(spark, one, run) for one in select_tables(definitions, layer, domain, table)]
 
 
+@dataclass(frozen=True)
+class Drift:
+    """How a table differs from its definition: columns it lacks, and what cannot be made good by adding columns."""
+
+    added: tuple[StructField, ...]
+    refused: tuple[str, ...]
+
+
+def table_drift(spark: SparkSession, definition: TableDefinition, run: RunContext) -> Drift:
+    """Compare the definition, as Spark's own parser reads it, with what the catalog holds. No statement of it is run.
+
+    Columns are compared by name and type, then the partition columns and the format. Order,
+    nullability and comments are not: writes match columns by name, and files do not enforce the rest.
+    """
+    name = run.table_name(definition.dotted)
+    statements = definition.statements(run, table_format(spark, run))
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    plan = parser.parsePlan(statements[0])
+    if len(statements) > 1 or plan.getClass().getSimpleName() != "CreateTable":
+        raise ValueError(f"{definition.dotted}: only a definition of one CREATE TABLE with columns can be compared")
+    wanted = {field.name.lower(): field for field in StructType.fromJson(json.loads(plan.tableSchema().json()))}
+    rows = spark.sql(f"DESCRIBE TABLE {quoted(name)}").collect()
+    # Partition columns are told again below a heading.
+    there = {row.col_name.lower(): row.data_type for row in takewhile(lambda row: not _is_heading(row.col_name), rows)}
+    refused = [f"column {one} is {there[one]}, not {wanted[one].dataType.simpleString()}"
+               for one in wanted.keys() & there.keys() if there[one] != wanted[one].dataType.simpleString()]
+    refused += [f"column {one} is not in the definition" for one in there.keys() - wanted.keys()]
+    added = [field for one, field in wanted.items() if one not in there]
+    transforms = plan.partitioning()
+    by = [transforms.apply(i).describe().strip("`").lower() for i in range(transforms.size())]
+    refused += [f"partition column {one.name} is not there" for one in added if one.name.lower() in by]
+    if is_file_table(spark, name):
+        described = describe_file_table(spark, name)
+        found = [one.lower() for one in described.get("partition_columns", ())]
+        if found != by:
+            refused.append(f"partitioned by {found}, not {by}")
+        provider = plan.tableSpec().provider()
+        if provider.isDefined() and provider.get().lower() != described["provider"].lower():
+            refused.append(f"made of {described['provider']}, not {provider.get()}")
+        if added and described["provider"].lower() not in ADDABLE:
+            refused.append(f"columns cannot be added to files of {described['provider']}")
+    return Drift(tuple(added), tuple(sorted(refused)))
+
+
+def align_tables(
+    spark: SparkSession,
+    definitions: Sequence[TableDefinition],
+    run: RunContext,
+    layer: str | None = None,
+    domain: str | None = None,
+    table: str | None = None,
+) -> dict[str, list[str]]:
+    """Create what is absent and add the columns that tables lack; return the columns added, by full name.
+
+    Every selected table is compared first. If one of them differs in any other way, nothing is changed.
+    """
+    chosen = select_tables(definitions, layer, domain, table)
+    drifts = {
+        one: table_drift(spark, one, run)
+        for one in chosen
+        if spark.catalog.tableExists(quoted(run.table_name(one.dotted)))
+    }
+    refused = [f"{one.dotted}: {reason}" for one, drift in drifts.items() for reason in drift.refused]
+    if refused:
+        raise ValueError("tables differ from their definitions, nothing was changed: " + "; ".join(refused))
+    changed = {}
+    for one in chosen:
+        name = _create(spark, one, run) if one not in drifts else run.table_name(one.dotted)
+        added = drifts[one].added if one in drifts else ()
+        if added:
+            columns = ", ".join(_column(field) for field in added)
+            spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({columns})")
+        changed[name] = [field.name for field in added]
+    return changed
+
+
+def _column(field: StructField) -> str:
+    comment = field.metadata.get("comment")
+    written = f"{quoted_part(field.name)} {field.dataType.simpleString()}"
+    return written + (f" COMMENT {text_literal(comment)}" if comment else "")
+
+
+def _is_heading(name: str) -> bool:
+    return not name or name.startswith("#")
+
+
 def drop_table(spark: SparkSession, run: RunContext, layer: str, domain: str, table: str) -> None:
     _check_layer(layer)
     if not (domain and table):

@@ -32,6 +32,10 @@ class Dataset:
     # Gather the rows of a partition value before a partitioned write (see groups.py).
     # A number is how many shuffle partitions to spread the values over.
     rebalance: bool | int = True
+    # What an append that may be repeated is known by (see once.py).
+    once: str | None = None
+    # Overwrite by swapping directories (see swap.py).
+    swap: bool = False
     # The spec as it was given.
     spec: Mapping[str, Any] = field(default_factory=dict)
 
@@ -63,6 +67,7 @@ def resolve_table(name: str, spec: Mapping[str, Any], run: RunContext, kind: str
         by_path=False,
         mode=mode,
         rebalance=_rebalance(name, spec),
+        once=_once(name, spec, run, kind, mode),
         spec=spec,
     )
 
@@ -78,6 +83,9 @@ def resolve_files(name: str, spec: Mapping[str, Any], run: RunContext, kind: str
     partition_by = spec.get("partition_by") or ()
     if isinstance(partition_by, str):
         partition_by = (partition_by,)
+    dynamic = any(key.lower() == "partitionoverwritemode" for key in options)
+    if spec.get("swap") and (mode != "overwrite" or dynamic):
+        raise ValueError(f"dataset '{name}': swap is for writes that overwrite a whole location")
     return Dataset(
         name=name,
         type=str(spec["type"]),
@@ -88,10 +96,26 @@ def resolve_files(name: str, spec: Mapping[str, Any], run: RunContext, kind: str
         partition_by=tuple(partition_by),
         schema=spec.get("schema"),
         rebalance=_rebalance(name, spec),
+        once=_once(name, spec, run, kind, mode),
+        swap=bool(spec.get("swap")),
         spec=spec,
     )
 
 
+def _once(name: str, spec: Mapping[str, Any], run: RunContext, kind: str, mode: str | None) -> str | None:
+    """The key of an append that may be repeated. Streams know their batches themselves and say true."""
+    once = spec.get("once")
+    if not once or kind != "output":
+        return None
+    if mode != "append":
+        raise ValueError(f"dataset '{name}': only what is appended can be there twice; 'once' does not go with {mode}")
+    if spec["type"] == "stream":
+        return str(once)
+    if not isinstance(once, str):
+        raise ValueError(f"dataset '{name}': once is a text that names the run, such as 'orders-{{ymd}}-{{hms}}'")
+    return run.fill(once, name)
+
+
 def _rebalance(name: str, spec: Mapping[str, Any]) -> bool | int:
     rebalance = spec.get("rebalance", True)
     if not isinstance(rebalance, int) or rebalance < 0:

@@ -1,0 +1,160 @@
+"""Compaction of a table's partitions, and what readers of the table see."""
+
+from __future__ import annotations
+
+from importlib import import_module
+from uuid import uuid4
+
+import pytest
+from pyspark.sql import functions as F
+
+from layerline.operators.compact_table import compact_table, compaction_plan, remove_replaced
+from layerline.sources import Dataset
+from layerline.sources.provision import TableDefinition, create_tables
+from tests.conftest import rows
+
+module = import_module("layerline.operators.compact_table")
+SCHEMA = "id BIGINT, s STRING, hour STRING, kind STRING"
+
+
+@pytest.fixture
+def table(spark, table_run, store):
+    """Three partitions of many files, one of a single file, and a directory that the catalog does not know."""
+    domain = f"c{uuid4().hex}"
+    ddl = f"CREATE TABLE ${{name}} ({SCHEMA}) USING ${{format}} PARTITIONED BY (hour, kind) LOCATION '${{warehouse}}/t'"
+    create_tables(spark, [TableDefinition("refined", domain, "events", ddl)], table_run)
+    spec = {"type": "table", "table": f"refined.{domain}.events", "mode": "append", "rebalance": False}
+    write, read = store(spec, at=table_run)
+    given = spark.range(0, 4000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s"))
+    for hour, kind in (("00", "a b+%/é"), ("00", "x"), ("01", None)):
+        write(given.withColumns({"hour": F.lit(hour), "kind": F.lit(kind).cast("string")}))
+    write(given.coalesce(1).withColumns({"hour": F.lit("02"), "kind": F.lit("x")}))
+    for _ in range(3):
+        given.write.mode("append").parquet(f"{table_run.warehouse}/t/hour=03/kind=x")
+    read.name, read.spec = table_run.table_name(spec["table"]), spec
+    read.dataset = Dataset("events", "table", read.name, by_path=False)
+    read.write, read.given = write, given
+    return read
+
+
+def files(spark, name):
+    found = spark.table(name).select("hour", "kind", F.col("_metadata.file_path").alias("file")).distinct()
+    return {(row.hour, row.kind): row["count"] for row in found.groupBy("hour", "kind").count().collect()}
+
+
+def test_only_partitions_of_small_files_are_chosen(spark, table):
+    chosen, packed = compaction_plan(spark, table.dataset)
+    assert [(one.directory.split("/")[0], one.files, one.bins) for one in chosen] == [("hour=00", 8, 1), ("hour=00", 8, 1), ("hour=01", 8, 1)]
+    assert packed.count() == 24
+    assert compaction_plan(spark, table.dataset, target_file_bytes=1)[0] == []
+
+
+def test_files_are_packed_by_size(spark, table):
+    sizes = [row.length for row in spark.read.format("binaryFile").load(f"{table_root(spark, table)}/hour=00/kind=x").select("length").collect()]
+    target = sum(sizes) // 3
+    chosen, packed = compaction_plan(spark, table.dataset, target)
+    one = next(one for one in chosen if one.directory == "hour=00/kind=x")
+    packed_size = packed.where(F.col("directory") == one.directory).groupBy("bin").count().count()
+    assert one.bins == packed_size and 3 <= one.bins <= 4
+
+
+def table_root(spark, table):
+    return module._described(spark, table.dataset)["location"]
+
+
+def test_readers_see_all_rows_in_fewer_files(spark, table):
+    before = rows(table())
+    switched = compact_table(spark, table.dataset)
+    assert len(switched) == 3
+    assert rows(table()) == before
+    assert set(files(spark, table.name).values()) == {1}
+    # Nothing is left to do, and the replaced files can go.
+    assert compact_table(spark, table.dataset) == []
+    remove_replaced(spark, switched)
+    assert rows(table()) == before
+    spark.catalog.clearCache()
+    assert rows(spark.table(table.name)) == before
+
+
+def test_a_bin_is_a_file(spark, table):
+    plan, _ = compaction_plan(spark, table.dataset, 100_000)
+    compact_table(spark, table.dataset, 100_000)
+    assert sorted([1, *(one.bins for one in plan)]) == sorted(files(spark, table.name).values())
+    assert len(plan) == 3 and all(one.bins > 1 for one in plan)
+
+
+def test_a_partition_that_was_compacted_before(spark, table):
+    remove_replaced(spark, compact_table(spark, table.dataset))
+    for _ in range(3):
+        table.write(table.given.withColumns({"hour": F.lit("00"), "kind": F.lit("x")}))
+    before = rows(table())
+    (switched,) = compact_table(spark, table.dataset)
+    assert switched.directory == "hour=00/kind=x" and ".compacted" in switched.old
+    remove_replaced(spark, [switched])
+    assert rows(table()) == before and files(spark, table.name)["00", "x"] == 1
+
+
+def test_replaced_files_that_are_still_there_are_not_taken(spark, table):
+    compact_table(spark, table.dataset)
+    before = rows(table())
+    assert compact_table(spark, table.dataset) == []
+    for _ in range(3):
+        table.write(table.given.where("id < 9").withColumns({"hour": F.lit("00"), "kind": F.lit("x")}))
+    assert len(compact_table(spark, table.dataset)) == 1
+    assert table().count() == len(before) + 27
+
+
+@pytest.mark.parametrize("fails", [0, 1, 2])
+def test_a_switch_that_fails_is_taken_back(spark, table, monkeypatch, tmp_path, fails):
+    before, found, real = rows(table()), files(spark, table.name), module._set_location
+    done = []
+
+    def set_location(session, dataset, directory, location):
+        if ".compacted" in location:
+            if len(done) == fails:
+                raise RuntimeError("no catalog")
+            done.append(directory)
+        real(session, dataset, directory, location)
+
+    monkeypatch.setattr(module, "_set_location", set_location)
+    with pytest.raises(RuntimeError, match="no catalog"):
+        compact_table(spark, table.dataset)
+    assert rows(table()) == before and files(spark, table.name) == found
+    assert not list((tmp_path / "t/.compacted").iterdir())
+
+
+def test_other_content_is_not_switched_to(spark, table, monkeypatch):
+    before, found = rows(table()), files(spark, table.name)
+    sums = iter(range(2))
+    monkeypatch.setattr(module, "content", lambda df, real=module.content: real(df)[:1] + [F.max(F.lit(next(sums))).alias("checksum")])
+    with pytest.raises(RuntimeError, match="stay as they are"):
+        compact_table(spark, table.dataset)
+    assert rows(table()) == before and files(spark, table.name) == found
+
+
+def test_a_reader_that_began_before_the_switch(spark, table):
+    """It has listed the old files, which are there until they are removed."""
+    began = spark.table(table.name)
+    began.count()
+    compact_table(spark, table.dataset)
+    assert began.agg(F.countDistinct("id", "hour", "kind")).first()[0] == began.where("kind IS NOT NULL").count()
+
+
+def test_overwriting_a_compacted_partition(spark, table, store, table_run):
+    compact_table(spark, table.dataset)
+    write, read = store({**table.spec, "mode": "overwrite_partitions"}, at=table_run)
+    before = read().where("NOT (hour = '00' AND kind = 'x')").count()
+    write(table.given.where("id < 5").withColumns({"hour": F.lit("00"), "kind": F.lit("x")}))
+    assert read().count() == before + 5
+
+
+def test_what_cannot_be_switched(spark, table_run):
+    domain = f"c{uuid4().hex}"
+    create_tables(spark, [TableDefinition("refined", domain, "t", "CREATE TABLE ${name} (id BIGINT) USING ${format}")], table_run)
+    name = table_run.table_name(f"refined.{domain}.t")
+    for dataset, message in (
+        (Dataset("t", "table", name, by_path=False), "no partitions"),
+        (Dataset("t", "path", f"{table_run.warehouse}/t"), "catalog table of files"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            compact_table(spark, dataset)

@@ -8,7 +8,15 @@ from pyspark.errors import AnalysisException
 
 from layerline import RunContext
 from layerline.sources.catalog import quoted
-from layerline.sources.provision import TableDefinition, create_tables, drop_table, list_tables, select_tables
+from layerline.sources.provision import (
+    TableDefinition,
+    align_tables,
+    create_tables,
+    drop_table,
+    list_tables,
+    select_tables,
+    table_drift,
+)
 from tests.conftest import rows
 
 DDL = "CREATE TABLE IF NOT EXISTS ${name} (id BIGINT) USING ${format} LOCATION '${warehouse}/${layer}/${domain}/${table}'"
@@ -53,29 +61,29 @@ def test_definitions_name_a_layer():
 
 
 def test_statement_is_filled_in_and_unknown_names_stay():
-    run = RunContext(warehouse="s3a://local/", catalog="iceberg")
+    run = RunContext(warehouse="s3a://depot/", catalog="lake")
     one = TableDefinition("refined", "sample", "orders", DDL + " COMMENT '$who ${what}; $$'")
     assert one.statements(run, "iceberg") == [
-        "CREATE TABLE IF NOT EXISTS `iceberg`.`refined`.`sample`.`orders` (id BIGINT) USING iceberg "
-        "LOCATION 's3a://local/refined/sample/orders' COMMENT '$who ${what}; $'"
+        "CREATE TABLE IF NOT EXISTS `lake`.`refined`.`sample`.`orders` (id BIGINT) USING iceberg "
+        "LOCATION 's3a://depot/refined/sample/orders' COMMENT '$who ${what}; $'"
     ]
 
 
 def test_statements_for_another_catalog():
     """There is none here to run them on, so this checks the statements only."""
     spark = MagicMock()
-    spark.conf.get = lambda key, default=None: {"spark.sql.catalog.iceberg": "org.example.Catalog"}.get(key, default)
-    run = RunContext(warehouse="s3a://local", catalog="iceberg")
-    assert create_tables(spark, DEFINITIONS, run, "refined", "sample", "orders") == ["iceberg.refined.sample.orders"]
+    spark.conf.get = lambda key, default=None: {"spark.sql.catalog.lake": "org.example.Catalog"}.get(key, default)
+    run = RunContext(warehouse="s3a://depot", catalog="lake")
+    assert create_tables(spark, DEFINITIONS, run, "refined", "sample", "orders") == ["lake.refined.sample.orders"]
     drop_table(spark, run, "refined", "sample", "orders")
     list_tables(spark, run, "refined", "sample")
     assert [call.args[0] for call in spark.sql.call_args_list] == [
-        "CREATE NAMESPACE IF NOT EXISTS `iceberg`.`refined`",
-        "CREATE NAMESPACE IF NOT EXISTS `iceberg`.`refined`.`sample`",
-        "CREATE TABLE IF NOT EXISTS `iceberg`.`refined`.`sample`.`orders` (id BIGINT) USING iceberg "
-        "LOCATION 's3a://local/refined/sample/orders'",
-        "DROP TABLE IF EXISTS `iceberg`.`refined`.`sample`.`orders`",
-        "SHOW TABLES IN `iceberg`.`refined`.`sample`",
+        "CREATE NAMESPACE IF NOT EXISTS `lake`.`refined`",
+        "CREATE NAMESPACE IF NOT EXISTS `lake`.`refined`.`sample`",
+        "CREATE TABLE IF NOT EXISTS `lake`.`refined`.`sample`.`orders` (id BIGINT) USING iceberg "
+        "LOCATION 's3a://depot/refined/sample/orders'",
+        "DROP TABLE IF EXISTS `lake`.`refined`.`sample`.`orders`",
+        "SHOW TABLES IN `lake`.`refined`.`sample`",
     ]
 
 
@@ -137,3 +145,79 @@ def test_partitions_already_there_are_registered(spark, table_run):
 def test_dropping_needs_the_whole_name(spark, table_run, name):
     with pytest.raises(ValueError):
         drop_table(spark, table_run, *name)
+
+
+# Tables that differ from their definitions
+
+
+@pytest.fixture
+def table(spark, table_run):
+    """A table as first defined, with a row, and later definitions of it: ``now(columns, by, format)``."""
+    domain = f"d{uuid4().hex}"
+
+    def now(columns, by="ymd", made_of="${format}", name="parcels"):
+        ddl = f"CREATE TABLE IF NOT EXISTS ${{name}} ({columns}) USING {made_of}"
+        ddl += f" PARTITIONED BY ({by})" if by else ""
+        return TableDefinition("refined", domain, name, ddl + " LOCATION '${warehouse}/${domain}/${table}'")
+
+    (now.table,) = create_tables(spark, [now(BEFORE)], table_run)
+    spark.sql(f"INSERT INTO {now.table} VALUES (7, 1.50, 'ab', '2023-11-05')")
+    now.domain = domain
+    return now
+
+
+BEFORE = "id BIGINT, price DECIMAL(10,2), code VARCHAR(5), ymd STRING"
+
+
+def test_an_added_column_arrives(spark, table_run, table):
+    later = table("ymd STRING, id BIGINT NOT NULL, `no. of` INT COMMENT 'it''s new', price DECIMAL(10,2), code VARCHAR(5), tags ARRAY<STRING>")
+    assert [one.name for one in table_drift(spark, later, table_run).added] == ["no. of", "tags"]
+    assert align_tables(spark, [later], table_run) == {table.table: ["no. of", "tags"]}
+    spark.sql(f"INSERT INTO {table.table} VALUES (8, 2.5, 'c', 3, array('x'), '2023-11-06')")
+    found = spark.table(table.table).select("id", "`no. of`", "tags", "ymd")
+    assert rows(found) == [(7, None, None, "2023-11-05"), (8, 3, ["x"], "2023-11-06")]
+    described = spark.sql(f"DESCRIBE TABLE {table.table}").where("col_name = 'no. of'").first()
+    assert described.comment == "it's new"
+    assert align_tables(spark, [later], table_run) == {table.table: []}
+
+
+@pytest.mark.parametrize(
+    ("columns", "by", "made_of", "message"),
+    [
+        (BEFORE.replace("BIGINT", "STRING"), "ymd", "parquet", "column id is bigint, not string"),
+        (BEFORE.replace("(10,2)", "(12,2)"), "ymd", "parquet", r"price is decimal\(10,2\), not decimal\(12,2\)"),
+        (BEFORE.replace("VARCHAR(5)", "STRING"), "ymd", "parquet", r"code is varchar\(5\), not string"),
+        (BEFORE.replace("price DECIMAL(10,2), ", ""), "ymd", "parquet", "column price is not in the definition"),
+        (BEFORE + ", hms STRING", "ymd, hms", "parquet", "partition column hms is not there"),
+        (BEFORE, "", "parquet", "partitioned by"),
+        (BEFORE, "code", "parquet", "partitioned by"),
+        (BEFORE, "ymd", "orc", "made of parquet, not orc"),
+    ],
+)
+def test_any_other_change_is_refused_before_a_write(spark, table_run, table, columns, by, made_of, message):
+    """Also what could be done to other tables of the same call is left undone."""
+    another, absent = table(BEFORE, name="boxes"), table("id BIGINT", by="", name="crates")
+    create_tables(spark, [another], table_run)
+    changes = [table(columns, by, made_of), table(BEFORE + ", more INT", name="boxes"), absent]
+    with pytest.raises(ValueError, match=message):
+        align_tables(spark, changes, table_run)
+    assert "more" not in spark.table(table_run.table_name(another.dotted)).columns
+    assert not spark.catalog.tableExists(table_run.table_name(absent.dotted))
+    assert rows(spark.table(table.table).select("id")) == [(7,)]
+
+
+def test_absent_tables_are_created(spark, table_run, table):
+    assert align_tables(spark, [table("id BIGINT", by="", name="crates")], table_run, "refined", table.domain, "crates")
+    assert [row.tableName for row in list_tables(spark, table_run, "refined", table.domain).collect()] == ["crates", "parcels"]
+
+
+def test_columns_are_not_added_where_old_files_cannot_lack_them(spark, table_run, table):
+    create_tables(spark, [table("id BIGINT", by="", made_of="csv", name="lines")], table_run)
+    with pytest.raises(ValueError, match="cannot be added to files of csv"):
+        align_tables(spark, [table("id BIGINT, more INT", by="", made_of="csv", name="lines")], table_run)
+
+
+def test_what_cannot_be_compared(spark, table_run, table):
+    for ddl in ((DDL, "ALTER TABLE ${name} SET TBLPROPERTIES ('a' = 'b')"), "CREATE TABLE IF NOT EXISTS ${name} USING parquet AS SELECT 1 AS id"):
+        with pytest.raises(ValueError, match="one CREATE TABLE"):
+            align_tables(spark, [TableDefinition("refined", table.domain, "parcels", ddl)], table_run)
