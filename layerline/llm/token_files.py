@@ -40,8 +40,8 @@ from tokenizers import Tokenizer
 from layerline.llm.work import Work
 
 MANIFEST = "part int, path string, seq_len int, batch_rows int, documents long, sequences long, tokens long"
-#: Pieces whose ids are remembered, and characters encoded at a time.
-KNOWN_PIECES, SLICE_CHARACTERS = 600_000, 1 << 20
+#: Words and pieces whose ids are remembered, and characters encoded at a time.
+KNOWN_WORDS, KNOWN_PIECES, SLICE_CHARACTERS = 500_000, 600_000, 1 << 17
 # The steps of a tokenizer that drops white space, as its file states them.
 NORMALIZER = {
     "type": "Sequence",
@@ -88,18 +88,20 @@ class TextEncoder:
 class PieceEncoder(TextEncoder):
     """For a tokenizer that drops white space and lower-cases (see ``encoder_for``): ids are looked up by piece.
 
-    Its pattern parts the lower-cased text into pieces, and tokens lie within one.
-    Here Python finds the pieces, texts repeat them, and only new ones go to the
-    tokenizer's model. That holds for Latin letters, where every character is its
-    own normal form; words with any other character, and those that may hold a
-    special token, go through the whole tokenizer, one by one: neither tokens nor
-    any step before them reach across ASCII white space.
+    Neither tokens nor any step before them reach across ASCII white space, so a
+    text is the words between it, and each word's ids are remembered as they are
+    written. A new word is parted into pieces by the tokenizer's pattern, tokens lie
+    within one, and only new pieces go to the tokenizer's model. That holds for Latin
+    letters, where every character is its own normal form; words with any other
+    character, and those that may hold a special token, go through the whole
+    tokenizer, one by one.
     """
 
     def __init__(self, settings: str):
         super().__init__(settings)
         bare = json.loads(settings) | {"normalizer": None, "pre_tokenizer": None}
         self.model, self.known = Tokenizer.from_str(json.dumps(bare)), {}
+        self.words, self.once = {}, set()
         # Below the first combining mark.
         of_kind = {"L": "", "N": ""}
         for character in map(chr, range(0x21, 0x250)):
@@ -107,30 +109,51 @@ class PieceEncoder(TextEncoder):
             of_kind[kind] = of_kind.get(kind, "") + character
         letters, numbers = re.escape(of_kind["L"]), re.escape(of_kind["N"])
         self.piece = re.compile(rf"[{letters}]+|'(?:[stmd]|re|ve|ll)|[{numbers}]|[^\s{letters}{numbers}]+")
+        self.parted = re.compile(f" |{self.piece.pattern}")
         self.plain = re.compile(r"[\t-\r -~\u00A1-\u024F]*")
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [byte for byte in range(256) if byte not in shown]
         table = {byte: chr(byte) for byte in shown} | {byte: chr(256 + i) for i, byte in enumerate(hidden)}
         self.byte_text = "".join(table[byte] for byte in range(256))
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, word: str) -> list[str]:
         """A piece that starts with a line feed is a whole word for the tokenizer."""
-        lower = text.lower()
-        if "<|" not in text and self.plain.fullmatch(text) and self.plain.fullmatch(lower):
-            return self.piece.findall(lower)
-        words = [word.decode() for word in text.encode().split()]
-        if len(words) < 2:
-            return ["\n" + word for word in words]
-        return [piece for word in words for piece in self.pieces(word)]
+        lower = word.lower()
+        return self.piece.findall(lower) if self.is_plain(word, lower) else ["\n" + word]
+
+    def is_plain(self, text: str, lower: str) -> bool:
+        return "<|" not in text and bool(self.plain.fullmatch(text) and self.plain.fullmatch(lower))
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
-        known = self.known
-        if len(known) > KNOWN_PIECES:
-            known.clear()
-        parted = [self.pieces(text) for text in texts]
-        self._learn({piece for pieces in parted for piece in pieces if piece not in known})
-        for pieces in parted:
-            yield np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype="<u4")
+        for known, most in ((self.words, KNOWN_WORDS), (self.once, KNOWN_WORDS), (self.known, KNOWN_PIECES)):
+            if len(known) > most:
+                known.clear()
+        words = self.words
+        parted = [text.encode().split() for text in texts]
+        new = set().union(*parted).difference(words)
+        words.update(self._word_ids([*new]))
+        for own in parted:
+            yield np.frombuffer(b"".join(map(words.__getitem__, own)), dtype="<u4")
+        # Most new words never come again: one is remembered when it comes for the second time.
+        again = new & self.once
+        self.once |= new
+        for word in new - again:
+            del words[word]
+
+    def _word_ids(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """The words with their ids. They are parted together, with a sign between them that stands for no token."""
+        text = b" ".join(words).decode()
+        lower = text.lower()
+        if self.is_plain(text, lower):
+            pieces = self.parted.findall(lower)
+        else:
+            pieces = [piece for word in words for piece in (" ", *self.pieces(word.decode()))][1:]
+        self._learn(set(pieces).difference(self.known, (" ",)))
+        self.known[" "] = b"\xff\xff\xff\xff"
+        ids = b"".join(map(self.known.__getitem__, pieces))
+        ends = 4 * np.flatnonzero(np.frombuffer(ids, dtype="<u4") == 2**32 - 1)
+        starts = [0, *(ends + 4).tolist()]
+        return zip(words, [ids[start:end] for start, end in zip(starts, [*ends.tolist(), len(ids)])])
 
     def _learn(self, new: set[str]) -> None:
         words = [piece for piece in new if piece[0] == "\n"]
