@@ -18,7 +18,15 @@ from layerline.llm.line_dedup import html_lines, without_boilerplate
 from layerline.llm.mixing import mix
 from layerline.llm.secrets import find_secrets, secret_digests
 from layerline.llm.simhash import near_duplicates
-from layerline.llm.token_counts import TokenRollup, counts, deleted, inserted, revised
+from layerline.llm.token_counts import (
+    TokenRollup,
+    counts,
+    deleted,
+    inserted,
+    revised,
+    tokenizer_counts,
+    unrepeated,
+)
 from layerline.llm.token_files import read_documents, write_token_files
 from layerline.llm.vector_codes import compress_vectors
 from layerline.llm.vector_links import embedding_links
@@ -41,25 +49,46 @@ def op2_token_files(spark, sf_dir):
 
 
 def op3_token_counts(spark, sf_dir):
-    """All documents come in; toxic ones go; those of low quality lose repeated lines; a batch arrives twice."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    now, unrepeated = F.col("text"), F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
-    now, cleaned = counts(now), counts(unrepeated)
-    # Counted before labels are looked up: what moves for the join is numbers, not texts.
-    rows = docs.select(
+    """Words and pieces by rules that SQL can follow."""
+    cleaned = unrepeated(F.col("text"))
+    before, after = counts(F.col("text")), {name: F.when(cleaned.isNotNull(), n) for name, n in counts(cleaned).items()}
+    return _token_totals(spark, sf_dir, lambda docs: docs.select(
         "doc_id",
         "source",
         "lang",
-        *[column.alias(version) for version, column in now.items()],
-        *[column.alias(f"cleaned {version}") for version, column in cleaned.items()],
-    )
+        *[column.alias(version) for version, column in before.items()],
+        *[column.alias(f"cleaned {version}") for version, column in after.items()],
+    ), [*before])
+
+
+def token_counts_word_bpe(spark, sf_dir):
+    """The same life of the documents, in tokens of the vocabulary whose files op2 writes, end ids included."""
+    version = "word-bpe-49k"
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+
+    def counted(docs):
+        texts = {version: F.coalesce("text", F.lit("")), f"cleaned {version}": unrepeated(F.col("text"))}
+        rows = docs.select("doc_id", "source", "lang", *[text.alias(name) for name, text in texts.items()])
+        return tokenizer_counts(rows, [*texts], tokenizer)
+
+    return _token_totals(spark, sf_dir, counted, [version])
+
+
+def _token_totals(spark, sf_dir, counted, versions):
+    """All documents come in; toxic ones go; those of low quality lose repeated lines; a batch arrives twice.
+
+    Texts are read once, whatever the batches concern: each document's counts, before and after
+    the cleaning, are written down, and the batches are made of these numbers.
+    """
+    work, labels = Work(spark, "token-counts"), table(spark, sf_dir, "labels")
+    rows = work.keep(counted(table(spark, sf_dir, "documents")), "counts")
     toxic = rows.join(labels.where("toxic = 1"), "doc_id", "left_semi")
     poor = rows.join(labels.where("quality = 0"), "doc_id", "left_semi")
     poor = poor.join(labels.where("toxic = 1"), "doc_id", "left_anti")
-    before = {version: F.col(f"`{version}`") for version in now}
-    after = {version: F.col(f"`cleaned {version}`") for version in now}
+    before = {version: F.col(f"`{version}`") for version in versions}
+    after = {version: F.coalesce(F.col(f"`cleaned {version}`"), before[version]) for version in versions}
 
-    rollup = TokenRollup(spark, Work(spark, "token-counts").path("rollup"))
+    rollup = TokenRollup(spark, work.path("rollup"))
     rollup.commit("load", inserted(rows, before))
     rollup.commit("takedown", deleted(toxic, before))
     rollup.commit("cleaning", revised(poor, before, after))
@@ -114,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_files": op2_token_files,
     "op3_token_counts": op3_token_counts,
+    "token_counts_word_bpe": token_counts_word_bpe,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,

@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from layerline.llm.token_files import worker_encoder
 from layerline.llm.work import word_count
 
 KEYS = ("source", "lang", "tokenizer")
@@ -39,6 +42,39 @@ def counts(text: Column, *versions: str) -> dict[str, Column]:
     return {version: TOKENIZERS[version](text.cast("string")) for version in versions or TOKENIZERS}
 
 
+def unrepeated(text: Column) -> Column:
+    """The text without lines that it has before; NULL where it has none twice, and so is as it was."""
+    lines = F.split(text, "\n")
+    once = F.array_distinct(lines)
+    return F.when(F.size(once) < F.size(lines), F.array_join(once, "\n"))
+
+
+def tokenizer_counts(docs: DataFrame, texts: list[str], tokenizer_path: str, end_tokens: int = 1) -> DataFrame:
+    """The rows with each column of ``texts`` replaced by its number of tokens, null where the text is null.
+
+    Counted are the ids that ``token_files`` writes, ``end_tokens`` of them after each text.
+    """
+    with open(tokenizer_path, encoding="utf-8") as file:
+        settings = docs.sparkSession.sparkContext.broadcast(file.read())
+    kept = [name for name in docs.columns if name not in texts]
+    types = [docs.schema[name].dataType for name in kept]
+    spelled = [f"`{name}` {kind.simpleString()}" for name, kind in zip(kept, types)]
+    fields = [(name, to_arrow_type(kind)) for name, kind in zip(kept, types)]
+    schema = pa.schema([*fields, *((name, pa.int64()) for name in texts)])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            encoder, columns = worker_encoder(settings.value), batch.columns[: len(kept)]
+            for column in batch.columns[len(kept) :]:
+                there = column.is_valid().to_pylist()
+                some = iter([len(ids) + end_tokens for ids in encoder.texts(column.drop_null().to_pylist())])
+                columns.append(pa.array([next(some) if one else None for one in there], pa.int64()))
+            yield pa.record_batch(columns, schema=schema)
+
+    rows = docs.select(*kept, *[F.col(name).cast("string").alias(name) for name in texts])
+    return rows.mapInArrow(count, ", ".join([*spelled, *(f"`{name}` long" for name in texts)]))
+
+
 def inserted(docs: DataFrame, after: Mapping[str, Column], **columns: str) -> DataFrame:
     """``after`` has a count per tokenizer version, as ``before`` below; ``columns`` names source and lang."""
     return _change(docs, {}, after, **columns)

@@ -27,7 +27,8 @@ def by_name(columns, data):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= contract.queries().keys()
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
+    numbers = [int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")]
+    assert sorted(numbers) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", QUERIES)

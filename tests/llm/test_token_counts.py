@@ -1,9 +1,24 @@
 from __future__ import annotations
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-
-from layerline.llm.token_counts import PIECE, TokenRollup, counts, deleted, inserted, piece_count, revised
+from tokenizers import Tokenizer
+
+from layerline.llm.token_counts import (
+    PIECE,
+    TokenRollup,
+    counts,
+    deleted,
+    inserted,
+    piece_count,
+    revised,
+    tokenizer_counts,
+    unrepeated,
+)
+from layerline.llm.token_files import write_token_files
+from layerline.llm.work import Work
+from tests.conftest import TESTDATA
 from tests.llm.helpers import EDGES, documents, plain, with_clashes, word_total
 
 
@@ -96,3 +111,28 @@ def test_nothing(spark, rollup):
     assert rollup.totals().collect() == []
     assert rollup.commit("empty", inserted(documents(spark, []), WORDS))
     assert rollup.totals().collect() == []
+
+
+def test_tokens_are_those_of_the_files(spark):
+    """Under the tokenizer's own version, totals are what the files hold."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet").unionByName(documents(spark)).select("doc_id", "source", "text")
+    files = Work(spark, "count-files").path("files")
+    held = write_token_files(docs, files, path, end_id=2, seq_len=128).agg({"documents": "sum", "tokens": "sum"}).first()
+    rows = tokenizer_counts(docs.withColumn("text", F.coalesce("text", F.lit(""))), ["text"], path)
+    assert tuple(rows.agg(F.count("*"), F.sum("text")).first()) == tuple(held)
+
+
+def test_tokens_of_each_text(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = [(1, "One two", None), (2, None, "x" * 3000), (3, "", "漢字 <|endoftext|> é"), (4, "a\nb\na", "  ")]
+    found = tokenizer_counts(spark.createDataFrame(texts, "`my id` INT, t STRING, u STRING"), ["t", "u"], path, end_tokens=0)
+    wanted = [(i, *(None if x is None else len(tokenizer.encode(x, add_special_tokens=False).ids) for x in own)) for i, *own in texts]
+    assert plain(found.collect()) == plain(wanted)
+
+
+def test_repeated_lines(spark):
+    texts = [("a\nb\na\n\nb", "a\nb\n"), ("a\nb", None), ("", None), (None, None), ("\n\n", "")]
+    df = spark.createDataFrame([(t,) for t, _ in texts], "t STRING")
+    assert [row[0] for row in df.select(unrepeated(F.col("t"))).collect()] == [wanted for _, wanted in texts]
