@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 #: Texts counted together: at most so many, and no further text once they have so many characters.
 SLICE_TEXTS, SLICE_CHARACTERS = 256, 1 << 20
+#: Kinds of n-grams whose vectors are made at a time.
+KINDS = 2048
 
 
 class Profiles:
@@ -28,7 +30,7 @@ class Profiles:
     def __init__(self, dimensions: int, ngram: int, seed: int):
         self.dimensions, self.ngram, self.seed = dimensions, ngram, seed
         self.place = np.full(0x110000, -1, dtype=np.int32)
-        self.letters = [self._draw(0)]
+        self.letters, self.known = self._draw(0)[None], 1
 
     def _draw(self, code: int) -> np.ndarray:
         return np.random.default_rng([self.seed, code]).integers(0, 2, self.dimensions, dtype=np.int8) * 2 - 1
@@ -37,9 +39,12 @@ class Profiles:
         places = self.place[codes]
         if (places < 0).any():
             for code in np.unique(codes[places < 0]).tolist():
-                self.place[code] = len(self.letters) if chr(code).isalpha() else 0
+                self.place[code] = self.known if chr(code).isalpha() else 0
                 if self.place[code]:
-                    self.letters.append(self._draw(code))
+                    if self.known == len(self.letters):
+                        self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
+                    self.letters[self.known] = self._draw(code)
+                    self.known += 1
             places = self.place[codes]
         return places
 
@@ -48,35 +53,85 @@ class Profiles:
         return self.measured(texts)[:2]
 
     def measured(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same, and how many different n-grams each text has."""
-        padded = [f" {text.lower()} " if text else "  " for text in texts]
-        codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        text_of = np.repeat(np.arange(len(texts)), [len(text) for text in padded])
-        places = self._places(codes)
-        start = np.r_[True, text_of[1:] != text_of[:-1]]
-        keep = (places > 0) | start | np.r_[True, places[:-1] > 0]
-        places, text_of = places[keep].astype(np.int64), text_of[keep]
+        """The same, and how many different n-grams each text has.
+
+        Characters are taken some at a time, and n-grams bound some kinds at a time, so memory is
+        that of the text and its kinds' numbers, not of their vectors. The sums are whole numbers and
+        the same whatever the pieces.
+        """
+        vectors = np.zeros((len(texts), self.dimensions))
         has_letter = np.zeros(len(texts), dtype=bool)
-        has_letter[text_of[places > 0]] = True
-
-        known, n = len(self.letters), self.ngram
-        size = max(0, len(places) - n + 1)
-        grams = np.zeros(size, dtype=np.int64)
-        for i in range(n):
-            grams = grams * known + places[i : i + size]
-        within = text_of[:size] == text_of[n - 1 : n - 1 + size]
-        grams, owner = grams[within], text_of[:size][within]
-        kinds, kind = np.unique(grams, return_inverse=True)
-        counts = np.bincount(owner * len(kinds) + kind, minlength=len(texts) * len(kinds))
-        counts = counts.reshape(len(texts), len(kinds)).astype(np.float32)
-        return counts @ self._bound(kinds, known), has_letter, np.count_nonzero(counts, axis=1)
-
-    def _bound(self, kinds: np.ndarray, known: int) -> np.ndarray:
-        letters = np.array(self.letters)
+        padded = [f" {text.lower()} " if text else "  " for text in texts]
+        ends = np.cumsum([len(text) for text in padded])
+        joined = "".join(padded)
+        del padded
+
+        def pieces() -> Iterator[tuple[int, np.ndarray]]:
+            for start in range(0, len(joined), SLICE_CHARACTERS):
+                piece = joined[start : start + SLICE_CHARACTERS]
+                yield start, np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+        # All letters first: an n-gram's number depends on how many there are.
+        for _, codes in pieces():
+            self._places(codes)
+        n, seen = self.ngram, []
+        last_place, last_text = 1, -1
+        places, text_of = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for start, codes in pieces():
+            own = self._places(codes)
+            inside = np.diff(np.clip(np.r_[0, ends], start, start + len(codes)))
+            text = np.repeat(np.arange(len(texts)), inside)
+            first = text != np.r_[last_text, text[:-1]]
+            keep = (own > 0) | first | (np.r_[last_place, own[:-1]] > 0)
+            last_place, last_text = own[-1], text[-1]
+            has_letter[text[own > 0]] = True
+            # N-grams that begin in one piece end in the next.
+            places, text_of = np.r_[places, own[keep].astype(np.int64)], np.r_[text_of, text[keep]]
+            size = max(0, len(places) - n + 1)
+            grams = np.zeros(size, dtype=np.int64)
+            for i in range(n):
+                grams = grams * self.known + places[i : i + size]
+            within = text_of[:size] == text_of[n - 1 : n - 1 + size]
+            if not within.all():
+                grams, owner = grams[within], text_of[:size][within]
+            else:
+                owner = text_of[:size]
+            seen.append(self._add(grams, owner, vectors))
+            places, text_of = places[size:], text_of[size:]
+        return vectors, has_letter, self._different(seen, len(texts))
+
+    def _add(self, grams: np.ndarray, owner: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Adds the n-grams to their texts' vectors; returns the different ones and their texts."""
+        texts = len(vectors)
+        if self.known**self.ngram * texts < 2**62:
+            pairs, counts = np.unique(grams * texts + owner, return_counts=True)
+            grams, owner = pairs // texts, pairs % texts
+        else:
+            (grams, owner), counts = np.unique(np.stack([grams, owner]), axis=1, return_counts=True)
+        counts = counts.astype(np.float32)
+        starts = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]][: len(grams)])
+        kinds, starts = grams[starts], np.r_[starts, len(grams)]
+        for low in range(0, len(kinds), KINDS):
+            some = kinds[low : low + KINDS]
+            inside = slice(starts[low], starts[min(low + KINDS, len(kinds))])
+            kind = np.repeat(np.arange(len(some)), np.diff(starts[low : low + KINDS + 1]))
+            weights = np.zeros((texts, len(some)), np.float32)
+            weights[owner[inside], kind] = counts[inside]
+            vectors += weights @ self._bound(some)
+        return grams, owner
+
+    def _different(self, seen: list[tuple[np.ndarray, np.ndarray]], texts: int) -> np.ndarray:
+        if len(seen) > 1:
+            # A text that lies in several pieces may have an n-gram in each.
+            pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*seen)], axis=1), axis=0)
+            return np.bincount(pairs[:, 1], minlength=texts)
+        return np.bincount(seen[0][1], minlength=texts) if seen else np.zeros(texts, np.int64)
+
+    def _bound(self, kinds: np.ndarray) -> np.ndarray:
         bound = np.ones((len(kinds), self.dimensions), dtype=np.int8)
         for shift in range(self.ngram):
-            bound *= np.roll(letters, shift, axis=1)[kinds % known]
-            kinds = kinds // known
+            bound *= np.roll(self.letters[kinds % self.known], shift, axis=1)
+            kinds = kinds // self.known
         return bound.astype(np.float32)
 
 
@@ -120,7 +175,7 @@ class LanguageModel:
                     if not languages:
                         has_letter[:] = False
                     length = np.maximum(np.linalg.norm(vectors.astype(np.float64), axis=1), 1e-12)
-                    cosine = (vectors @ prototypes.T) / length[:, None] if languages else np.zeros((len(texts), 1))
+                    cosine = (vectors.astype(np.float32) @ prototypes.T) / length[:, None] if languages else np.zeros((len(texts), 1))
                     best = cosine.argmax(axis=1)
                     names += [languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), has_letter.tolist())]
                     scores += np.where(has_letter, cosine.max(axis=1).clip(0, 1), 0.0).tolist()
