@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerline.llm.work import Work, with_results
+from layerline.llm.work import Work, free_names, with_results
 
 BLOCK_TAGS = (
     "address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|"
@@ -54,43 +54,43 @@ def without_boilerplate(
     url: str = "url",
     text: Column,
     ratio: float = 0.3,
-    least_pages: int = 5,
+    on_pages: int = 2,
 ) -> DataFrame:
     """The pages with ``host``, ``text`` (kept lines), ``n_lines`` and ``n_dropped``.
 
     A line goes if the pages of its host that contain it, over all pages of the
-    host, exceed ``ratio``; hosts of fewer than ``least_pages`` pages, and pages
-    without a host, keep all lines. Rows that repeat are pages of their own. A
-    null or empty text has no lines. Columns of ``pages`` that bear a result's
+    host, exceed ``ratio``, and if they are at least ``on_pages``: what stands on one page only is
+    no boilerplate, however few pages the host has. Pages without a host keep all lines. Rows that repeat
+    are pages of their own. A null or empty text has no lines. Columns of ``pages`` that bear a result's
     name are replaced.
     """
     work = Work(pages.sparkSession, "lines")
+    own_host, own_lines, of, keys, kept = free_names(pages, "host", "lines", "of", "keys", "kept")
     host = host_of(F.col(url).cast("string"))
     lines = lines_of(F.coalesce(text, F.lit("")))
-    rows = pages.select(host.alias("host"), F.array_distinct(F.transform(lines, _key)).alias("keys")).where(
-        "host IS NOT NULL"
-    )
+    # Written down, so that each page is parted into lines once.
+    pages = work.keep(pages.withColumns({own_host: host, own_lines: lines}), "pages")
+    rows = pages.select(
+        F.col(own_host).alias("host"), F.array_distinct(F.transform(own_lines, _key)).alias("keys")
+    ).where("host IS NOT NULL")
     # One pass gives both counts: the null key stands for the page itself.
     page = F.array(F.lit(None).cast("struct<a:bigint,b:bigint>"))
     counted = rows.select("host", F.explode(F.concat(page, "keys")).alias("key")).groupBy("host", "key")
     counted = work.keep(counted.agg(F.count("*").alias("pages")), "counts")
     totals = counted.where("key IS NULL").select("host", F.col("pages").alias("all_pages"))
-    totals = work.keep(totals.where(F.col("all_pages") >= least_pages), "hosts")
-    frequent = counted.where("key IS NOT NULL").join(totals, "host").where(F.col("pages") > ratio * F.col("all_pages"))
-    drop = frequent.groupBy("host").agg(F.collect_list("key").alias("__keys"))
-    drop = work.keep(drop.withColumnRenamed("host", "__host"), "boilerplate")
-
-    joined = pages.withColumns({"__own_host": host, "__lines": lines}).join(
-        drop, F.col("__own_host") == F.col("__host"), "left"
-    )
-    kept = F.when(F.col("__keys").isNull(), F.col("__lines")).otherwise(
-        F.filter("__lines", lambda line: ~F.array_contains("__keys", _key(line)))
-    )
-    joined = joined.withColumn("__kept", kept)
+    totals = work.keep(totals.where(F.col("all_pages") >= on_pages), "hosts")
+    frequent = counted.where((F.col("key").isNotNull()) & (F.col("pages") >= on_pages)).join(totals, "host")
+    frequent = frequent.where(F.col("pages") > ratio * F.col("all_pages"))
+    drop = frequent.groupBy(F.col("host").alias(of)).agg(F.collect_list("key").alias(keys))
+    drop = work.keep(drop, "boilerplate")
+
+    joined = pages.join(drop, F.col(own_host) == F.col(of), "left")
+    left = F.filter(own_lines, lambda line: ~F.array_contains(F.col(keys), _key(line)))
+    joined = joined.withColumn(kept, F.when(F.col(keys).isNull(), F.col(own_lines)).otherwise(left))
     results = {
-        "host": F.col("__own_host"),
-        "text": F.array_join("__kept", "\n"),
-        "n_lines": F.size("__lines"),
-        "n_dropped": F.size("__lines") - F.size("__kept"),
+        "host": F.col(own_host),
+        "text": F.array_join(kept, "\n"),
+        "n_lines": F.size(own_lines),
+        "n_dropped": F.size(own_lines) - F.size(kept),
     }
-    return with_results(joined, results).drop("__own_host", "__lines", "__host", "__keys", "__kept")
+    return with_results(joined, results).drop(own_host, own_lines, of, keys, kept)

@@ -114,7 +114,8 @@ def op7_licence_scan(spark, sf_dir):
 
 
 def op8_line_dedup(spark, sf_dir):
-    pages = without_boilerplate(table(spark, sf_dir, "pages"), text=html_lines(F.col("html")))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", html_lines(F.col("html")).alias("text"))
+    pages = without_boilerplate(pages, text=F.col("text"))
     return pages.select("page_id", "host", "text", "n_lines", "n_dropped")
 
 

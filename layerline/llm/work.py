@@ -38,6 +38,18 @@ class Work:
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for inner columns that no column of ``df`` has, in any case."""
+    taken, found = {name.lower() for name in df.columns}, []
+    for name in wanted:
+        own = f"__{name}"
+        while own.lower() in taken:
+            own += "_"
+        taken.add(own.lower())
+        found.append(own)
+    return found
+
+
 def with_results(docs: DataFrame, results: dict[str, Column]) -> DataFrame:
     """The columns of ``docs`` and the results; a result replaces a column of the same name in any case."""
     names = {name.lower() for name in results}

@@ -28,7 +28,7 @@ EDGES = [
     (None, None, None, None, None),
 ]
 #: Names that results or inner columns bear.
-CLASHES = ("row", "name", "hash", "print", "size", "target", "taken", "key", "bucket", "id", "KEPT", "found", "words", "host")
+CLASHES = ("__source", "__cut_key", "__key", "__SIZE", "__target", "__epochs", "__own_key", "__found", "__lines", "__keys", "row", "name", "hash", "print", "size", "target", "taken", "key", "bucket", "id", "KEPT", "found", "words", "host")
 
 
 def documents(spark, rows=EDGES):
@@ -75,9 +75,11 @@ def words_of(text):
     return re.findall(r"[^\W_]+", (text or "").lower())
 
 
-def overlaps(text, item, least=12, similarity=0.8):
+def overlaps(text, item, least=12, similarity=0.8, least_item=8):
     """Whether some stretch of the two, laid over each other, agrees enough; every shift and stretch is tried."""
     a, b = words_of(text), words_of(item)
+    if len(b) < least_item:
+        return bool(b) and any(words_of(line) == b for line in (text or "").split("\n"))
     needed = min(least, int(np.ceil(len(b) * similarity - 1e-9)))
     if sum((Counter(a) & Counter(b)).values()) < similarity * needed:
         return False

@@ -15,7 +15,7 @@ def pages(spark, rows):
     return spark.createDataFrame([(*row, 7, "old") for row in rows], SCHEMA)
 
 
-def wanted(rows, ratio, least):
+def wanted(rows, ratio, on_pages):
     def lines(body):
         return [x for x in (" ".join(one.replace("\t", " ").split(" ")).strip(" ") for one in (body or "").split("\n")) if x]
 
@@ -25,14 +25,15 @@ def wanted(rows, ratio, least):
     for row, host, own in zip(rows, hosts, lines_by_row):
         others = [found for h, found in zip(hosts, lines_by_row) if h == host]
         kept = own
-        if host is not None and len(others) >= least:
-            kept = [x for x in own if sum(x in one for one in others) <= ratio * len(others)]
+        if host is not None:
+            times = {x: sum(x in one for one in others) for x in own}
+            kept = [x for x in own if times[x] < on_pages or times[x] <= ratio * len(others)]
         out.append((row[0], host, "\n".join(kept), len(own), len(own) - len(kept)))
     return out
 
 
-@pytest.mark.parametrize(("ratio", "least"), [(0.3, 5), (0.5, 1), (0.0, 2), (1.0, 1)])
-def test_as_of_plain_counts(spark, ratio, least):
+@pytest.mark.parametrize(("ratio", "on_pages"), [(0.3, 2), (0.5, 1), (0.0, 3), (1.0, 1)])
+def test_as_of_plain_counts(spark, ratio, on_pages):
     draw = random.Random(8)
     rows = []
     for i in range(200):
@@ -41,10 +42,28 @@ def test_as_of_plain_counts(spark, ratio, least):
         rows.append((i, f"https://{host}/{i}", "\n".join(body)))
     rows += [(None, None, "Menu\nMenu"), (1, "https://a.org/1", None), (2, "no url", "Menu"), (3, "https://b.org", ""), (4, "https://b.org/x", " \t\n")]
     rows += [(5, "https://b.org/same", "Menu\nsame")] * 3
-    found = without_boilerplate(pages(spark, rows), text=F.col("body"), ratio=ratio, least_pages=least)
+    found = without_boilerplate(pages(spark, rows), text=F.col("body"), ratio=ratio, on_pages=on_pages)
     assert found.columns == ["page_id", "url", "body", "host", "text", "n_lines", "n_dropped"]
     got = [(r.page_id, r.host, r.text, r.n_lines, r.n_dropped) for r in found.collect()]
-    assert plain(got) == plain(wanted(rows, ratio, least))
+    assert plain(got) == plain(wanted(rows, ratio, on_pages))
+
+
+@pytest.mark.parametrize("number", [1, 2, 3, 4])
+def test_small_sites(spark, number):
+    """Boilerplate of a site of few pages goes; what stands on one page stays."""
+    rows = [(i, f"https://small.org/{i}", f"Menu\nown {i}\nImprint") for i in range(number)]
+    found = without_boilerplate(pages(spark, rows), text=F.col("body")).collect()
+    assert {row.text for row in found} == {f"own {i}" if number > 1 else f"Menu\nown {i}\nImprint" for i in range(number)}
+
+
+def test_inner_names(spark):
+    rows = [(i, "https://a.org/1", "Menu\nx") for i in range(3)]
+    given = pages(spark, rows)
+    for name in ("__host", "__lines", "__of", "__keys", "__KEPT", "__own_host", "key", "pages"):
+        given = given.withColumn(name, F.lit(1))
+    found = without_boilerplate(given, text=F.col("body"))
+    assert found.columns == [*(name for name in given.columns if name not in ("host", "text")), "host", "text", "n_lines", "n_dropped"]
+    assert {row["__keys"] for row in found.collect()} == {1}
 
 
 def test_no_pages(spark):
