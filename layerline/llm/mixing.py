@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerline.llm.work import WORD, Work, with_results, word_count
+from layerline.llm.work import WORD, Work, free_names, with_results, word_count
 
 #: Hex digits of a key: 60 bits, so that keys stay positive longs.
 KEY_DIGITS = 15
@@ -129,25 +129,27 @@ def mix(
         )
     )
     plan = sources.join(cuts, F.col("source").eqNullSafe(F.col("at")), "left").drop("at")
-    plan = work.keep(plan.select([F.col(c).alias(f"__{c}") for c in plan.columns]), "cuts")
-
-    own = F.col("__key")
-    share_of_cut = F.floor(F.col("__cut_left") * F.col("__size") / F.col("__cut_words"))
-    once_more = (
-        F.when(own < F.col("__cut_key"), F.col("__size")).when(own == F.col("__cut_key"), share_of_cut).otherwise(0)
-    )
-    keyed = docs.withColumns({"__key": random_key(F.col(doc_id), seed), "__size": word_count(F.col(text))})
-    joined = keyed.join(plan, F.col(source).eqNullSafe(F.col("__source")))
+    # Under names that no column of the documents has.
+    named = dict(zip(plan.columns, free_names(docs, *plan.columns)))
+    own_key, own_size = free_names(docs, "own_key", "own_size")
+    plan = work.keep(plan.select([F.col(c).alias(name) for c, name in named.items()]), "cuts")
+    of = {c: F.col(name) for c, name in named.items()}
+
+    own, size = F.col(own_key), F.col(own_size)
+    share_of_cut = F.floor(of["cut_left"] * size / of["cut_words"])
+    once_more = F.when(own < of["cut_key"], size).when(own == of["cut_key"], share_of_cut).otherwise(0)
+    keyed = docs.withColumns({own_key: random_key(F.col(doc_id), seed), own_size: word_count(F.col(text))})
+    joined = keyed.join(plan, F.col(source).eqNullSafe(of["source"]))
     mixed = with_results(
         joined,
         {
-            "size": F.col("__size"),
-            "source_size": F.col("__source_size"),
-            "target": F.col("__target"),
-            "taken": (F.col("__epochs") * F.col("__size") + once_more).cast("long"),
+            "size": size,
+            "source_size": of["source_size"],
+            "target": of["target"],
+            "taken": (of["epochs"] * size + once_more).cast("long"),
         },
     )
-    return mixed.drop("__key", "__size", *plan.columns)
+    return mixed.drop(own_key, own_size, *plan.columns)
 
 
 def mixed_copies(
