@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerline.llm.licences import TEMPLATES
+from layerline.llm.licences import APART, TEMPLATES
 from layerline.llm.line_dedup import BLOCK_TAGS
 from layerline.llm.secrets import ACCESS, ALLOWED, ASSIGN, CLASSES, HEX, LEAST_VALUE, WINDOW
 from layerline.llm.token_counts import PIECE
@@ -90,11 +90,17 @@ grams AS (
 shared AS (
     SELECT id, doc_id, unit, place, template, g.size AS size, any_value(t.size) AS template_size,
            least(count(*), any_value(times)) AS n
-    FROM grams g JOIN template_grams t USING (gram) GROUP BY id, doc_id, unit, place, g.size, template, gram)
-SELECT doc_id, unit, CAST(place AS INTEGER) AS place, template,
-       2 * sum(n)::BIGINT / (any_value(size) + any_value(template_size)::BIGINT) AS dice
-FROM shared GROUP BY id, doc_id, unit, place, template
-HAVING 2 * sum(n)::BIGINT / (any_value(size) + any_value(template_size)::BIGINT) >= 0.8"""
+    FROM grams g JOIN template_grams t USING (gram) GROUP BY id, doc_id, unit, place, g.size, template, gram),
+alike AS (
+    SELECT id, doc_id, unit, place, template,
+           2 * sum(n)::BIGINT / (any_value(size) + any_value(template_size)::BIGINT) AS dice
+    FROM shared GROUP BY id, doc_id, unit, place, template),
+other AS (
+    SELECT id, template FROM words, template_words
+    WHERE len(list_filter([{", ".join(map(quoted, APART))}], lambda x: list_contains(words.w, x) AND NOT list_contains(template_words.w, x))) > 0)
+SELECT doc_id, unit, CAST(place AS INTEGER) AS place, template, dice
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dice DESC, template) AS r
+      FROM alike ANTI JOIN other USING (id, template) WHERE dice >= 0.8) WHERE r = 1"""
 
 LINES = rf"""
 WITH stripped AS (
@@ -114,7 +120,7 @@ counted AS (
 hosts AS (SELECT host, count(*) AS n FROM lines WHERE host IS NOT NULL GROUP BY host),
 frequent AS (
     SELECT c.host, list(c.line) AS dropped FROM counted c JOIN hosts h ON c.host = h.host
-    WHERE h.n >= 5 AND c.n > 0.3 * h.n GROUP BY c.host)
+    WHERE c.n >= 2 AND c.n > 0.3 * h.n GROUP BY c.host)
 SELECT page_id, lines.host, array_to_string(kept, chr(10)) AS text, CAST(len(l) AS INTEGER) AS n_lines,
        CAST(len(l) - len(kept) AS INTEGER) AS n_dropped
 FROM (SELECT lines.*, list_filter(l, lambda x: dropped IS NULL OR NOT list_contains(dropped, x)) AS kept
