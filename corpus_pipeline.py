@@ -15,7 +15,7 @@ from layerline.llm.language import held_out, learn_languages
 from layerline.llm.mixing import mixed_copies
 from layerline.llm.simhash import without_near_duplicates
 from layerline.llm.token_files import read_documents, write_token_files
-from layerline.llm.work import Work
+from layerline.llm.work import Work, free_names
 
 #: Unrelated vectors of 1,024 dimensions have a cosine of about 0.03 either way; a text below this is like no known language.
 LEAST_SCORE = 0.05
@@ -30,10 +30,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts too short to tell, and all texts where no language was learned, stay if they have a letter.
     """
     model = learn_languages(docs.where(~held_out(F.col("doc_id"))))
-    found = docs.withColumn("__found", model.predict(F.col("text")))
-    short = F.col("__found.ngrams") < LEAST_NGRAMS
-    known = (F.col("__found.score") >= LEAST_SCORE) | short | F.lit(not model.languages)
-    return found.where((F.col("__found.ngrams") > 0) & known).drop("__found")
+    (name,) = free_names(docs, "found")
+    found, own = docs.withColumn(name, model.predict(F.col("text"))), F.col(name)
+    known = (own["score"] >= LEAST_SCORE) | (own["ngrams"] < LEAST_NGRAMS) | F.lit(not model.languages)
+    return found.where((own["ngrams"] > 0) & known).drop(name)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
