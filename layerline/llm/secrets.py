@@ -4,7 +4,8 @@ Three kinds are patterns. The method adds strings that look random: over each
 candidate string slides a window, the counts of its characters are kept up to date by
 the character that enters and the one that leaves, and with them the window's
 Shannon entropy. What lies under windows at or above the class's threshold is a
-span, unless the candidate is on the allow-list.
+span. No window covers what is on the allow-list: it parts a candidate into pieces,
+each judged by itself.
 
 Positions come from the text between the matches: what ``split`` leaves and what
 ``regexp_extract_all`` finds alternate, so their lengths add up to places.
@@ -14,8 +15,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,12 +57,14 @@ CLASSES = (
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
-def _word(characters: str, *must_have: str) -> str:
+def _word(characters: str, *must_have: str, beside: str = "A-Za-z0-9") -> str:
     """A run with no letter or digit beside it. What it must have is looked for within the run."""
     conditions = "".join(f"(?=[{characters}]*?{one})" for one in must_have)
-    return f"(?<![A-Za-z0-9]){conditions}[{characters}]{{{WINDOW},}}(?![A-Za-z0-9])"
+    return f"(?<![{beside}]){conditions}[{characters}]{{{WINDOW},}}(?![{beside}])"
 
 
+#: Digits on both sides of letters, twice: names and dates written with hyphens do not have it.
+ALTERNATING = "[0-9][a-z]{1,3}[0-9]+[a-z]{1,3}[0-9]"
 #: Random strings that lack one of the three. Hex is left to its class and AKIA to its pattern. Words followed by a
 #: number have one group of digits, and words written together have few one or two small letters between capitals.
 FURTHER_CLASSES = (
@@ -75,14 +76,19 @@ FURTHER_CLASSES = (
         3.65,
     ),
     CharacterClass("entropy_mixed", LETTERS, _word("A-Za-z", "[A-Z][a-z]{1,2}[A-Z][A-Za-z]*?[A-Z][a-z]{1,2}[A-Z]"), 3.8),
+    CharacterClass(
+        "entropy_parted",
+        "abcdefghijklmnopqrstuvwxyz0123456789_-",
+        _word("a-z0-9_-", "[_-]", "[g-z]", ALTERNATING, beside="A-Za-z0-9_-"),
+        3.65,
+    ),
 )
-#: A folder's name within a run: an allow-listed word in it says nothing about the rest of the run.
-FOLDER = r"(?<![^/])[a-z_-]+(?=/)"
-#: Candidates that are known not to be secrets: documentation keys, counting strings, UUIDs.
+#: Known not to be secrets: keys of documentation (they end so), words of it, counting strings, UUIDs.
 ALLOWED = (
-    r"(?i)example|sample|dummy|changeme|placeholder|your[_-]?(?:key|token|secret)",
-    r"(?i)0123456789|abcdefghij",
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
+    r"^[A-Za-z0-9+/_-]*EXAMPLE(?:KEY)?$",
+    r"(?i:example|sample|dummy|changeme|placeholder|your[_-]?(?:key|token|secret))",
+    r"(?i:0123456789|abcdefghij)",
+    r"(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})",
 )
 
 
@@ -158,14 +164,35 @@ def _random_stretch(candidate: Column, kind: CharacterClass, window: int) -> Col
     )
 
 
+def either(patterns: Sequence[str]) -> str:
+    return "|".join(f"(?:{one})" for one in patterns)
+
+
+def _pieces(candidate: Column, allowed: str) -> Column:
+    """An array of start and value of each stretch between what the pattern finds in a candidate."""
+    value = candidate["value"]
+    whole = F.regexp_extract_all(value, F.lit(allowed), F.lit(0))
+    zipped = F.arrays_zip(F.split(value, allowed, -1).alias("gap"), whole.alias("whole"))
+    nothing = F.array().cast("array<struct<start:int,value:string>>")
+
+    def step(state: Column, piece: Column) -> Column:
+        one = F.struct(state["at"].alias("start"), piece["gap"].alias("value"))
+        after = state["at"] + F.length(piece["gap"]) + F.coalesce(F.length(piece["whole"]), F.lit(0))
+        return F.struct(after.alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
+
+    first = F.struct(candidate["start"].alias("at"), nothing.alias("found"))
+    parted = F.aggregate(zipped, first, step, lambda state: state["found"])
+    itself = F.array(F.struct(candidate["start"].alias("start"), value.alias("value")))
+    return F.when(value.rlike(allowed), parted).otherwise(itself)
+
+
 def _random_spans(
     text: Column, kind: CharacterClass, order: int, window: int, allowed: Sequence[str]
 ) -> Column:
-    def suspicious(match: Column) -> Column:
-        value = F.regexp_replace(match["value"], FOLDER, "")
-        return ~reduce(or_, [value.rlike(pattern) for pattern in allowed], F.lit(False))
-
-    candidates = F.filter(_matches(text, kind.candidate), suspicious)
+    candidates = _matches(text, kind.candidate)
+    if allowed:
+        candidates = F.flatten(F.transform(candidates, lambda m: _pieces(m, either(allowed))))
+        candidates = F.filter(candidates, lambda m: m["value"].rlike(kind.candidate))
     judged = F.transform(
         candidates,
         lambda m: F.struct(m["start"].alias("start"), _random_stretch(m["value"], kind, window).alias("windows")),
@@ -197,8 +224,8 @@ def find_secrets(
     """A row per document: doc_id, found (an array of start, order, end and kind, sorted by start and kind).
 
     Places are code points, the end exclusive. Null and empty texts have no
-    spans. An allow-listed candidate is only spared by entropy; what a base
-    pattern finds stays. Rows that repeat come back each; other columns are not
+    spans. What is allow-listed is only spared by entropy; what a base pattern
+    finds stays. Rows that repeat come back each; other columns are not
     read; no documents give no rows.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))

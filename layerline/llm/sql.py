@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from layerline.llm.licences import APART, TEMPLATES
 from layerline.llm.line_dedup import BLOCK_TAGS
-from layerline.llm.secrets import ACCESS, ALLOWED, ASSIGN, CLASSES, HEX, LEAST_VALUE, WINDOW
+from layerline.llm.secrets import (
+    ACCESS,
+    ALLOWED,
+    ALTERNATING,
+    ASSIGN,
+    BASE_KINDS,
+    CLASSES,
+    FURTHER_CLASSES,
+    HEX,
+    LEAST_VALUE,
+    WINDOW,
+    either,
+)
 from layerline.llm.token_counts import PIECE
 from layerline.llm.work import WORD
 
@@ -139,23 +151,41 @@ def _spans(kind: str, order: int, pattern: str, value: str) -> str:
 
 
 def _random(order: int, kind: str, run: str, conditions: str, threshold: float) -> str:
-    allowed = " AND ".join(f"NOT regexp_matches(value, {quoted(p)})" for p in ALLOWED)
+    allowed = quoted(either(ALLOWED))
     entropy = f"list_aggregate(string_split(substr(value, j, {WINDOW}), ''), 'entropy')"
     return f"""
     SELECT id, {order} AS kind_order, {quoted(kind)} AS kind, first + min(j) - 1 AS first, first + max(j) - 1 + {WINDOW} AS last
     FROM (SELECT *, unnest(range(1, length(value) - {WINDOW} + 2)) AS j
-          FROM ({_spans(kind, order, run, f"regexp_extract_all(t, {quoted(run)})")}) WHERE {conditions} AND {allowed})
+          FROM (SELECT id, gaps[i] AS value,
+                       first + CAST(coalesce(list_sum(list_transform(gaps[:i - 1], lambda x: length(x))), 0)
+                                  + coalesce(list_sum(list_transform(whole[:i - 1], lambda x: length(x))), 0) AS BIGINT) AS first
+                FROM (SELECT id, first, gaps, whole, unnest(range(1, len(gaps) + 1)) AS i
+                      FROM (SELECT id, first, string_split_regex(value, {allowed}) AS gaps,
+                                   regexp_extract_all(value, {allowed}) AS whole
+                            FROM ({_spans(kind, order, run, f"regexp_extract_all(t, {quoted(run)})")}) WHERE {conditions})))
+          WHERE length(value) >= {WINDOW} AND {conditions})
     WHERE {entropy} >= {threshold} GROUP BY id, first, value"""
 
 
+def _has(*patterns: str) -> str:
+    return "(" + " AND ".join(f"regexp_matches(value, {quoted(one)})" for one in patterns) + ")"
+
+
 _RUNS = {
-    "entropy_hex": ("[0-9a-fA-F]{20,}", "regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-fA-F]')"),
-    "entropy_base64": (
-        "[A-Za-z0-9+/_-]{20,}",
-        "regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')",
+    "entropy_hex": ("[0-9a-fA-F]{20,}", _has("[0-9]", "[a-fA-F]")),
+    "entropy_base64": ("[A-Za-z0-9+/_-]{20,}", _has("[0-9]", "[a-z]", "[A-Z]")),
+    "entropy_lower": ("[A-Za-z0-9]{20,}", _has("^[a-z0-9]+$", "[0-9]", "[g-z]")),
+    "entropy_upper": (
+        "[A-Za-z0-9]{20,}",
+        f"NOT {_has('^AKIA')} AND ({_has('^[A-Z2-7]+$', '[2-7]', '[G-Z]')}"
+        f" OR {_has('^[A-Z0-9]+$', '[0-9][A-Z]+[0-9]', '[G-Z]')})",
     ),
+    "entropy_mixed": ("[A-Za-z0-9]{20,}", _has("^[A-Za-z]+$", "[A-Z][a-z]{1,2}[A-Z][A-Za-z]*?[A-Z][a-z]{1,2}[A-Z]")),
+    "entropy_parted": ("[A-Za-z0-9_-]{20,}", _has("^[a-z0-9_-]+$", "[_-]", "[g-z]", ALTERNATING)),
 }
-_RANDOM = " UNION ALL ".join(_random(3 + i, c.kind, *_RUNS[c.kind], c.threshold) for i, c in enumerate(CLASSES))
+_RANDOM = " UNION ALL ".join(
+    _random(len(BASE_KINDS) + i, c.kind, *_RUNS[c.kind], c.threshold) for i, c in enumerate((*CLASSES, *FURTHER_CLASSES))
+)
 
 SECRETS = f"""
 WITH texts AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t FROM documents),
