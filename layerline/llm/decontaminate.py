@@ -219,7 +219,8 @@ def _filter(hashes: DataFrame) -> Bloom:
 
     blocks = found.groupBy("first", F.floor(F.col("octet") / BLOCK)).applyInPandas(block, "first boolean, block long, octets binary")
     bloom = Bloom.empty(bits)
-    for row in blocks.toLocalIterator():
+    # At most 32 MB, in one job; an iterator would start one for each shuffle partition.
+    for row in blocks.collect():
         part = slice(row.block * BLOCK, (row.block + 1) * BLOCK)
         octets = np.frombuffer(row.octets, np.uint8)[: len(bloom.octets) - row.block * BLOCK]
         if row.first:
