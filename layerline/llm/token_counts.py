@@ -67,7 +67,7 @@ def tokenizer_counts(docs: DataFrame, texts: list[str], tokenizer_path: str, end
             encoder, columns = worker_encoder(settings.value), batch.columns[: len(kept)]
             for column in batch.columns[len(kept) :]:
                 there = column.is_valid().to_pylist()
-                some = iter([len(ids) + end_tokens for ids in encoder.texts(column.drop_null().to_pylist())])
+                some = iter([len(ids) + end_tokens for ids in encoder.texts(column.drop_null())])
                 columns.append(pa.array([next(some) if one else None for one in there], pa.int64()))
             yield pa.record_batch(columns, schema=schema)
 

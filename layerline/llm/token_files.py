@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import sys
 import unicodedata
 import uuid
@@ -29,6 +30,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -41,7 +43,9 @@ from layerline.llm.work import Work
 
 MANIFEST = "part int, path string, seq_len int, batch_rows int, documents long, sequences long, tokens long"
 #: Words and pieces whose ids are remembered, and characters encoded at a time.
-KNOWN_WORDS, KNOWN_PIECES, SLICE_CHARACTERS = 500_000, 600_000, 1 << 17
+KNOWN_WORDS, KNOWN_PIECES, SLICE_CHARACTERS = 200_000, 100_000, 1 << 20
+#: Longer words and pieces, in bytes and characters, are not remembered. New words are parted so many at a time.
+LONGEST_KNOWN, NEW_WORDS = 64, 2_000
 # The steps of a tokenizer that drops white space, as its file states them.
 NORMALIZER = {
     "type": "Sequence",
@@ -72,16 +76,18 @@ class TextEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(settings)
 
-    def texts(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        start, size = 0, 0
-        for i, text in enumerate(texts):
-            size += len(text or "")
-            if size >= SLICE_CHARACTERS or i == len(texts) - 1:
-                yield from self.ids([one or "" for one in texts[start : i + 1]])
-                start, size = i + 1, 0
-
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+    def texts(self, texts: pa.Array | list[str | None]) -> Iterator[np.ndarray]:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        column, start = pc.fill_null(column, ""), 0
+        ends = np.cumsum(pc.utf8_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+        while start < len(column):
+            before = ends[start - 1] if start else 0
+            end = min(int(np.searchsorted(ends, before + SLICE_CHARACTERS)) + 1, len(column))
+            yield from self.ids(column[start:end])
+            start = end
+
+    def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        for encoding in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False):
             yield np.array(encoding.ids, dtype="<u4")
 
 
@@ -99,8 +105,7 @@ class PieceEncoder(TextEncoder):
 
     def __init__(self, settings: str):
         super().__init__(settings)
-        bare = json.loads(settings) | {"normalizer": None, "pre_tokenizer": None}
-        self.model, self.known = Tokenizer.from_str(json.dumps(bare)), {}
+        self.model, self.known = self.tokenizer.model, {}
         self.words, self.once = {}, set()
         # Below the first combining mark.
         of_kind = {"L": "", "N": ""}
@@ -124,21 +129,42 @@ class PieceEncoder(TextEncoder):
     def is_plain(self, text: str, lower: str) -> bool:
         return "<|" not in text and bool(self.plain.fullmatch(text) and self.plain.fullmatch(lower))
 
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
         for known, most in ((self.words, KNOWN_WORDS), (self.once, KNOWN_WORDS), (self.known, KNOWN_PIECES)):
             if len(known) > most:
                 known.clear()
-        words = self.words
-        parted = [text.encode().split() for text in texts]
-        new = set().union(*parted).difference(words)
-        words.update(self._word_ids([*new]))
-        for own in parted:
-            yield np.frombuffer(b"".join(map(words.__getitem__, own)), dtype="<u4")
-        # Most new words never come again: one is remembered when it comes for the second time.
-        again = new & self.once
-        self.once |= new
-        for word in new - again:
-            del words[word]
+        parted = pc.ascii_split_whitespace(texts)
+        named = parted.flatten().dictionary_encode()
+        place, found = named.indices.to_numpy(), self._known_ids(named.dictionary)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        table, firsts = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(sizes) - sizes
+        # Where each text's words end among all of these texts' words, and its ids among all of their ids.
+        words = parted.offsets.to_numpy().astype(np.int64) - parted.offsets[0].as_py()
+        for start, end in zip(words[:-1].tolist(), words[1:].tolist()):
+            own = place[start:end]
+            counts = sizes[own]
+            stops = np.cumsum(counts)
+            total = int(stops[-1]) if len(stops) else 0
+            yield table[np.arange(total) + np.repeat(firsts[own] - stops + counts, counts)]
+
+    def _known_ids(self, distinct: pa.Array) -> list[bytes]:
+        """Ids of different words, in their order."""
+        joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(distinct)], distinct), pa.scalar(" ", distinct.type))
+        words = joined.cast(pa.large_binary())[0].as_py().split()
+        if len(words) < len(distinct):
+            words.insert(pc.index(distinct, "").as_py(), b"")
+        found = [*map(self.words.get, words)]
+        places = [i for i, ids in enumerate(found) if ids is None]
+        for start in range(0, len(places), NEW_WORDS):
+            some = places[start : start + NEW_WORDS]
+            # Most new words never come again: one is remembered when it comes for the second time.
+            for i, (word, ids) in zip(some, self._word_ids([words[i] for i in some])):
+                found[i] = ids
+                if word in self.once:
+                    self.words[word] = ids
+                elif len(word) <= LONGEST_KNOWN:
+                    self.once.add(word)
+        return found
 
     def _word_ids(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """The words with their ids. They are parted together, with a sign between them that stands for no token."""
@@ -148,9 +174,13 @@ class PieceEncoder(TextEncoder):
             pieces = self.parted.findall(lower)
         else:
             pieces = [piece for word in words for piece in (" ", *self.pieces(word.decode()))][1:]
-        self._learn(set(pieces).difference(self.known, (" ",)))
+        new = set(pieces).difference(self.known, (" ",))
+        self._learn(new)
         self.known[" "] = b"\xff\xff\xff\xff"
         ids = b"".join(map(self.known.__getitem__, pieces))
+        for piece in new:
+            if len(piece) > LONGEST_KNOWN:
+                del self.known[piece]
         ends = 4 * np.flatnonzero(np.frombuffer(ids, dtype="<u4") == 2**32 - 1)
         starts = [0, *(ends + 4).tolist()]
         return zip(words, [ids[start:end] for start, end in zip(starts, [*ends.tolist(), len(ids)])])
@@ -159,15 +189,10 @@ class PieceEncoder(TextEncoder):
         words = [piece for piece in new if piece[0] == "\n"]
         for word, found in zip(words, self.tokenizer.encode_batch_fast([w[1:] for w in words], add_special_tokens=False)):
             self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        pieces = [piece for piece in new if piece[0] != "\n"]
-        for start in range(0, len(pieces), 1000):
-            some = pieces[start : start + 1000]
-            shown = [one if one.isascii() else one.encode().decode("latin-1").translate(self.byte_text) for one in some]
-            found = self.model.encode(shown, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4").tobytes()
-            ends = 4 * np.searchsorted(np.array(found.word_ids), np.arange(len(some)), side="right")
-            for piece, first, end in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
-                self.known[piece] = ids[first:end]
+        for piece in new.difference(words):
+            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.byte_text)
+            ids = [token.id for token in self.model.tokenize(shown)]
+            self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
 
 
 def encoder_for(settings: str) -> TextEncoder:
@@ -297,7 +322,7 @@ def write_token_files(
                 writer = SequenceWriter(sink, batch_rows, schema)
                 encoder = worker_encoder(settings.value)
             ids = batch.column(0).to_pylist()
-            for one, found in zip(ids, encoder.texts(batch.column(1).to_pylist())):
+            for one, found in zip(ids, encoder.texts(batch.column(1))):
                 writer.add(one, np.concatenate([found, end]))
         if writer is not None:
             writer.close()

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 import zlib
 from pathlib import Path
 
@@ -47,6 +49,40 @@ def test_forgetting_pieces(word, monkeypatch):
     assert found == [word.encode(text or "", add_special_tokens=False).ids for text in texts]
 
 
+MEASURED = """
+import random, resource, sys
+from pathlib import Path
+sys.path.insert(0, sys.argv[1])
+from layerline.llm.token_files import encoder_for
+def texts():
+    draw = random.Random(3)
+    for _ in range(40):
+        yield [" ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(500)) for _ in range(30)]
+encoder = encoder_for(Path(sys.argv[2]).read_text())
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+tokens = sum(len(ids) for _ in range(2) for some in texts() for ids in encoder.texts(some))
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024, tokens)
+"""
+
+
+def test_memory_of_many_different_words():
+    repo = Path(__file__).resolve().parents[2]
+    done = subprocess.run([sys.executable, "-c", MEASURED, repo, WORD], capture_output=True, text=True, timeout=600, check=True)
+    megabytes, tokens = map(float, done.stdout.split())
+    assert megabytes < 70 and tokens > 1_200_000
+
+
+def test_long_words_are_not_remembered(word):
+    encoder = encoder_for(Path(WORD).read_text())
+    texts = [sign * 5_000 for sign in "ab中"] * 3 + ["a short text"] * 3
+    for text, found in zip(texts * 2, encoder.texts(texts * 2)):
+        assert found.tolist() == word.encode(text, add_special_tokens=False).ids
+    for text in texts * 2:
+        [*encoder.texts([text])]
+    assert max(map(len, [*encoder.words, *encoder.once, *encoder.known])) < 100
+    assert b"short" in encoder.words
+
+
 def in_order(rows):
     """As the files hold them; which of two texts of one id comes first is left open."""
     return sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0))
