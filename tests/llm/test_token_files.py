@@ -83,6 +83,29 @@ def test_long_words_are_not_remembered(word):
     assert b"short" in encoder.words
 
 
+class Asked(dict):
+    """Counts the questions for a value."""
+
+    n = 0
+
+    def get(self, key):
+        self.n += 1
+        return super().get(key)
+
+    def __getitem__(self, key):
+        self.n += 1
+        return super().__getitem__(key)
+
+
+def test_words_that_repeat_are_looked_up_once(word):
+    encoder = encoder_for(Path(WORD).read_text())
+    encoder.words = Asked()
+    texts = ["the same few words again and again " * 500, None, "and again"] * 3
+    for text, found in zip(texts, encoder.texts(texts)):
+        assert found.tolist() == word.encode(text or "", add_special_tokens=False).ids
+    assert 0 < encoder.words.n < 20
+
+
 def in_order(rows):
     """As the files hold them; which of two texts of one id comes first is left open."""
     return sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0))
