@@ -25,6 +25,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        # test_jobs.py finds executions by their number, which stands still once older ones are forgotten.
+        .config("spark.sql.ui.retainedExecutions", "4000")
         # For test_lost_data.py, which takes shuffle files away.
         .config("spark.stage.maxConsecutiveAttempts", "100")
         .getOrCreate()
